@@ -53,9 +53,10 @@ def running_max_violations(rows, keys, order, eps=0, index="note_index", start=S
 def union(rows: DataFrame, keys: Sequence[str], eps=0, start=START, end=END, hot: HotKeys | None = None) -> DataFrame:
     """Merge intervals that touch or lie within ``eps``; empty and inverted ones are dropped."""
     valid = rows.where(F.col(end) > F.col(start)).select(*keys, start, end)
-    seen = scan(valid, keys, [start, end], [running_max("__reach", F.col(end))], hot)
     fresh = F.when(F.col("__reach").isNull() | (F.col(start) > F.col("__reach") + eps), 1).otherwise(0)
-    numbered = scan(seen.withColumn("__new", fresh), keys, [start, end], [running_sum("__island", F.col("__new"))], hot)
+    numbered = scan(
+        valid, keys, [start, end], [running_max("__reach", F.col(end))], hot, [running_sum("__island", fresh)]
+    )
     return numbered.groupBy(*keys, "__island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("__island")
 
 

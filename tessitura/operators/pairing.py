@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scans import HotKeys, Scan, last_seen, previous, running_sum, scan
+from .scans import HotKeys, Scan, last_seen, previous, refine, running_sum, scan
 
 
 def tempo_clock(events: DataFrame, keys, at: str, order, tempo: str, default: int, hot: HotKeys | None = None) -> DataFrame:
@@ -14,17 +14,17 @@ def tempo_clock(events: DataFrame, keys, at: str, order, tempo: str, default: in
     ``tempo`` is null on events that are not tempo changes. A change applies after its
     own instant. Steps count from the first event of the key.
     """
+    in_force = F.coalesce("__seen", F.lit(default).cast("bigint"))
+    step = F.coalesce(F.col(at) - F.col("__before"), F.lit(0).cast("bigint"))
     rows = scan(
         events,
         keys,
         order,
-        [last_seen("tempo_before", F.col(tempo), inclusive=False), previous("__before", F.col(at))],
+        [last_seen("__seen", F.col(tempo), inclusive=False), previous("__before", F.col(at))],
         hot,
+        [running_sum("clock", step * in_force)],
     )
-    in_force = F.coalesce("tempo_before", F.lit(default).cast("bigint"))
-    step = F.coalesce(F.col(at) - F.col("__before"), F.lit(0).cast("bigint"))
-    rows = rows.withColumn("tempo_before", in_force).withColumn("__step", step * in_force)
-    return scan(rows, keys, order, [running_sum("clock", F.col("__step"))], hot).drop("__step", "__before")
+    return rows.withColumn("tempo_before", in_force).drop("__seen", "__before")
 
 
 def pair_events(events: DataFrame, track: str, pitch: str, at: str, event: str, hot: HotKeys | None = None):
@@ -42,30 +42,27 @@ def pair_events(events: DataFrame, track: str, pitch: str, at: str, event: str,
     step = F.when(F.col("kind") == "on", 1).otherwise(-1)
     rows = events.withColumn("__rank", rank).withColumn("__step", step)
     order = [at, "__rank", event]
-    by_pitch = hot if hot is None or hot else HotKeys(tuple(key), (), events.select(*key).schema)
-    if by_pitch:
-        by_pitch = None
-    walked = scan(rows, key, order, [running_sum("__level", F.col("__step"))], by_pitch)
-    walked = scan(walked, key, order, [Scan("__low", "min", F.col("__level"))], by_pitch)
+    by_pitch = refine(hot, events, key)
     lost = (F.col("kind") == "off") & (F.col("__level") < F.least(F.lit(0), F.col("__low")))
-    marked = walked.withColumn("lost", lost)
     ranked = scan(
-        marked,
+        rows,
         key,
         order,
+        [running_sum("__level", F.col("__step"))],
+        by_pitch,
+        [Scan("__low", "min", F.col("__level"))],
         [
             running_sum("on_rank", F.when(F.col("kind") == "on", 1).otherwise(0)),
-            running_sum("off_rank", F.when((F.col("kind") == "off") & ~F.col("lost"), 1).otherwise(0)),
+            running_sum("off_rank", F.when((F.col("kind") == "off") & ~lost, 1).otherwise(0)),
         ],
-        by_pitch,
-    )
+    ).withColumn("lost", lost)
     ons = ranked.where("kind = 'on'").select(*key, F.col(at).alias("on_at"), F.col(event).alias("on_event"), F.col("on_rank").alias("pair"))
     offs = ranked.where("kind = 'off' and not lost").select(*key, F.col(at).alias("off_at"), F.col(event).alias("off_event"), F.col("off_rank").alias("pair"))
     paired = ons.join(offs, [*key, "pair"], "left")
     notes = paired.where("off_at is not null")
     unreleased = paired.where("off_at is null").select(*key, "on_at", "on_event")
     unmatched = ranked.where("lost").select(*key, F.col(at).alias("off_at"), F.col(event).alias("off_event"))
-    live = marked.withColumn("__live", F.when(F.col("lost"), 0).otherwise(F.col("__step")))
+    live = ranked.withColumn("__live", F.when(F.col("lost"), 0).otherwise(F.col("__step")))
     sounding = scan(live, [track], order, [running_sum("sounding_before", F.col("__live"), inclusive=False)], hot)
     poly = sounding.where("kind = 'on' and sounding_before > 0").select(
         *key, F.col(at).alias("on_at"), F.col(event).alias("on_event"), "sounding_before"

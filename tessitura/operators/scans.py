@@ -2,17 +2,17 @@
 
 A plain window puts all rows of one key into one task. That is the best plan while
 every key fits a task, and a dead end when one song holds a third of the corpus.
-``scan`` therefore takes two routes and unions them:
+``scan`` therefore counts rows per key first (partial aggregation, one column) and then
 
-* cold keys: one shuffle on the key and a window, nothing else;
-* hot keys (more than ``max_rows_per_task`` rows): the key's order is cut into chunks
-  at sampled positions, windows run inside ``(key, chunk)``, one pre-aggregated row
-  per chunk is scanned again, and its carry is added back through a broadcast of
-  known size (one row per chunk).
+* with no hot key: one shuffle on the key and a window, nothing else;
+* with hot keys (more than ``max_rows_per_task`` rows): the order of each hot key is cut
+  into chunks at sampled positions, the rows are checkpointed with their chunk number,
+  windows run inside ``(key, chunk)``, one pre-aggregated row per chunk is scanned
+  again, and its carry is added back through a join on ``(key, chunk)``.
 
-Cut positions are collected once and become literals, so both branches of a plan see
-the same chunks. Results do not depend on where the cuts are or on which keys count
-as hot; only the task sizes do.
+The checkpoint keeps plans linear when scans follow one another, and both branches
+read the same rows, so a lost executor cannot change the chunking. Results do not
+depend on where the cuts are or on which keys count as hot; only task sizes do.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
+
 MAX_ROWS_CONF = "spark.tessitura.maxRowsPerTask"
 DEFAULT_MAX_ROWS = 4_000_000
 SAMPLES_PER_CHUNK = 32
@@ -45,10 +47,6 @@ class HotKeys:
     def __bool__(self) -> bool:
         return bool(self.counts)
 
-    def frame(self, df: DataFrame) -> DataFrame:
-        return df.sparkSession.createDataFrame([row[:-1] for row in self.counts], self.schema)
-
-
 def find_hot_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> HotKeys:
     """Count rows per key with partial aggregation and keep the keys over the limit."""
     limit = limit or max_rows_per_task(df)
@@ -116,20 +114,24 @@ def scan(
     order: Sequence[str],
     scans: Sequence[Scan],
     hot: HotKeys | None = None,
+    *stages: Sequence[Scan],
 ) -> DataFrame:
-    """Add one column per scan. ``order`` must be a total order inside each key."""
+    """Add one column per scan. ``order`` must be a total order inside each key.
+
+    ``stages`` are further lists of scans over the same keys and order that may use the
+    columns of earlier ones; they cost no further shuffle.
+    """
     keys, order = list(keys), list(order)
     if hot is None:
         hot = find_hot_keys(df, keys)
     if not hot:
-        return _windowed(df, keys, order, scans)
-    if not keys:
-        return _chunked(df, keys, order, scans, hot)
-    hot_keys = F.broadcast(hot.frame(df))
-    same = [df[k].eqNullSafe(hot_keys[k]) for k in keys]
-    cold = _windowed(df.join(hot_keys, same, "left_anti"), keys, order, scans)
-    warm = _chunked(df.join(hot_keys, same, "left_semi"), keys, order, scans, hot)
-    return cold.unionByName(warm)
+        for step in (scans, *stages):
+            df = _windowed(df, keys, order, step)
+        return df
+    rows = assign_chunks(df, keys, order, hot)
+    for step in (scans, *stages):
+        rows = _chunked(rows, keys, order, step)
+    return rows.drop(CHUNK)
 
 
 def _over(s: Scan, partition: Sequence[Column | str], order: Sequence[str]) -> Column:
@@ -192,13 +194,17 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot:
             (low + half <= F.size("__cuts")) & (F.try_element_at(F.col("__cuts"), low + half) <= at), low + half
         ).otherwise(low),
     )
-    joined = df.join(F.broadcast(table.withColumnsRenamed({k: f"__k_{k}" for k in keys})),
-                     [df[k].eqNullSafe(F.col(f"__k_{k}")) for k in keys] or F.lit(True), "left")
-    return joined.withColumn(CHUNK, F.coalesce(place, F.lit(0))).drop("__cuts", *[f"__k_{k}" for k in keys])
+    table = F.broadcast(table.withColumnsRenamed({k: f"__k_{k}" for k in keys}))
+    if keys:
+        joined = df.join(table, [df[k].eqNullSafe(F.col(f"__k_{k}")) for k in keys], "left")
+    else:
+        joined = df.crossJoin(table)  # a single row of cut positions
+    numbered = joined.withColumn(CHUNK, F.coalesce(place, F.lit(0))).select(*df.columns, CHUNK)
+    ensure_checkpoint_dir(df.sparkSession)
+    return numbered.checkpoint()
 
 
-def _chunked(df, keys, order, scans, hot):
-    rows = assign_chunks(df, keys, order, hot)
+def _chunked(rows: DataFrame, keys, order, scans) -> DataFrame:
     at = F.struct(*order)
     local = rows.select(
         "*",
@@ -213,10 +219,8 @@ def _chunked(df, keys, order, scans, hot):
         *[F.col(k).alias(f"__k_{k}") for k in [*keys, CHUNK]],
         *[_carry(s, keys).alias(f"__c_{s.name}") for s in scans],
     )
-    joined = local.join(
-        F.broadcast(carried), [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in [*keys, CHUNK]], "left"
-    )
-    return joined.select(*df.columns, *[_combine(s).alias(s.name) for s in scans])
+    joined = local.join(carried, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in [*keys, CHUNK]], "left")
+    return joined.select(*rows.columns, *[_combine(s).alias(s.name) for s in scans])
 
 
 def _chunk_total(s: Scan, at: Column) -> Column:

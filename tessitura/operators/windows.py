@@ -116,9 +116,8 @@ def with_budget(rows: DataFrame, max_ratio_percent: int, carried_us: int = 0, ep
 
 def phrase_chunks(notes, min_gap: int, order=("start_us", "note_index"), hot=None) -> DataFrame:
     """Split the notes of a song where the silence before a note is at least ``min_gap``."""
-    rows = scan(notes, SONG, list(order), [previous("__left", F.col("end_us"))], hot)
     fresh = F.when(F.col("start_us") - F.col("__left") >= min_gap, 1).otherwise(0)
-    cut = scan(rows.withColumn("__new", fresh), SONG, list(order), [running_sum("chunk_index", F.col("__new"))], hot)
+    cut = scan(notes, SONG, list(order), [previous("__left", F.col("end_us"))], hot, [running_sum("chunk_index", fresh)])
     return cut.groupBy("song_id", "chunk_index").agg(
         F.count(F.lit(1)).alias("note_count"), F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us")
     )
