@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import timeline_queries  # noqa: F401
+from . import manifest_queries, timeline_queries  # noqa: F401
 from .registry import QUERIES  # noqa: F401
