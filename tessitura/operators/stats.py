@@ -46,13 +46,27 @@ def percentiles(rows: DataFrame, keys: Sequence[str], value: Column, wanted: dic
     return out.select(*keys, "n", *wanted)
 
 
-def robust_normalize(rows: DataFrame, value: str, out: str, hot: HotKeys | None = None) -> DataFrame:
-    """Clip (x - p10) / (p90 - p10) to 0..1 over all rows; null values and a flat range give 0.5."""
-    p = percentiles(rows, [], F.col(value), {"__low": ("linear", 0.1), "__high": ("linear", 0.9)}, hot).select("__low", "__high")
-    width = F.col("__high") - F.col("__low")
-    scaled = F.least(F.greatest((F.col(value) - F.col("__low")) / F.nullif(width, F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
-    flat = F.col(value).isNull() | (width < 1e-8)
-    return rows.join(F.broadcast(p), how="left").withColumn(out, F.when(flat, 0.5).otherwise(F.coalesce(scaled, F.lit(0.5)))).drop("__low", "__high")
+def robust_normalize(rows: DataFrame, keys: Sequence[str], columns: dict[str, str], hot: HotKeys | None = None) -> DataFrame:
+    """Clip (x - p10) / (p90 - p10) to 0..1 per key; null values and a flat range give 0.5.
+
+    ``columns`` maps each value column to the name of its normalised column. The borders
+    of all columns of a key come from one pass over the columns as rows.
+    """
+    keys = list(keys)
+    long = rows.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("__col"), F.col(c).cast("double").alias("__x")) for c in columns
+    ])).alias("__e")).select(*keys, "__e.*")
+    borders = percentiles(
+        long, [*keys, "__col"], F.col("__x"), {"__low": ("linear", 0.1), "__high": ("linear", 0.9)}, refine(hot, long, [*keys, "__col"])
+    )
+    pick = lambda c, side: F.max(F.when(F.col("__col") == c, F.col(side))).alias(f"{side}_{c}")
+    wide = borders.groupBy(*keys).agg(*[pick(c, side) for c in columns for side in ("__low", "__high")])
+    out = rows.join(wide, keys, "left")
+    for c, name in columns.items():
+        low, width = F.col(f"__low_{c}"), F.col(f"__high_{c}") - F.col(f"__low_{c}")
+        scaled = F.least(F.greatest((F.col(c) - low) / F.nullif(width, F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
+        out = out.withColumn(name, F.when(F.col(c).isNull() | (width < 1e-8), 0.5).otherwise(F.coalesce(scaled, F.lit(0.5))))
+    return out.drop(*[f"{side}_{c}" for c in columns for side in ("__low", "__high")])
 
 
 def run_lengths(rows: DataFrame, keys: Sequence[str], order: Sequence[str], flag: Column, hot: HotKeys | None = None) -> DataFrame:
