@@ -1,5 +1,5 @@
 """All registered queries."""
 
 from . import manifest_queries, timeline_queries  # noqa: I001
-from . import sequence_queries, signal_queries  # noqa: F401
+from . import fold_queries, sequence_queries, signal_queries  # noqa: F401
 from .registry import QUERIES  # noqa: F401

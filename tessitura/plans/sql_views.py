@@ -107,6 +107,8 @@ def with_views(sql: str) -> str:
     views = _needed(sql)
     own = sql.strip()
     parts = [f"{name} AS ({SQL_VIEWS[name]})" for name in views]
+    if own.upper().startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + ",\n".join([*parts, own[15:]])
     if own.upper().startswith("WITH "):
         parts.append(own[5:])
         return "WITH " + ",\n".join(parts)
