@@ -74,9 +74,9 @@ def split_leakage(rows: DataFrame, group: str, split: str = "split", checked: Se
 def song_share(clips: DataFrame, max_share=(1, 3)) -> DataFrame:
     """Duration per song, its share of the total, and whether it exceeds the maximum."""
     per_song = clips.groupBy("song_id").agg(F.sum("duration_ms").alias("duration_ms"))
-    total = per_song.agg(F.sum("duration_ms").alias("total_ms"))
+    total = per_song.agg(F.sum("duration_ms")).scalar()
     num, den = max_share
-    return per_song.crossJoin(F.broadcast(total)).select(
+    return per_song.withColumn("total_ms", total).select(
         "song_id", "duration_ms", "total_ms",
         F.round(F.col("duration_ms") / F.nullif("total_ms", F.lit(0)), 6).alias("share"),
         (F.col("duration_ms") * den > F.col("total_ms") * num).alias("over"),
@@ -167,11 +167,11 @@ def rank_limited_split(rows: DataFrame, order: str, duration: str, train: int, b
     Both borders are distributed top-n reads; the row order is never built as a whole.
     ``order`` must be unique.
     """
-    first = rows.orderBy(order).limit(train).agg(F.max(order).alias("__last"))
-    rest = rows.crossJoin(F.broadcast(first))
+    last = rows.select(order).orderBy(order).limit(train).agg(F.max(order)).scalar()
+    rest = rows.withColumn("__last", last)
     fits = (F.col(order) > F.col("__last")) & F.col(duration).between(low, high)
-    second = rest.where(fits).orderBy(order).limit(bench).agg(F.max(order).alias("__bench"), F.count(F.lit(1)).alias("__got"))
-    tagged = rest.crossJoin(F.broadcast(second))
+    second = rest.where(fits).select(order).orderBy(order).limit(bench)
+    tagged = rest.withColumns({"__bench": second.agg(F.max(order)).scalar(), "__got": second.agg(F.count(F.lit(1))).scalar()})
     split = F.when(F.col(order) <= F.col("__last"), "smoke_train").when(fits & (F.col(order) <= F.col("__bench")), "smoke_benchmark")
     return tagged.select(*rows.columns, split.otherwise("train").alias("assigned"), (F.col("__got") >= bench).alias("enough"))
 

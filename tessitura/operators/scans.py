@@ -194,11 +194,11 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot:
             (low + half <= F.size("__cuts")) & (F.try_element_at(F.col("__cuts"), low + half) <= at), low + half
         ).otherwise(low),
     )
-    table = F.broadcast(table.withColumnsRenamed({k: f"__k_{k}" for k in keys}))
     if keys:
+        table = F.broadcast(table.withColumnsRenamed({k: f"__k_{k}" for k in keys}))
         joined = df.join(table, [df[k].eqNullSafe(F.col(f"__k_{k}")) for k in keys], "left")
     else:
-        joined = df.crossJoin(table)  # a single row of cut positions
+        joined = df.withColumn("__cuts", table.scalar())
     numbered = joined.withColumn(CHUNK, F.coalesce(place, F.lit(0))).select(*df.columns, CHUNK)
     ensure_checkpoint_dir(df.sparkSession)
     return numbered.checkpoint()

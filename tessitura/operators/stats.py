@@ -23,7 +23,7 @@ def percentiles(rows: DataFrame, keys: Sequence[str], value: Column, wanted: dic
     counts = rows.select(*keys, value.alias("__v")).where("__v is not null").groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
     ranked = scan(counts, keys, ["__v"], [running_sum("__upto", F.col("__c"))], refine(hot, counts, keys))
     totals = counts.groupBy(*keys).agg(F.sum("__c").alias("n"))
-    both = ranked.join(totals, keys) if keys else ranked.crossJoin(F.broadcast(totals))
+    both = ranked.join(totals, keys) if keys else ranked.withColumn("n", totals.scalar())
 
     def at_rank(rank: Column) -> Column:
         return F.max(F.when((rank > F.col("__upto") - F.col("__c")) & (rank <= F.col("__upto")), F.col("__v")))

@@ -1,5 +1,6 @@
-"""All registered queries."""
+"""All registered queries; later modules build on the SQL of earlier ones."""
 
-from . import manifest_queries, timeline_queries  # noqa: I001
+from . import manifest_queries, timeline_queries  # noqa: F401, I001
 from . import fold_queries, sequence_queries, signal_queries  # noqa: F401
+from . import job_queries  # noqa: F401
 from .registry import QUERIES  # noqa: F401

@@ -137,10 +137,9 @@ def merge_parts(spark: SparkSession, path: str) -> DataFrame:
     Columns: ``part, line, value``; sort by them to write. Part files name their order.
     """
     rows = numbered_lines(spark, path).where("trim(value) <> ''")
-    head = rows.groupBy().agg(F.min_by("value", F.struct("file", "line")).alias("head"))
-    firsts = rows.groupBy().agg(F.min(F.struct("file", "line")).alias("at"))
-    both = rows.crossJoin(F.broadcast(head)).crossJoin(F.broadcast(firsts))
-    keep = (F.col("value") != F.col("head")) | (F.struct("file", "line") == F.col("at"))
+    at = F.struct("file", "line")
+    both = rows.withColumns({"head": rows.agg(F.min_by("value", at)).scalar(), "at": rows.agg(F.min(at)).scalar()})
+    keep = (F.col("value") != F.col("head")) | (at == F.col("at"))
     return both.where(keep).select(F.col("file").alias("part"), "line", "value")
 
 
