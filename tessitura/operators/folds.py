@@ -162,8 +162,8 @@ def merge_dense(items: DataFrame, keys, eps: int, short: int, dense: int, hot=No
 def repair_candidates(notes: DataFrame, windows: DataFrame, bin_us: int, eps: int = 0) -> DataFrame:
     """Cut notes with the windows they touch: expand one window, or share a border of two.
 
-    One row per note; ``hits`` are its windows in time order (a note is far shorter than
-    its song, so the list is as short as the note).
+    One row per note with the number of windows and the first and last of them in time
+    order; no rule looks at more than two, so no list is kept.
     """
     keys = ["song_id"]
     spans = windows.select("song_id", "clip_id", F.col("start_us").alias("w_start"), F.col("end_us").alias("w_end"))
@@ -171,20 +171,21 @@ def repair_candidates(notes: DataFrame, windows: DataFrame, bin_us: int, eps: in
     touch = (F.col("end_us") > F.col("w_start") + eps) & (F.col("start_us") < F.col("w_end") - eps)
     pairs = overlap_join(good, spans, keys, bin_us, touch, ("start_us", "end_us"), ("w_start", "w_end"))
     inside = (F.col("start_us") >= F.col("w_start") - eps) & (F.col("end_us") <= F.col("w_end") + eps)
-    listed = pairs.groupBy("song_id", "note_index", "start_us", "end_us").agg(
-        F.array_sort(F.collect_list(F.struct("w_start", "clip_id", "w_end"))).alias("hits"), F.count_if(inside).alias("__in")
-    ).where("not (size(hits) = 1 and __in = 1)").drop("__in")
-    one = listed.where("size(hits) = 1").select(
-        "song_id", "note_index",
-        F.least("start_us", F.col("hits")[0]["w_start"]).alias("p_start"), F.greatest("end_us", F.col("hits")[0]["w_end"]).alias("p_end"),
+    hit = F.struct("w_start", "clip_id", "w_end")
+    found = pairs.groupBy("song_id", "note_index", "start_us", "end_us").agg(
+        F.count(F.lit(1)).alias("hits"), F.min(hit).alias("first_hit"), F.max(hit).alias("last_hit"), F.count_if(inside).alias("__in")
+    ).where("not (hits = 1 and __in = 1)").drop("__in")
+    one = found.where("hits = 1").select(
+        "song_id", "note_index", F.least("start_us", "first_hit.w_start").alias("p_start"), F.greatest("end_us", "first_hit.w_end").alias("p_end")
     )
     clash = overlap_join(one, spans, keys, bin_us, (F.col("p_end") > F.col("w_start")) & (F.col("p_start") < F.col("w_end")), ("p_start", "p_end"), ("w_start", "w_end"))
     clash = clash.groupBy("song_id", "note_index").agg(F.count(F.lit(1)).alias("near")).where("near > 1").select("song_id", "note_index", F.lit(True).alias("clash"))
-    n = F.size("hits")
+    n = F.col("hits")
     action = F.when((n == 1) & F.col("clash").isNull(), "EXPAND_SINGLE_WINDOW").when(n == 1, "REVIEW_SINGLE_WINDOW_EXPANSION")
-    return listed.join(clash, ["song_id", "note_index"], "left").withColumn(
-        "action", action.when(n == 2, "SHIFT_SHARED_BOUNDARY").otherwise("REVIEW_MULTI_WINDOW_NOTE")
-    ).drop("clash")
+    return found.join(clash, ["song_id", "note_index"], "left").select(
+        "song_id", "note_index", "start_us", "end_us", "hits", action.when(n == 2, "SHIFT_SHARED_BOUNDARY").otherwise("REVIEW_MULTI_WINDOW_NOTE").alias("action"),
+        *[F.col(f"{side}_hit.{c}").alias(f"{side}_{name}") for side in ("first", "last") for c, name in (("clip_id", "clip"), ("w_start", "start"), ("w_end", "end"))],
+    )
 
 
 def repair_windows(notes: DataFrame, windows: DataFrame, bin_us: int, policy: str = "majority", eps: int = 0, hot=None):
@@ -199,7 +200,7 @@ def repair_windows(notes: DataFrame, windows: DataFrame, bin_us: int, policy: st
     def rule(rows, s, last):
         s = s or {}
         for r in rows:
-            hits = [(h["clip_id"], h["w_start"], h["w_end"]) for h in r.hits]
+            hits = [(r.first_clip, r.first_start, r.first_end), (r.last_clip, r.last_start, r.last_end)][: min(2, r.hits)]
             a, b = int(r.start_us), int(r.end_us)
             s = {c: w for c, w in s.items() if w[1] > a or any(c == h[0] for h in hits)}
             for clip, ws, we in hits:
@@ -341,44 +342,51 @@ def realign_counts(phrases: DataFrame, gaps: DataFrame, hot=None) -> DataFrame:
     sized = scan(phrases, song, ["phrase"], [running_sum("__to", F.col("count"))], hot)
 
     sized = scan(sized, song, ["phrase"], [Scan("__room_after", "sum", room, inclusive=False, reverse=True)], hot)
-    marks = sized.withColumn("__from", F.col("__to") - F.col("count"))
-    found = asof(gaps.select("song_id", "boundary_index"), marks, song, "boundary_index", "__from", ["phrase"], hot=hot)
-    # Gaps ride on the phrase that holds them before any move; a phrase holds few.
-    held = found.groupBy("song_id", F.col("mark.phrase").alias("phrase")).agg(F.array_sort(F.collect_list("boundary_index")).alias("gaps"))
-    rows = marks.join(held, ["song_id", "phrase"], "left").select("song_id", "phrase", "count", "phones", "__room_after", "gaps")
-    rows = rows.withColumnsRenamed({"__room_after": "room_after"})
+    # Phrases and gaps become one stream by note position; a gap follows the phrase that holds it.
+    at = (F.col("__to") - F.col("count")).alias("at")
+    held = sized.select("song_id", at, F.lit(0).alias("kind"), "phrase", F.col("count").alias("notes"), "phones", F.col("__room_after").alias("room_after"))
+    marks = gaps.select("song_id", F.col("boundary_index").alias("at"), F.lit(1).alias("kind"))
+    rows = held.unionByName(marks, allowMissingColumns=True)
+
+    def place(s, g):
+        phrase, count, free = s["cur"]
+        end = s["prefix"] + count
+        if g in (s["prefix"], end):
+            return (phrase, "ALREADY_ALIGNED", g, 0)
+        if g > end:
+            s["gaps"].append(g)
+            return None
+        moved = end - g
+        if moved > free:
+            return (phrase, "FAILED", g, moved - free)
+        s["cur"] = [phrase, count - moved, free - moved]
+        s["moving"] += moved
+        return (phrase, "REALIGNED", g, moved)
 
     def rule(rows_, s, last):
-        s = s or {"prefix": 0, "moving": 0, "gaps": []}
+        s = s or {"prefix": 0, "moving": 0, "gaps": [], "cur": None}
         for r in rows_:
-            take = min(s["moving"], max(0, int(r.phones) - int(r.count_)))
-            count = int(r.count_) + take
-            s["moving"] -= take
-            s["gaps"] += [int(g) for g in (r.gaps if r.gaps is not None else [])]
-            free = (0 if pd.isna(r.room_after) else int(r.room_after)) - s["moving"]
-            wait = []
-            for g in sorted(s["gaps"]):
-                end = s["prefix"] + count
-                if g in (s["prefix"], end):
-                    yield (r.phrase, "ALREADY_ALIGNED", g, 0)
-                elif g > end:
-                    wait.append(g)
-                else:
-                    moved = end - g
-                    if moved <= free:
-                        count -= moved
-                        free -= moved
-                        s["moving"] += moved
-                        yield (r.phrase, "REALIGNED", g, moved)
-                    else:
-                        yield (r.phrase, "FAILED", g, moved - free)
-            s["gaps"] = wait
-            s["prefix"] += count
-            yield (r.phrase, "COUNT", None, count)
+            if r.kind == 1:
+                todo = [int(r.at)] if s["cur"] else []
+            else:
+                if s["cur"]:
+                    yield (s["cur"][0], "COUNT", None, s["cur"][1])
+                    s["prefix"] += s["cur"][1]
+                take = min(s["moving"], max(0, int(r.phones) - int(r.notes)))
+                s["moving"] -= take
+                free = (0 if pd.isna(r.room_after) else int(r.room_after)) - s["moving"]
+                s["cur"] = [int(r.phrase), int(r.notes) + take, free]
+                todo, s["gaps"] = s["gaps"], []
+            for g in todo:
+                done = place(s, g)
+                if done:
+                    yield done
+        if last and s["cur"]:
+            yield (s["cur"][0], "COUNT", None, s["cur"][1])
         return s
 
     schema = "phrase long, kind string, boundary_index long, value long"
-    return fold(rows.withColumnRenamed("count", "count_"), song, ["phrase"], rule, schema, refine(hot, rows, song))
+    return fold(rows, song, ["at", "kind", "phrase"], rule, schema, refine(hot, rows, song))
 
 
 # -- labels ---------------------------------------------------------------------------

@@ -230,7 +230,9 @@ def tree_fingerprint(members: DataFrame, path: str = "path", digest: str = "sha2
     """
     line = F.concat(F.col(path), F.lit("\t"), F.col(digest))
     bucket = F.substring(F.sha2(path, 256), 1, 3)
-    leaves = members.select(bucket.alias("bucket"), F.struct(F.col(path).alias("p"), line.alias("line")).alias("m"))
+    # Copies of one (path, hash) count once, so a bucket holds its share of distinct paths only.
+    distinct = members.select(path, digest).distinct()
+    leaves = distinct.select(bucket.alias("bucket"), F.struct(F.col(path).alias("p"), line.alias("line")).alias("m"))
     hashed = leaves.groupBy("bucket").agg(
         F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("m")), lambda m: m["line"]), "\n"), 256).alias("h"),
         F.count(F.lit(1)).alias("n"),

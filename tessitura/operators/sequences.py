@@ -258,24 +258,34 @@ def audit_filled(filled: DataFrame, hot=None, tol: int = 1) -> DataFrame:
 # -- rests ------------------------------------------------------------------------
 
 
+def _beside(elements: DataFrame, keys: Sequence[str], midi: Column, failed: Column, hot, *stages) -> DataFrame:
+    """Side of the nearest non-rest neighbour in pitch per failed rest; right wins ties."""
+    note = F.when(F.col("kind") == "note", F.struct("element", "pitch"))
+    dl, dr = F.abs(midi - F.col("l.pitch")), F.abs(midi - F.col("r.pitch"))
+    right = F.col("r").isNotNull() & (F.col("l").isNull() | dr.isNull() | (dr <= dl))
+    side = F.when((F.col("kind") == "rest") & failed & (F.col("l").isNotNull() | F.col("r").isNotNull()), F.when(right, "right").otherwise("left"))
+    rows = scan(elements, keys, ["element"], [last_seen("l", note), next_seen("r", note)], refine(hot, elements, keys), *[make(side) for make in stages])
+    return rows.withColumn("side", side)
+
+
 def rest_targets(elements: DataFrame, keys: Sequence[str], midi: Column, hot=None) -> DataFrame:
     """For each rest the non-rest neighbour nearest in pitch; the right one wins ties.
 
     ``elements``: keys, element, kind, pitch. ``midi`` is the pitch heard in the rest, or null.
     """
-    note = F.when(F.col("kind") == "note", F.struct("element", "pitch"))
-    rows = scan(elements, keys, ["element"], [last_seen("l", note), next_seen("r", note)], refine(hot, elements, keys))
-    dl, dr = F.abs(midi - F.col("l.pitch")), F.abs(midi - F.col("r.pitch"))
-    right = F.col("r").isNotNull() & (F.col("l").isNull() | dr.isNull() | (dr <= dl))
-    target = F.when(right, F.col("r.element")).otherwise(F.col("l.element"))
-    return rows.where("kind = 'rest'").select(
-        *keys, "element", target.alias("target"), F.when(target.isNull(), None).when(right, "right").otherwise("left").alias("side"),
-        (F.col("end_us") - F.col("start_us")).alias("moved"),
-    )
+    rows = _beside(elements, keys, midi, F.lit(True), hot).where("kind = 'rest'")
+    target = F.when(F.col("side") == "right", F.col("r.element")).when(F.col("side") == "left", F.col("l.element"))
+    return rows.select(*keys, "element", target.alias("target"), "side", (F.col("end_us") - F.col("start_us")).alias("moved"))
 
 
-def absorb_rests(elements: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Note durations after the failed rests have been added to their target notes."""
-    extra = targets.where("target is not null").groupBy(*keys, F.col("target").alias("element")).agg(F.sum("moved").alias("absorbed"))
-    notes = elements.where("kind = 'note'").join(extra, [*keys, "element"], "left").fillna(0, ["absorbed"])
-    return notes.select(*keys, "element", "note_index", (F.col("end_us") - F.col("start_us") + F.col("absorbed")).alias("note_dur"), "absorbed")
+def absorb_rests(elements: DataFrame, keys: Sequence[str], midi: Column, failed: Column, hot=None) -> DataFrame:
+    """Note durations after failed rests went to their neighbours.
+
+    Rests fill whole gaps, so a note can only take the rest right before and right after
+    it: one more pass over the same order, no join.
+    """
+    moved = F.col("end_us") - F.col("start_us")
+    near = lambda side: [previous("__p", F.struct(side.alias("side"), moved.alias("len"))), following("__f", F.struct(side.alias("side"), moved.alias("len")))]
+    rows = _beside(elements, keys, midi, failed, hot, near).where("kind = 'note'")
+    extra = F.when(F.col("__p.side") == "right", F.col("__p.len")).otherwise(0) + F.when(F.col("__f.side") == "left", F.col("__f.len")).otherwise(0)
+    return rows.select(*keys, "element", "note_index", (moved + extra).alias("note_dur"), extra.alias("absorbed"))

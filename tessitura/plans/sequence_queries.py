@@ -166,23 +166,21 @@ def _elements(t: Tables):
     return QUERIES["rest_insertion"].build(t)
 
 
-def _targets(t: Tables, elements):
-    heard = 48 + F.expr("start_us div 1000000") % 25
-    return sq.rest_targets(elements, PIECE_KEYS, heard, t.hot_songs)
+def _heard():
+    return 48 + F.expr("start_us div 1000000") % 25
 
 
 @query(f"WITH {TARGETS} SELECT * FROM tg")
 def rest_neighbours(t: Tables):
-    return _targets(t, _elements(t))
+    return sq.rest_targets(_elements(t), PIECE_KEYS, _heard(), t.hot_songs)
 
 
 @query(f"""WITH {TARGETS} SELECT e.song_id, e.clip_id, e.piece_start, e.element, e.note_index, CAST(end_us - start_us + coalesce(m, 0) AS BIGINT) AS note_dur, CAST(coalesce(m, 0) AS BIGINT) AS absorbed
     FROM el e LEFT JOIN (SELECT song_id, clip_id, piece_start, target, sum(moved) AS m FROM tg WHERE moved < {120 * MINUTE_US} GROUP BY ALL) x
     ON x.song_id = e.song_id AND x.clip_id = e.clip_id AND x.piece_start = e.piece_start AND x.target = e.element WHERE kind = 'note'""")
 def rest_absorption(t: Tables):
-    elements = _elements(t)
-    failed = _targets(t, elements).where(F.col("moved") < 120 * MINUTE_US)
-    return sq.absorb_rests(elements, failed, PIECE_KEYS)
+    short = F.col("end_us") - F.col("start_us") < 120 * MINUTE_US
+    return sq.absorb_rests(_elements(t), PIECE_KEYS, _heard(), short, t.hot_songs)
 
 
 # -- gap repair ---------------------------------------------------------------------
