@@ -64,12 +64,30 @@ def subtract(base, cuts, keys, eps=0, start=START, end=END, hot: HotKeys | None
     """Union of ``base`` minus union of ``cuts``; pieces of at most ``eps`` are dropped.
 
     One sweep over interval edges replaces the nested loop. A cut that reaches into a
-    base by at most ``eps`` leaves that edge where it was.
+    base by at most ``eps`` leaves that edge where it was. On an exact timeline the sweep
+    counts depths of the raw intervals, so one shuffle serves both sides and the merge.
     """
+    if eps == 0:
+        return union(_bare_segments(base, cuts, keys, start, end, hot), keys, 0, start, end, hot)
     whole = union(base, keys, eps, start, end, hot)
     holes = union(cuts, keys, eps, start, end, hot)
     pieces = subtract_disjoint(whole, holes, keys, eps, start, end, hot)
-    return union(pieces, keys, eps, start, end, hot) if eps else pieces
+    return union(pieces, keys, eps, start, end, hot)
+
+
+def _bare_segments(base, cuts, keys, start, end, hot) -> DataFrame:
+    """Stretches between neighbouring edges that lie in some base and in no cut."""
+
+    def edges(rows: DataFrame, kind: int) -> DataFrame:
+        edge = F.array(F.struct(F.col(start).alias("at"), F.lit(1).alias("step")), F.struct(F.col(end).alias("at"), F.lit(-1).alias("step")))
+        out = rows.where(F.col(end) > F.col(start)).select(*keys, F.explode(edge).alias("e"))
+        return out.select(*keys, F.col("e.at").alias("at"), F.lit(kind).alias("kind"), F.col("e.step").alias("step"))
+
+    depth = lambda kind: F.when(F.col("kind") == kind, F.col("step")).otherwise(0)
+    steps = [running_sum("in_base", depth(0)), running_sum("in_cut", depth(1)), following("until", F.col("at"))]
+    swept = scan(edges(base, 0).unionByName(edges(cuts, 1)), keys, ["at", "kind", "step"], steps, hot)
+    bare = swept.where((F.col("in_base") > 0) & (F.col("in_cut") == 0) & (F.col("until") > F.col("at")))
+    return bare.select(*keys, F.col("at").alias(start), F.col("until").alias(end))
 
 
 def subtract_disjoint(whole, holes, keys, eps=0, start=START, end=END, hot=None, carry=()) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import intervals as iv
-from .scans import HotKeys, previous, refine, row_number, running_sum, scan
+from .scans import HotKeys, Scan, following, previous, refine, row_number, running_sum, scan
 
 SONG = ["song_id"]
 
@@ -130,20 +130,34 @@ def plan_pieces(windows, exclusions, min_piece: int, eps=0, hot=None):
     whole and its exclusions come back as pause candidates. Windows must be disjoint
     (``audit_windows`` reports those that are not).
 
-    Returns ``(pieces, pause_candidates, effective_exclusions)``.
+    Returns ``(pieces, pause_candidates, effective_exclusions)``. Pieces and pauses come from
+    one sweep and one scan; the facts about a window are forward and backward sums over
+    its own parts.
     """
     cuts = iv.union(exclusions, SONG, eps, hot=hot)
-    base = windows.select("song_id", "clip_id", "start_us", "end_us")
-    parts = iv.subtract_disjoint(base, cuts, SONG, eps, hot=hot, carry=["clip_id"])
-    span = (F.min(F.col("end_us") - F.col("start_us")) < min_piece - eps).alias("short")
-    whole_len = F.sum(F.col("end_us") - F.col("start_us")).alias("kept")
-    short = parts.groupBy("song_id", "clip_id").agg(span, whole_len).where("short")
-    restored = base.join(short, ["song_id", "clip_id"]).where(F.col("end_us") - F.col("start_us") - F.col("kept") > eps)
-    restored = restored.select(*base.columns)
-    kept = parts.join(restored.select("song_id", "clip_id"), ["song_id", "clip_id"], "left_anti")
-    pieces = kept.unionByName(restored)
-    inside = parts.join(restored.select("song_id", "clip_id"), ["song_id", "clip_id"], "left_semi")
-    pauses = iv.subtract_disjoint(restored, inside.select("song_id", "start_us", "end_us"), SONG, eps, hot=hot, carry=["clip_id"])
+    base = windows.select("song_id", "clip_id", "start_us", "end_us", F.col("start_us").alias("w_from"), F.col("end_us").alias("w_to"))
+    parts = iv.subtract_disjoint(base, cuts, SONG, eps, hot=hot, carry=["clip_id", "w_from", "w_to"])
+    size = F.col("end_us") - F.col("start_us")
+    keys = ["song_id", "clip_id"]
+    rows = scan(
+        parts, keys, ["start_us"],
+        [
+            running_sum("__s1", size), Scan("__s2", "sum", size, reverse=True),
+            Scan("__m1", "min", size, inclusive=True), Scan("__m2", "min", size, inclusive=True, reverse=True),
+            previous("__left", F.col("end_us")), following("__right", F.col("start_us")),
+        ],
+        refine(hot, parts, keys),
+    )
+    kept = F.col("__s1") + F.coalesce("__s2", F.lit(0))
+    whole = (F.least("__m1", "__m2") < min_piece - eps) & (F.col("w_to") - F.col("w_from") - kept > eps)
+    first, last = F.col("__left").isNull(), F.col("__right").isNull()
+    pieces = rows.where(~whole | first).select(
+        *keys, F.when(whole, F.col("w_from")).otherwise(F.col("start_us")).alias("start_us"), F.when(whole, F.col("w_to")).otherwise(F.col("end_us")).alias("end_us")
+    )
+    before = F.struct(F.coalesce("__left", "w_from").alias("a"), F.col("start_us").alias("b"))
+    after = F.when(last, F.struct(F.col("end_us").alias("a"), F.col("w_to").alias("b")))
+    pauses = rows.where(whole).select(*keys, F.explode(F.array_compact(F.array(before, after))).alias("p")).where(F.col("p.b") - F.col("p.a") > eps)
+    pauses = pauses.select(*keys, F.col("p.a").alias("start_us"), F.col("p.b").alias("end_us"))
     effective = iv.subtract(exclusions, pauses, SONG, eps, hot=hot)
     return pieces, pauses, effective
 
@@ -151,21 +165,42 @@ def plan_pieces(windows, exclusions, min_piece: int, eps=0, hot=None):
 def window_elements(pieces, notes, eps=0, hot: HotKeys | None = None) -> DataFrame:
     """Notes wholly inside a piece plus the rests that fill it, in order.
 
-    Notes must not overlap each other. One row per element: kind note or rest.
+    Notes must not overlap each other. One row per element: kind note or rest. A piece
+    without a note gives no element (``segment_plan`` reports it). One as-of lookup and one
+    scan: every note emits the rest before it, and the last one the rest after it.
     """
     marks = pieces.select("song_id", "clip_id", F.col("start_us").alias("p_start"), F.col("end_us").alias("p_end"))
-    probes = notes.withColumn("__limit", F.col("start_us") + eps)
+    probes = notes.where("end_us > start_us").withColumn("__limit", F.col("start_us") + eps)
     found = iv.asof(probes, marks, SONG, "__limit", "p_start", ["clip_id", "p_start", "p_end"], hot=hot)
     inside = found.where(F.col("end_us") <= F.col("mark.p_end") + eps).select(
-        "song_id", F.col("mark.clip_id").alias("clip_id"), F.col("mark.p_start").alias("piece_start"),
-        F.lit("note").alias("kind"), "note_index", "pitch", "start_us", "end_us",
+        "song_id", F.col("mark.clip_id").alias("clip_id"), F.col("mark.p_start").alias("piece_start"), F.col("mark.p_end").alias("piece_end"),
+        "note_index", "pitch", "start_us", "end_us",
+    )
+    keys, order = ["song_id", "clip_id", "piece_start"], ["start_us", "end_us"]
+    open_from = F.coalesce("__left", "piece_start")
+    lead = F.col("start_us") - open_from > eps
+    tail = F.col("__right").isNull() & (F.col("piece_end") - F.col("end_us") > eps)
+    emitted = 1 + F.when(lead, 1).otherwise(0) + F.when(tail, 1).otherwise(0)
+    rows = scan(
+        inside, keys, order, [previous("__left", F.col("end_us")), following("__right", F.col("start_us"))], refine(hot, inside, keys),
+        [running_sum("__upto", emitted.cast("bigint"))],
+    )
+    none = F.lit(None).cast("bigint")
+
+    def element(kind: str, place: Column, begin: Column, end: Column) -> Column:
+        note = kind == "note"
+        return F.struct(
+            F.lit(kind).alias("kind"), (F.col("note_index") if note else none).alias("note_index"), (F.col("pitch").cast("bigint") if note else none).alias("pitch"),
+            begin.alias("start_us"), end.alias("end_us"), place.cast("bigint").alias("element"),
+        )
+
+    at = F.col("__upto") - F.when(tail, 1).otherwise(0)
+    parts = F.array(
+        F.when(lead, element("rest", at - 1, open_from, F.col("start_us"))),
+        element("note", at, F.col("start_us"), F.col("end_us")),
+        F.when(tail, element("rest", at + 1, F.col("end_us"), F.col("piece_end"))),
     )
-    base = pieces.withColumn("piece_start", F.col("start_us"))
-    holes = iv.union(inside, SONG, hot=hot)
-    rests = iv.subtract_disjoint(base, holes, SONG, eps, hot=hot, carry=["clip_id", "piece_start"]).withColumn("kind", F.lit("rest"))
-    both = inside.where("end_us > start_us").unionByName(rests, allowMissingColumns=True)
-    keys = ["song_id", "clip_id", "piece_start"]
-    return scan(both, keys, ["start_us", "end_us"], [row_number("element")], refine(hot, both, keys))
+    return rows.select(*keys, F.explode(F.array_compact(parts)).alias("e")).select(*keys, "e.*")
 
 
 def split_over_spans(notes, spans, bin_us: int, min_piece: int) -> DataFrame:

@@ -222,7 +222,8 @@ def restored_pauses(t: Tables):
         SELECT *, max(end_us) OVER (PARTITION BY song_id, clip_id, piece_start ORDER BY start_us, end_us
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS max_end FROM edge) WHERE start_us > max_end),
     both_kinds AS (SELECT song_id, clip_id, piece_start, kind, note_index, pitch, start_us, end_us FROM inside
-        UNION ALL SELECT song_id, clip_id, piece_start, 'rest', NULL, NULL, start_us, end_us FROM rests)
+        UNION ALL SELECT song_id, clip_id, piece_start, 'rest', NULL, NULL, start_us, end_us FROM rests
+          WHERE (song_id, clip_id, piece_start) IN (SELECT (song_id, clip_id, piece_start) FROM inside))
     SELECT *, row_number() OVER (PARTITION BY song_id, clip_id, piece_start ORDER BY start_us, end_us) AS element FROM both_kinds""")
 def rest_insertion(t: Tables):
     pieces = windows.plan_pieces(t.windows(), t.exclusions(), 30 * MINUTE_US, hot=t.hot_songs)[0]
