@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import octave_distance
-from .scans import HotKeys, following, refine, row_number, running_sum, scan
+from .scans import HotKeys, Scan, following, refine, row_number, running_sum, scan
 
 
 def percentiles(rows: DataFrame, keys: Sequence[str], value: Column, wanted: dict[str, tuple[str, float]], hot: HotKeys | None = None) -> DataFrame:
@@ -21,9 +21,10 @@ def percentiles(rows: DataFrame, keys: Sequence[str], value: Column, wanted: dic
     """
     keys = list(keys)
     counts = rows.select(*keys, value.alias("__v")).where("__v is not null").groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    ranked = scan(counts, keys, ["__v"], [running_sum("__upto", F.col("__c"))], refine(hot, counts, keys))
-    totals = counts.groupBy(*keys).agg(F.sum("__c").alias("n"))
-    both = ranked.join(totals, keys) if keys else ranked.withColumn("n", totals.scalar())
+    # The count of a key is what lies up to a value plus what lies after it: no second pass.
+    steps = [running_sum("__upto", F.col("__c")), Scan("__after", "sum", F.col("__c"), reverse=True)]
+    both = scan(counts, keys, ["__v"], steps, refine(hot, counts, keys))
+    both = both.withColumn("n", F.col("__upto") + F.coalesce("__after", F.lit(0)))
 
     def at_rank(rank: Column) -> Column:
         return F.max(F.when((rank > F.col("__upto") - F.col("__c")) & (rank <= F.col("__upto")), F.col("__v")))
@@ -118,9 +119,14 @@ def pitch_delta_summary(rows: DataFrame, keys: Sequence[str], delta: Column, hot
         F.max("raw").alias("max_delta"), F.count_if(octave).alias("octave_frames"),
         F.count_if((F.col("raw") > 1.0) & ~octave).alias("over_1"), F.count_if((F.col("raw") > 2.0) & ~octave).alias("over_2"),
     )
-    raw = percentiles(good, keys, F.col("raw"), {"median_delta": ("upper", 0.5), "p95_delta": ("nearest", 0.95)}, hot)
-    adj = percentiles(good, keys, F.col("adj"), {"adjusted_median": ("upper", 0.5), "adjusted_p95": ("nearest", 0.95)}, hot).drop("n")
-    out = counts.join(raw, keys).join(adj, keys)
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("__k"), F.col(k).alias("__x")) for k in ("raw", "adj")]))
+    long = good.select(*keys, kinds.alias("e")).select(*keys, "e.*")
+    both = percentiles(long, [*keys, "__k"], F.col("__x"), {"mid": ("upper", 0.5), "p95": ("nearest", 0.95)}, refine(hot, long, [*keys, "__k"]))
+    pick = lambda k, c, name: F.max(F.when(F.col("__k") == k, F.col(c))).alias(name)
+    ranks = both.groupBy(*keys).agg(
+        F.max("n").alias("n"), pick("raw", "mid", "median_delta"), pick("raw", "p95", "p95_delta"), pick("adj", "mid", "adjusted_median"), pick("adj", "p95", "adjusted_p95")
+    )
+    out = counts.join(ranks, keys)
     n = F.col("n")
     raw_ok = (F.col("median_delta") <= 0.5) & (F.col("p95_delta") <= 1.0)
     robust = (F.col("median_delta") <= 0.5) & (F.col("adjusted_median") <= 0.5) & (F.col("octave_frames") / n <= 0.10)

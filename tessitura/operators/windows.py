@@ -203,7 +203,7 @@ def window_elements(pieces, notes, eps=0, hot: HotKeys | None = None) -> DataFra
     return rows.select(*keys, F.explode(F.array_compact(parts)).alias("e")).select(*keys, "e.*")
 
 
-def split_over_spans(notes, spans, bin_us: int, min_piece: int) -> DataFrame:
+def split_over_spans(notes, spans, bin_us: int, min_piece: int, hot=None) -> DataFrame:
     """Cut notes at span borders; a note that would leave a sliver goes whole to one span.
 
     ``spans`` has ``song_id, span_index, span_start, span_end``. When a note overlaps
@@ -213,15 +213,16 @@ def split_over_spans(notes, spans, bin_us: int, min_piece: int) -> DataFrame:
     touches = (F.col("end_us") > F.col("span_start")) & (F.col("start_us") < F.col("span_end"))
     pairs = iv.overlap_join(notes, spans, SONG, bin_us, touches, ("start_us", "end_us"), ("span_start", "span_end"))
     pairs = pairs.select(
-        *notes.columns, "span_index",
+        *notes.columns, "span_index", "span_start", "span_end",
         F.greatest("start_us", "span_start").alias("seg_start"), F.least("end_us", "span_end").alias("seg_end"),
     ).withColumn("overlap", F.col("seg_end") - F.col("seg_start"))
-    best = pairs.groupBy("song_id", "note_index").agg(
-        F.count(F.lit(1)).alias("spans"), F.min("overlap").alias("smallest"),
-        F.max_by("span_index", F.struct("overlap", -F.col("span_index"))).alias("best_span"),
-    )
-    whole = (F.col("spans") > 1) & (F.col("smallest") < min_piece)
+    key, rank = ["song_id", "note_index"], F.struct("overlap", -F.col("span_index"))
+    both_ways = lambda name, op, value: [Scan(f"__{name}1", op, value, inclusive=True), Scan(f"__{name}2", op, value, reverse=True)]
+    steps = [*both_ways("n", "sum", F.lit(1)), *both_ways("min", "min", F.col("overlap")), *both_ways("best", "max", rank)]
+    seen = scan(pairs, key, ["span_index"], steps, refine(hot, pairs, key))
+    several = F.col("__n1") + F.coalesce("__n2", F.lit(0)) > 1
+    whole = several & (F.least("__min1", "__min2") < min_piece)
     cut = (F.col("seg_start") != F.col("start_us")) | (F.col("seg_end") != F.col("end_us"))
-    return pairs.join(best, ["song_id", "note_index"]).where(~whole | (F.col("span_index") == F.col("best_span"))).select(
-        "song_id", "note_index", "span_index", "seg_start", "seg_end", cut.alias("split")
+    return seen.where(~whole | (rank == F.greatest("__best1", "__best2"))).select(
+        "song_id", "note_index", "span_index", "span_start", "span_end", "seg_start", "seg_end", cut.alias("split")
     )

@@ -156,12 +156,13 @@ def segment_plan(windows: DataFrame, exclusions: DataFrame, notes: DataFrame, mi
     """Pieces with their elements, issues, pause candidates and the coverage contract."""
     pieces, pauses, effective = wn.plan_pieces(windows, exclusions, min_piece, eps, hot)
     elements = wn.window_elements(pieces, notes, eps, hot)
-    sung = elements.where("kind = 'note'").select("song_id", "clip_id", F.col("piece_start").alias("start_us")).distinct()
-    mute = pieces.join(sung, ["song_id", "clip_id", "start_us"], "left_anti").select("song_id", "clip_id", "start_us", "end_us", F.lit("ACCEPTED_COVERAGE_WITHOUT_NOTE").alias("type"))
-    live = pieces.join(sung, ["song_id", "clip_id", "start_us"], "left_semi")
+    key = ["song_id", "clip_id", "start_us"]
+    sung = elements.where("kind = 'note'").select("song_id", "clip_id", F.col("piece_start").alias("start_us"), F.lit(None).cast("bigint").alias("end_us"), F.lit(1).alias("sung"))
+    known = pieces.select(*key, "end_us", F.lit(0).alias("sung")).unionByName(sung).groupBy(*key).agg(F.max("end_us").alias("end_us"), F.max("sung").alias("sung"))
     size = F.col("end_us") - F.col("start_us")
-    kind = F.when(size > max_piece + eps, "WINDOW_HARD_LIMIT_EXCEEDED").when(size < min_piece - eps, "SHORT_WINDOW_AFTER_ACCEPTED_COVERAGE")
-    issues = mute.unionByName(live.select("song_id", "clip_id", "start_us", "end_us", kind.alias("type")).where("type is not null"))
+    kind = F.when(F.col("sung") == 0, "ACCEPTED_COVERAGE_WITHOUT_NOTE").when(size > max_piece + eps, "WINDOW_HARD_LIMIT_EXCEEDED")
+    issues = known.select(*key, "end_us", kind.when(size < min_piece - eps, "SHORT_WINDOW_AFTER_ACCEPTED_COVERAGE").alias("type")).where("type is not null")
+    live = known.where("sung = 1")
     return elements, issues, pauses, wn.coverage_contract(windows, effective, live, eps, hot)
 
 
@@ -214,8 +215,8 @@ def training_manifest(items: DataFrame, exclusions: DataFrame, extents: DataFram
 
 def timing_repair(notes: DataFrame, spans: DataFrame, bin_us: int, min_piece: int, hot=None):
     """Notes cut at span borders and made continuous, with a fresh audit of the result."""
-    cut = wn.split_over_spans(notes.select("song_id", "note_index", "start_us", "end_us"), spans, bin_us, min_piece)
-    filled = sq.fill_spans(cut.join(spans, ["song_id", "span_index"]), hot)
+    cut = wn.split_over_spans(notes.select("song_id", "note_index", "start_us", "end_us"), spans, bin_us, min_piece, hot)
+    filled = sq.fill_spans(cut, hot)
     return filled, sq.audit_filled(filled, hot)
 
 

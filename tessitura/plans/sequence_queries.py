@@ -137,8 +137,8 @@ SEGMENTS = f"""spans AS (SELECT *, row_number() OVER (PARTITION BY song_id ORDER
 def _filled(t: Tables):
     spans = scan(t.windows(), SONG, ["start_us", "clip_id"], [running_sum("n", F.lit(1).cast("bigint"))], t.hot_songs)
     spans = spans.select("song_id", (F.col("n") - 1).alias("span_index"), F.col("start_us").alias("span_start"), F.col("end_us").alias("span_end"))
-    cut = windows.split_over_spans(t.notes().select("song_id", "note_index", "start_us", "end_us"), spans, BIN, SPLIT)
-    return sq.fill_spans(cut.join(spans, ["song_id", "span_index"]), t.hot_songs)
+    cut = windows.split_over_spans(t.notes().select("song_id", "note_index", "start_us", "end_us"), spans, BIN, SPLIT, t.hot_songs)
+    return sq.fill_spans(cut, t.hot_songs)
 
 
 @query(f"WITH {SEGMENTS} SELECT * FROM filled")

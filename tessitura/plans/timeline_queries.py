@@ -162,7 +162,7 @@ def note_span_split(t: Tables):
     spans = scan(t.windows(), SONG, ["start_us", "clip_id"], [running_sum("n", F.lit(1).cast("bigint"))], t.hot_songs)
     spans = spans.select("song_id", (F.col("n") - 1).alias("span_index"), F.col("start_us").alias("span_start"), F.col("end_us").alias("span_end"))
     notes = t.notes().select("song_id", "note_index", "start_us", "end_us")
-    return windows.split_over_spans(notes, spans, BIN, SPLIT)
+    return windows.split_over_spans(notes, spans, BIN, SPLIT, t.hot_songs).drop("span_start", "span_end")
 
 
 @query("""WITH cut AS (SELECT song_id, CAST(sum(end_us - start_us) AS BIGINT) AS pruned_us, count(*) AS pieces FROM u_exclusions GROUP BY song_id),
