@@ -258,3 +258,95 @@ def resolve_model_files(register: DataFrame, files: DataFrame) -> DataFrame:
 def status_words(rows: DataFrame, column: str = "status", allowed: Sequence[str] = RUN_STATUSES) -> DataFrame:
     """Rows whose status is not in the vocabulary."""
     return rows.where(~F.coalesce(F.col(column).isin(*allowed), F.lit(False)))
+
+
+# Files that mark a training package.
+PACKAGE_MARKERS = (
+    "dataset/raw/transcriptions.csv", "metadata/manifest.jsonl", "reports/qa_final.json", "splits/development.json", "splits/final.json",
+)
+
+
+def package_type(members: DataFrame) -> DataFrame:
+    """``archive, package_type``: a training package has all markers, every other one is a legacy package."""
+    hits = [F.max(F.when(F.col("member") == m, 1).otherwise(0)) for m in PACKAGE_MARKERS]
+    total = sum(hits[1:], hits[0])
+    return members.groupBy("archive").agg(total.alias("n")).select("archive", F.when(F.col("n") == len(PACKAGE_MARKERS), "training_dataset_v1").otherwise("legacy").alias("package_type"))
+
+
+def legacy_package(members: DataFrame, items: DataFrame, checksums: DataFrame) -> DataFrame:
+    """Check table of an older package. ``members``: path, sha256; ``items``: name and sequence strings."""
+    absent = lambda name: members.agg(F.count_if(F.col("path") == name).alias("n")).where("n = 0")
+    listed = checksums.select("path", F.col("sha256").alias("want")).join(members, "path", "left")
+    contract = item_issues(items, "name").where(F.col("type").rlike("^(PH_NUM|NON_POSITIVE_PH_NUM|NOTE_|NON_POSITIVE_NOTE|UNKNOWN_NOTE|MISSING_FIELD:(lang|ph|note))"))
+    no_items = members.agg(F.count_if(F.col("path").endswith(".ds")).alias("n")).where("n = 0")
+    return check_table(
+        {"DS_PRESENT": no_items, "DS_PARSE": contract, "MANIFEST_PRESENT": absent("manifest.jsonl"), "QA_PRESENT": absent("qa.json"), "HASH": listed.where(~F.col("sha256").eqNullSafe(F.col("want")))}
+    )
+
+
+def final_dataset(transcriptions: DataFrame, manifest: DataFrame, wavs: DataFrame, coverage: DataFrame, rate: int = 44_100) -> DataFrame:
+    """Check table of a built training set.
+
+    ``manifest``: name, record_type, review_status, note_slur. ``coverage``: rows of the
+    coverage contract with their state.
+    """
+    eps = 1.0 / rate
+    train = manifest.where("record_type = 'training'").select("name", F.col("note_slur").alias("__slur"), F.lit(True).alias("__listed"))
+    heads = wavs.select("name", "sample_rate", "channels", "bit_depth", (F.col("frames") / rate).alias("sec"), F.lit(True).alias("__wav"))
+    rows = transcriptions.join(train, "name", "left").join(heads, "name", "left")
+    ph, num, notes = fn.tokens(F.col("ph_seq")), fn.integers(F.col("ph_num")), fn.tokens(F.col("note_seq"))
+    pd_, nd, slur = fn.numbers(F.col("ph_dur")), fn.numbers(F.col("note_dur")), fn.tokens(F.col("__slur"))
+    same = (F.size(ph) == F.size(pd_)) & (F.aggregate(num, F.lit(0).cast("bigint"), lambda a, v: a + v) == F.size(ph)) & (F.size(notes) == F.size(nd))
+    length = F.forall(F.concat(pd_, nd), lambda v: v > 0) & (F.abs(fn.total(pd_) - fn.total(nd)) <= eps)
+    good = (F.col("sample_rate") == rate) & (F.col("channels") == 1) & (F.col("bit_depth") == 16)
+    slurs = (F.size(slur) == F.size(notes)) & F.forall(slur, lambda v: v.isin("0", "1"))
+    broken = lambda test: rows.where(~F.coalesce(test, F.lit(False)))
+    return check_table(
+        {
+            "TRAINING_ROWS": transcriptions.agg(F.count(F.lit(1)).alias("n")).where("n = 0"),
+            "MANIFEST_ROW_MISSING": broken(F.col("__listed")), "SEQUENCE_CONTRACT": broken(same), "DURATION_CONTRACT": broken(length),
+            "WAV_DECODE": broken(F.col("__wav")), "WAV_FORMAT": rows.where(F.col("__wav") & ~good),
+            "WAV_DURATION_CONTRACT": rows.where(F.col("__wav") & (F.abs(F.col("sec") - fn.total(nd)) > eps)),
+            "NOTE_SLUR_CONTRACT": rows.where(F.col("__listed") & ~F.coalesce(slurs, F.lit(False))),
+            "SOURCE_COVERAGE_CONTRACT": coverage.where("state <> 'EQUAL'"), "PENDING_ZERO": manifest.where("review_status = 'pending'"),
+        }
+    )
+
+
+def batch_repair(queue: DataFrame, notes: DataFrame, locks: DataFrame, cuts: DataFrame, budget: DataFrame, before: DataFrame, after: DataFrame, eps: int = 1, hot=None) -> DataFrame:
+    """Check table of an applied batch repair.
+
+    ``before`` / ``after``: path, sha256 of files the repair must not touch; ``budget``: rows
+    of ``prune_budget``.
+    """
+    traced = F.col("root_issue_id").isNotNull() & F.col("resolution_action").isNotNull() & F.col("artifact_sha256").isNotNull()
+    late = iv.running_max_violations(notes, ["song_id"], ["note_index"], eps, hot=hot)
+    changed = before.join(after.select("path", F.col("sha256").alias("now")), "path", "left").where(~F.col("sha256").eqNullSafe(F.col("now")))
+    return check_table(
+        {
+            "QUEUE_RESOLVED": queue.where(~settled(F.col("status"))), "QUEUE_TRACE_FIELDS": queue.where(~traced),
+            "NOTE_DURATION": notes.where("end_us <= start_us"), "NOTE_ORDER": late,
+            "LOCK_STATUS": locks.where(~F.coalesce(F.col("status").isin("LOCKED", "EXCLUDED"), F.lit(False))),
+            "CUT_INTERVALS": cuts.where("end_us <= start_us or start_us is null or end_us is null"),
+            "SOURCE_PRESERVED": changed, "PRUNE_BUDGET": budget.where("status <> 'WITHIN_BUDGET'"),
+        }
+    )
+
+
+def candidate_stage(sources: DataFrame, entries: DataFrame, allowed: Sequence[str], assigned: DataFrame, reported: DataFrame, issues: DataFrame, decided: DataFrame, hot=None) -> DataFrame:
+    """Check table of a candidate set: sources unchanged, phones allowed, mapping complete, issues decided.
+
+    ``sources``: path, sha256, now_sha256. ``reported``: song_id, mapped_notes. ``decided``: issue_id.
+    """
+    counts = assigned.groupBy("song_id").agg(F.count(F.lit(1)).alias("n"))
+    timing = iv.running_max_violations(assigned, ["song_id"], ["note_index"], 0, hot=hot)
+    bad = assigned.where("start_us < 0 or end_us <= start_us or note_slur not in (0, 1)")
+    return check_table(
+        {
+            "SOURCE_HASH": sources.where(~F.col("sha256").eqNullSafe(F.col("now_sha256"))),
+            "G2P_FILES": entries.where(F.exists("phones", lambda p: ~p.isin(*allowed)) | (F.size("phones") == 0)),
+            "NOTE_FILES": reported.join(counts, "song_id", "left").where(~F.col("n").eqNullSafe(F.col("mapped_notes")) & (F.col("mapped_notes") > 0)),
+            "NOTE_TIMING": bad.select("song_id").unionByName(timing.select("song_id")),
+            "CANDIDATE_REPORTS": issues.join(decided.select("issue_id"), "issue_id", "left_anti"),
+        }
+    )

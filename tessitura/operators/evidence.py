@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import dbfs
 from .intervals import overlap_join
-from .scans import following, previous, running_sum, scan
+from .scans import following, previous, refine, running_sum, scan
 from .stats import percentiles
 
 SONG = ["song_id"]
@@ -188,3 +188,26 @@ def apply_decisions(notes: DataFrame, decisions: DataFrame, hot=None):
         "song_id", F.col("last_end").alias("start_us"), F.col("start_us").alias("end_us"), F.col("before").alias("reason")
     )
     return moved, cuts
+
+
+def interval_features(frames: DataFrame, spans: DataFrame, bin_width: int, voice_db: float, hot=None) -> DataFrame:
+    """Loudness, brightness, pitch and voiced share of each interval.
+
+    ``frames``: song_id, pos, db, centroid, f0. ``spans``: song_id, span_id, s_from, s_to. Gives the
+    75th percentile of db, the median centroid, the median f0 of voiced frames and the
+    voiced ratio; an interval without frames has nulls and ratio 0.
+    """
+    key = ["song_id", "span_id"]
+    points = frames.withColumn("pos_end", F.col("pos") + 1)
+    pairs = overlap_join(points, spans, SONG, bin_width, (F.col("pos") >= F.col("s_from")) & (F.col("pos") < F.col("s_to")), ("pos", "pos_end"), ("s_from", "s_to"))
+    voiced = F.col("db") > voice_db
+    kinds = F.array(
+        F.struct(F.lit("db").alias("k"), F.col("db").alias("x")), F.struct(F.lit("centroid").alias("k"), F.col("centroid").alias("x")),
+        F.struct(F.lit("f0").alias("k"), F.when(voiced, F.col("f0")).alias("x")),
+    )
+    long = pairs.select(*key, F.explode(kinds).alias("e")).select(*key, "e.*")
+    p = percentiles(long, [*key, "k"], F.col("x"), {"p50": ("linear", 0.5), "p75": ("linear", 0.75)}, refine(hot, long, [*key, "k"]))
+    pick = lambda k, c, name: F.round(F.max(F.when(F.col("k") == k, F.col(c))), 4).alias(name)
+    wide = p.groupBy(*key).agg(pick("db", "p75", "rms_db"), pick("centroid", "p50", "centroid_hz"), pick("f0", "p50", "f0_median_hz"))
+    share = pairs.groupBy(*key).agg(F.round(F.avg(F.when(voiced, 1.0).otherwise(0.0)), 4).alias("voiced_ratio"))
+    return spans.select(*key).join(wide, key, "left").join(share, key, "left").fillna(0.0, ["voiced_ratio"])

@@ -9,7 +9,7 @@ from ..functions.scalar import without_pauses
 from .folds import realign_counts
 from .intervals import asof
 from .manifest import all_reasons, allocate, slices
-from .scans import previous, running_max, scan
+from .scans import previous, refine, row_number, running_max, scan
 
 SONG = ["song_id"]
 REST_GAP_US, LARGE_GAP_US = 250_000, 500_000
@@ -105,3 +105,27 @@ def score_skeleton(assigned: DataFrame, phrases: DataFrame, note: str = "pitch")
         "song_id", "phrase", "offset_us", F.array_join("phones", " ").alias("ph_seq"), F.size("phones").cast("string").alias("ph_num"),
         pick("note").alias("note_seq"), pick("dur").alias("note_dur_us"), pick("note_slur").alias("note_slur"), F.transform("n", lambda x: x["note_index"]).alias("source_note_indices"),
     )
+
+
+def boundary_owner(assigned: DataFrame, hot=None) -> DataFrame:
+    """``song_id, boundary_index, phrase``: the phrase that owns the notes on both sides of a boundary."""
+    rows = scan(assigned, SONG, ["note_index"], [previous("l", F.struct("phrase", "note_index"))], hot)
+    both = (F.col("l.phrase") == F.col("phrase")) & (F.col("l.note_index") == F.col("note_index") - 1)
+    return rows.where(both).select("song_id", F.col("note_index").alias("boundary_index"), "phrase")
+
+
+def zip_words(words: DataFrame, items: DataFrame, windows: DataFrame, hot=None):
+    """Words and items of each window paired by place and shifted by the window start.
+
+    ``words``: window, at, end (relative, ordered by at). ``items``: window, item. ``windows``:
+    window, w_start. Windows whose counts differ give an issue and no spans.
+    Returns (spans, issues).
+    """
+    place = lambda rows, by: scan(rows, ["window"], by, [row_number("place")], refine(hot, rows, ["window"]))
+    n = words.select("window", F.lit(1).alias("w"), F.lit(0).alias("i")).unionByName(items.select("window", F.lit(0).alias("w"), F.lit(1).alias("i")))
+    counts = n.groupBy("window").agg(F.sum("w").alias("words"), F.sum("i").alias("items"))
+    odd = counts.where("words <> items").select("window", F.lit("TIMING_WORD_ITEM_COUNT_MISMATCH").alias("type"), F.lit(None).cast("bigint").alias("item"))
+    both = place(words, ["at", "end"]).join(place(items, ["item"]), ["window", "place"]).join(odd.select("window"), "window", "left_anti").join(windows, "window")
+    spans = both.select("window", "item", (F.col("w_start") + F.col("at")).alias("start"), (F.col("w_start") + F.col("end")).alias("end"))
+    bad = spans.where("end <= start").select("window", F.lit("TIMING_WORD_SPAN_NON_POSITIVE").alias("type"), "item")
+    return spans.where("end > start"), odd.unionByName(bad)

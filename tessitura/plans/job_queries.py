@@ -11,6 +11,8 @@ from ..operators import evidence as ev
 from ..operators import mapping as mp
 from ..operators import sequences as sq
 from ..operators import signal as sg
+from ..operators import windows
+from ..operators.scans import find_hot_keys, row_number, scan
 from . import jobs
 from .manifest_queries import SONGS, _songs
 from .registry import QUERIES, query
@@ -216,3 +218,61 @@ def model_files_verify(t: Tables):
     register = m.withColumn("sha256", F.when(i % 7 == 0, "x").otherwise(F.col("sha256")))
     found = m.where(i % 5 != 0).withColumn("bytes", F.when(i % 9 == 0, 1).otherwise(F.col("bytes"))).unionByName(m.where(i % 17 == 1))
     return ct.resolve_model_files(register, found)
+
+
+@query(f"""WITH {MAP} SELECT song_id, note_index AS boundary_index, phrase FROM (SELECT *, lag(phrase) OVER (PARTITION BY song_id ORDER BY note_index) AS lp FROM a) WHERE lp = phrase""")
+def boundary_owner(t: Tables):
+    return mp.boundary_owner(_mapping(t)[0], t.hot_songs)
+
+
+WORD_ZIP = """w AS (SELECT song AS win, duration_ms AS d, start_ms AS st, start_ms + duration_ms AS e, row_number() OVER (PARTITION BY song ORDER BY start_ms, start_ms + duration_ms) AS pl FROM captions WHERE id % 2 = 0),
+    i AS (SELECT song AS win, id AS item, row_number() OVER (PARTITION BY song ORDER BY id) AS pl FROM captions WHERE id % 2 = 1),
+    c AS (SELECT win, sum(x) AS x, sum(y) AS y FROM (SELECT win, 1 AS x, 0 AS y FROM w UNION ALL SELECT win, 0, 1 FROM i) GROUP BY win)"""
+
+
+def _zipped(t: Tables):
+    c = t.captions()
+    words = c.where("id % 2 = 0").select(F.col("song").alias("window"), F.col("start_ms").alias("at"), (F.col("start_ms") + F.col("duration_ms")).alias("end"))
+    items = c.where("id % 2 = 1").select(F.col("song").alias("window"), F.col("id").alias("item"))
+    starts = c.select(F.col("song").alias("window")).distinct().withColumn("w_start", F.col("window") * 1000)
+    return mp.zip_words(words, items, starts, t.hot_conversations)
+
+
+@query(f"""WITH {WORD_ZIP} SELECT w.win AS "window", item, CAST(w.win * 1000 + st AS BIGINT) AS "start", CAST(w.win * 1000 + e AS BIGINT) AS "end" FROM w JOIN i ON i.win = w.win AND i.pl = w.pl JOIN c ON c.win = w.win WHERE x = y""")
+def word_item_spans(t: Tables):
+    return _zipped(t)[0]
+
+
+@query(f"""WITH {WORD_ZIP} SELECT win AS "window", 'TIMING_WORD_ITEM_COUNT_MISMATCH' AS type, CAST(NULL AS BIGINT) AS item FROM c WHERE x <> y""")
+def word_item_issues(t: Tables):
+    return _zipped(t)[1]
+
+
+@query("""WITH p AS (SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY frame, idx) - 1 AS pos FROM frame_values), z AS (SELECT song_id, count(*) AS n FROM p GROUP BY song_id),
+    s AS (SELECT song_id, g AS span_id, 50 * g AS a, 50 * g + 70 AS b FROM z, LATERAL (SELECT unnest(generate_series(0, n // 50)) AS g)),
+    j AS (SELECT s.song_id, s.span_id, 20 * log10(greatest(abs(x), 1e-8)) AS db, abs(x) * 1000 AS ce, f0 FROM s JOIN p ON p.song_id = s.song_id AND pos >= a AND pos < b)
+    SELECT s.song_id, s.span_id, round(quantile_cont(db, 0.75), 4) AS rms_db, round(quantile_cont(ce, 0.5), 4) AS centroid_hz, round(quantile_cont(CASE WHEN db > -20 THEN f0 END, 0.5), 4) AS f0_median_hz,
+      coalesce(round(avg(CASE WHEN db > -20 THEN 1.0 WHEN db IS NOT NULL THEN 0.0 END), 4), 0) AS voiced_ratio FROM s LEFT JOIN j USING (song_id, span_id) GROUP BY s.song_id, s.span_id""")
+def caption_features(t: Tables):
+    values = t.frame_values().select("song_id", "frame", "idx", "x", "f0")
+    hot = find_hot_keys(values, ["song_id"])
+    placed = scan(values, ["song_id"], ["frame", "idx"], [row_number("n")], hot)
+    frames = placed.select("song_id", (F.col("n") - 1).alias("pos"), fn.dbfs(F.abs("x"), 1e-8).alias("db"), (F.abs("x") * 1000).alias("centroid"), "f0")
+    size = values.groupBy("song_id").agg(F.count(F.lit(1)).alias("n"))
+    spans = size.select("song_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("n div 50"))).alias("span_id"))
+    return ev.interval_features(frames, spans.select("song_id", "span_id", (50 * F.col("span_id")).alias("s_from"), (50 * F.col("span_id") + 70).alias("s_to")), 500, -20.0, hot)
+
+
+@query(f"""WITH cut AS (SELECT song_id, CAST(sum(end_us - start_us) AS BIGINT) AS c FROM u_exclusions GROUP BY song_id), tot AS (SELECT song_id, CAST(sum(end_us - start_us) AS BIGINT) AS w FROM windows GROUP BY song_id)
+    SELECT code, failures, failures = 0 AS passed FROM (SELECT 'QUEUE_RESOLVED' AS code, count(*) AS failures FROM (SELECT DISTINCT issue_id, status FROM issues) WHERE status = 'pending'
+    UNION ALL SELECT 'QUEUE_TRACE_FIELDS', count(DISTINCT issue_id) FROM issues
+    UNION ALL SELECT 'NOTE_DURATION', count(*) FROM mono_notes WHERE end_us <= start_us UNION ALL SELECT 'NOTE_ORDER', count(*) FROM (SELECT *, max(end_us) OVER (PARTITION BY song_id ORDER BY note_index
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM mono_notes) WHERE start_us < m UNION ALL SELECT 'LOCK_STATUS', count(*) FROM (SELECT DISTINCT doc_id FROM labels WHERE quality = 0)
+    UNION ALL SELECT 'CUT_INTERVALS', count(*) FROM exclusions WHERE end_us <= start_us UNION ALL SELECT 'SOURCE_PRESERVED', count(*) FROM members m LEFT JOIN registered r USING (path) WHERE r.sha256 IS DISTINCT FROM m.sha256
+    UNION ALL SELECT 'PRUNE_BUDGET', count(*) FROM tot LEFT JOIN cut USING (song_id) WHERE coalesce(c, 0) * 100 > w * 5)""")
+def batch_repair_checks(t: Tables):
+    none = F.lit(None).cast("string")
+    queue = t.issues().select("issue_id", "status").distinct().select("*", none.alias("root_issue_id"), none.alias("resolution_action"), none.alias("artifact_sha256"))
+    locks = t.read("labels").select("doc_id", F.when(F.col("quality") == 1, "LOCKED").otherwise("OPEN").alias("status"))
+    budget = windows.prune_budget(t.exclusions(), t.windows(), 5, hot=t.hot_songs)
+    return ct.batch_repair(queue, t.mono_notes(), locks, t.exclusions(), budget, t.members(), t.registered(), 0, t.hot_songs)

@@ -233,3 +233,10 @@ def total_duration(windows: DataFrame, declared: DataFrame) -> DataFrame:
     summed = windows.groupBy("song_id").agg(F.sum(F.greatest(F.lit(0), F.col("end_us") - F.col("start_us"))).alias("summed"))
     both = summed.join(declared.select("song_id", F.col("total_us").alias("d")), SONG, "full_outer")
     return both.select("song_id", F.coalesce(F.when(F.col("d") > 0, F.col("d")), "summed", F.lit(0)).alias("total_us"))
+
+
+def carry_candidates(candidates: DataFrame, windows: DataFrame):
+    """Candidates of an older version on the windows of a new one. Returns (rows, clips without a window)."""
+    now = windows.select("clip_id", F.col("start_us").alias("window_start"), F.col("end_us").alias("window_end"))
+    both = candidates.join(now, "clip_id", "left")
+    return both.where("window_start is not null"), both.where("window_start is null").select("clip_id").distinct()
