@@ -1,7 +1,8 @@
 """Rules in which every decision depends on the one before.
 
-``fold`` runs such a rule over the ordered rows of each key with a small state. A key that
-fits one task is one group. A hot key is cut into chunks that run side by side: every
+``fold`` streams the ordered rows of each key through such a rule with a small state: the
+rows are shuffled by key, sorted, and passed in Arrow batches, so no group is held in
+memory. A hot key is cut into chunks that run side by side: every
 chunk first assumes it starts fresh, then chunks whose true incoming state differs run
 again until no state changes, and only then are rows produced. The driver holds one small
 state per chunk, never rows. The result equals the sequential run.
@@ -11,6 +12,7 @@ The per-row functions are a few lines each; Spark orders, groups and distributes
 
 from __future__ import annotations
 
+import itertools
 import json
 from collections.abc import Callable, Iterator, Sequence
 
@@ -28,74 +30,89 @@ from .stats import percentiles
 Rule = Callable[[Iterator, dict | None, bool], Iterator]
 
 
-def _run(rule: Rule, rows: pd.DataFrame, state: dict | None, last: bool):
-    out = []
-    steps = rule(rows.itertuples(index=False), state, last)
-    while True:
-        try:
-            out.append(next(steps))
-        except StopIteration as done:
-            return out, done.value
+FLUSH_ROWS = 20_000
+
+
+def _null(value):
+    return None if value is None or value != value else value
+
+
+def _streamed(rule: Rule, n_keys: int, names: list[str], only_state: bool):
+    """A partition function: rows sorted by group stream through the rule, one group after another.
+
+    Columns come as keys, chunk, incoming state, is-last flag, then the rule's columns.
+    Nothing is held but the state and a small output buffer.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = (r for b in batches for r in b.itertuples(index=False))
+        out: list[tuple] = []
+        for group, members in itertools.groupby(rows, key=lambda r: tuple(_null(v) for v in r[: n_keys + 1])):
+            first = next(members)
+            entering, last = _null(first[n_keys + 1]), bool(first[n_keys + 2])
+            steps = rule(itertools.chain([first], members), json.loads(entering) if entering else None, last)
+            while True:
+                try:
+                    row = next(steps)
+                except StopIteration as done:
+                    if only_state:
+                        out.append((*group, json.dumps(done.value)))
+                    break
+                if not only_state:
+                    out.append((*group[:n_keys], *row))
+                if len(out) >= FLUSH_ROWS:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+        if out:
+            yield pd.DataFrame(out, columns=names)
+
+    return run
 
 
 def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], rule: Rule, schema: str, hot: HotKeys | None = None) -> DataFrame:
     """Apply ``rule`` along the order of each key; output has the keys and ``schema``."""
     keys, order = list(keys), list(order)
     hot = find_hot_keys(df, keys) if hot is None else hot
-    fields = T.StructType([*[df.schema[k] for k in keys], *T._parse_datatype_string(schema).fields])
-    names = [f.name for f in fields.fields]
-    n = len(keys)
+    key_fields = [df.schema[k] for k in keys]
+    fields = T.StructType([*key_fields, *T._parse_datatype_string(schema).fields])
+    n, data = len(keys), [c for c in df.columns if c not in keys]
+    meta = [F.col(CHUNK).alias("chunk_"), F.col("__in").alias("in_"), F.col("__last").alias("last_")]
 
-    def frame(key, rows):
-        return pd.DataFrame([(*key[:n], *r) for r in rows], columns=names)
+    def through(rows: DataFrame, names: list[str], out: T.StructType, only_state: bool) -> DataFrame:
+        ready = rows.select(*keys, *meta, *data).repartition(*keys, "chunk_").sortWithinPartitions(*keys, "chunk_", *order)
+        return ready.mapInPandas(_streamed(rule, n, names, only_state), out)
 
     if not hot:
-        def whole(key, pdf: pd.DataFrame) -> pd.DataFrame:
-            rows, _ = _run(rule, pdf.sort_values(order, kind="stable"), None, True)
-            return frame(key, rows)
-
-        return df.groupBy(*keys).applyInPandas(whole, fields)
+        whole = df.withColumns({CHUNK: F.lit(0), "__in": F.lit(None).cast("string"), "__last": F.lit(True)})
+        return through(whole, fields.names, fields, False)
 
     chunks = assign_chunks(df, keys, order, hot)
-    group = [*keys, CHUNK]
     sizes = chunks.groupBy(*keys).agg(F.max(CHUNK).alias("m")).where("m > 0").collect()
     last_of = {tuple(r[:n]): r["m"] for r in sizes}
     entering: dict[tuple, str | None] = {(*k, c): None for k, m in last_of.items() for c in range(m + 1)}
     leaving: dict[tuple, str | None] = {}
-    state_schema = T.StructType([*[df.schema[k] for k in keys], T.StructField("c", T.IntegerType()), T.StructField("state", T.StringType())])
-
-    def carry(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        start = pdf["__in"].iloc[0]
-        rows = pdf.drop(columns="__in").sort_values(order, kind="stable")
-        _, state = _run(rule, rows, json.loads(start) if start else None, False)
-        return pd.DataFrame([(*key, json.dumps(state))], columns=[*keys, "c", "state"])
-
-    def with_states(ids: list[tuple]) -> DataFrame:
-        names_in = T.StructType([*[T.StructField(f"__k{i}", df.schema[k].dataType) for i, k in enumerate(keys)], T.StructField("__kc", T.IntegerType()),
-                                 T.StructField("__in", T.StringType()), T.StructField("__last", T.BooleanType())])
-        table = df.sparkSession.createDataFrame([(*i, entering[i], i[-1] == last_of[i[:-1]]) for i in ids], names_in)
+    state_schema = T.StructType([*key_fields, T.StructField("c", T.IntegerType()), T.StructField("state", T.StringType())])
+    table_schema = T.StructType(
+        [*[T.StructField(f"__k{i}", f.dataType) for i, f in enumerate(key_fields)], T.StructField("__kc", T.IntegerType()),
+         T.StructField("__in", T.StringType()), T.StructField("__last", T.BooleanType())]
+    )
+
+    def with_states(ids: list[tuple], how: str) -> DataFrame:
+        table = df.sparkSession.createDataFrame([(*i, entering[i], i[-1] == last_of[i[:-1]]) for i in ids], table_schema)
         on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)] + [F.col(CHUNK) == F.col("__kc")]
-        return chunks.join(F.broadcast(table), on, "left" if ids is all_ids else "inner").drop(*[f"__k{i}" for i in range(n)], "__kc")
+        return chunks.join(F.broadcast(table), on, how).withColumn("__last", F.coalesce("__last", F.lit(True)))
 
-    all_ids = list(entering)
-    todo = all_ids[:]
+    todo = list(entering)
     while todo:
-        found = with_states(todo).drop("__last").groupBy(*group).applyInPandas(carry, state_schema).collect()
-        leaving.update({tuple(r[:-1]): r["state"] for r in found})
+        states = through(with_states(todo, "inner").withColumn("__last", F.lit(False)), state_schema.names, state_schema, True)
+        leaving.update({tuple(r[:-1]): r["state"] for r in states.collect()})
         todo = []
-        for i in all_ids:
+        for i in entering:
             before = leaving.get((*i[:-1], i[-1] - 1)) if i[-1] else None
             if before != entering[i]:
                 entering[i] = before
                 todo.append(i)
-
-    def emit(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        start, end = pdf["__in"].iloc[0], pdf["__last"].iloc[0]
-        rows = pdf.drop(columns=["__in", "__last"]).sort_values(order, kind="stable")
-        out, _ = _run(rule, rows, json.loads(start) if isinstance(start, str) else None, end is None or pd.isna(end) or bool(end))
-        return frame(key, out)
-
-    return with_states(all_ids).groupBy(*group).applyInPandas(emit, fields)
+    return through(with_states(list(entering), "left"), fields.names, fields, False)
 
 
 # -- packing ------------------------------------------------------------------------
