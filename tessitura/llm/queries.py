@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from .exact import OP8_SQL, op8_exact_dedup
+from .sharding import op2_sharding
+from .simhash import op6_simhash
 from .token_files import op5_token_files
 
 QUERIES = {
+    "op2_sharding": op2_sharding,
     "op5_token_files": op5_token_files,
+    "op6_simhash": op6_simhash,
     "op8_exact_dedup": op8_exact_dedup,
 }
 SQL = {"op8_exact_dedup": OP8_SQL}
