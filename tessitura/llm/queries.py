@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontam import op7_decontamination
 from .exact import OP8_SQL, op8_exact_dedup
 from .sharding import op2_sharding
 from .simhash import op6_simhash
@@ -11,6 +12,7 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op5_token_files": op5_token_files,
     "op6_simhash": op6_simhash,
+    "op7_decontamination": op7_decontamination,
     "op8_exact_dedup": op8_exact_dedup,
 }
 SQL = {"op8_exact_dedup": OP8_SQL}
