@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -31,10 +33,28 @@ def local_session(cpus: int | str = "*", app: str = "tessitura", memory: str = "
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        named = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
     return named
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, wherever the session was started.
+
+    Once per Spark application; the archive goes through Spark's own file server.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_tessitura_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    if package.is_dir():
+        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='ship-')}/tessitura", "zip", package.parent, package.name)
+        context.addPyFile(archive)
+    context._tessitura_shipped = True
