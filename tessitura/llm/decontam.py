@@ -26,16 +26,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from .common import checkpointed, table, text_rows
 
 WIDTH = 8
 COVERAGE = 0.5
 BROADCAST_WINDOWS = 2_000_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 # Unit words that count as units after a number.
 UNITS = frozenset("mm cm m km in ft mi g kg mg lb oz l ml s sec min h hr hrs hours minutes seconds days weeks months years meters metres miles feet inches grams kilograms pounds liters litres dollars euros cents percent degrees".split())
 NUM, UNIT, NAME = (np.uint64(int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little")) for x in (b"<num>", b"<unit>", b"<name>"))
+_SHOWN = np.array([0, NUM, UNIT, NAME], dtype=np.uint64)
 _NUMBER = re.compile(r"[-+$€£]?\d[\d.,:/]*(?:%|st|nd|rd|th)?")
 _EMPTY, _ENDS, _CAPITAL, _NUMERIC, _UNITLIKE = (np.uint64(1 << k) for k in range(5))
 _LOW = np.uint64(31)
@@ -52,7 +54,7 @@ def core(word: str) -> str:
 
 
 class _Coded(dict):
-    """59 hash bits of a word's core and five flags, by word."""
+    """59 hash bits of a word's core and five flags, by word, as a signed 64-bit number."""
 
     def __missing__(self, word: str) -> int:
         if len(self) >= CACHE_WORDS:
@@ -61,12 +63,18 @@ class _Coded(dict):
         if not plain:
             code = int(_EMPTY) | (int(_ENDS) if word[-1] in ".!?" else 0)
         else:
-            code = int.from_bytes(hashlib.blake2b(plain.encode(), digest_size=8).digest(), "little") & ~31
-            code |= int(_ENDS) if word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?") else 0
-            first = next(c for c in word if c.isalnum())
-            code |= int(_CAPITAL) if first.isupper() and not (len(plain) > 1 and word.isupper()) else 0
-            code |= int(_NUMERIC) if _NUMBER.fullmatch(plain) else 0
-            code |= int(_UNITLIKE) if plain in UNITS else 0
+            code = xxh64_intdigest(plain.encode(), 3) & ~31
+            if not word[-1].isalnum() and word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?"):
+                code |= int(_ENDS)
+            lower = word.lower()
+            if lower != word:
+                first = next(c for c in word if c.isalnum())
+                code |= int(_CAPITAL) if first.isupper() and not (len(plain) > 1 and word.isupper()) else 0
+            if plain[0].isdigit() and _NUMBER.fullmatch(plain):
+                code |= int(_NUMERIC)
+            elif plain in UNITS:
+                code |= int(_UNITLIKE)
+        code -= (code >> 63) << 64
         self[word] = code
         return code
 
@@ -76,7 +84,7 @@ _coded = _Coded()
 
 def _kinds(words: list[str]):
     """Kept words, their plain hashes, template hashes and slot kinds (0 literal, 1 num, 2 unit, 3 name)."""
-    codes = np.array(list(map(_coded.__getitem__, words)), dtype=np.uint64)
+    codes = np.fromiter(map(_coded.__getitem__, words), dtype=np.int64, count=len(words)).view(np.uint64)
     ends = (codes & _ENDS) > 0
     full = (codes & _EMPTY) == 0
     kept = np.flatnonzero(full)
@@ -85,20 +93,33 @@ def _kinds(words: list[str]):
     opens = np.concatenate([[True], ended[kept[1:]] > ended[kept[:-1]]])[: len(kept)]
     codes = codes[full]
     number = (codes & _NUMERIC) > 0
-    after = np.concatenate([[False], number[:-1]]) if len(codes) else number
-    kinds = np.where(number, 1, np.where(((codes & _UNITLIKE) > 0) & after, 2, np.where(((codes & _CAPITAL) > 0) & ~opens, 3, 0))).astype(np.int8)
+    kinds = np.zeros(len(codes), dtype=np.int8)
+    kinds[((codes & _CAPITAL) > 0) & ~opens] = 3
+    kinds[1:][((codes[1:] & _UNITLIKE) > 0) & number[:-1]] = 2
+    kinds[number] = 1
     plain = codes & ~_LOW
-    shown = np.where(kinds == 0, plain, np.array([0, NUM, UNIT, NAME], dtype=np.uint64)[kinds])
+    shown, slots = plain.copy(), np.flatnonzero(kinds)
+    shown[slots] = _SHOWN[kinds[slots]]
     return words if len(kept) == len(words) else [words[k] for k in kept.tolist()], plain, shown, kinds
 
 
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
 def _windows(values: np.ndarray, width: int) -> np.ndarray:
+    """Polynomial hash of every run of ``width`` values, built from runs of doubled width."""
     n = len(values) - width + 1
     with np.errstate(over="ignore"):
-        made = np.zeros(max(n, 0), dtype=np.uint64)
-        for k in range(width if n > 0 else 0):
-            made = made * np.uint64(0x9E3779B97F4A7C15) + (values[k : k + n] ^ (values[k : k + n] >> np.uint64(29)))
-    return made
+        made, done, run, size, factor = None, 0, values * _FACTOR ^ values >> np.uint64(31), 1, _FACTOR
+        while size <= width:
+            if width & size:
+                part = run[done : done + n]
+                made, done = part if made is None else made * factor + part, done + size
+            size *= 2
+            if size <= width:
+                run = run[: len(run) - size // 2] * factor + run[size // 2 :]
+                factor = factor * factor
+        return made ^ made >> np.uint64(29)
 
 
 def _hashed(text: str, widths: list[int]):
@@ -108,7 +129,10 @@ def _hashed(text: str, widths: list[int]):
     for width in widths:
         if len(words) >= width:
             many = 2 * (slots[width:] - slots[:-width]) > width
-            yield width, np.where(many, ~_windows(plain, width), _windows(shown, width)), words, kinds, many
+            hashes = _windows(shown, width)
+            if many.any():
+                hashes = np.where(many, ~_windows(plain, width), hashes)
+            yield width, hashes, words, kinds, many
 
 
 def _row(words, kinds, plainly: bool, at: int, width: int):
