@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontam import op7_decontamination
 from .exact import OP8_SQL, op8_exact_dedup
+from .licenses import OP4_SQL, op4_licenses
 from .quality import op9_quality
 from .sharding import op2_sharding
 from .simhash import op6_simhash
@@ -13,10 +14,11 @@ from .toxicity import op1_toxicity
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
+    "op4_licenses": op4_licenses,
     "op5_token_files": op5_token_files,
     "op6_simhash": op6_simhash,
     "op7_decontamination": op7_decontamination,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality": op9_quality,
 }
-SQL = {"op8_exact_dedup": OP8_SQL}
+SQL = {"op4_licenses": OP4_SQL, "op8_exact_dedup": OP8_SQL}
