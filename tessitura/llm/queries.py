@@ -6,6 +6,7 @@ from .decontam import op7_decontamination
 from .exact import OP8_SQL, op8_exact_dedup
 from .licenses import OP4_SQL, op4_licenses
 from .quality import op9_quality
+from .secrets import op10_secrets
 from .sharding import op2_sharding
 from .simhash import op6_simhash
 from .token_files import op5_token_files
@@ -20,5 +21,6 @@ QUERIES = {
     "op7_decontamination": op7_decontamination,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality": op9_quality,
+    "op10_secrets": op10_secrets,
 }
 SQL = {"op4_licenses": OP4_SQL, "op8_exact_dedup": OP8_SQL}
