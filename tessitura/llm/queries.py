@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontam import op7_decontamination
 from .exact import OP8_SQL, op8_exact_dedup
 from .licenses import OP4_SQL, op4_licenses
+from .pieces import op3_pieces
 from .quality import op9_quality
 from .secrets import op10_secrets
 from .sharding import op2_sharding
@@ -15,6 +16,7 @@ from .toxicity import op1_toxicity
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
+    "op3_pieces": op3_pieces,
     "op4_licenses": op4_licenses,
     "op5_token_files": op5_token_files,
     "op6_simhash": op6_simhash,
