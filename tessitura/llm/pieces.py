@@ -64,6 +64,8 @@ class Pieces:
             # A merge-rank file has no probabilities; ranks give them by Zipf's law.
             total = math.log(sum(1 / (1 - s) for _, s, _ in self.rows))
             self.rows = [(p, -math.log1p(-s) - total, k) for p, s, k in self.rows]
+        # Multiples of a power of two: sums are exact, so solving units alone changes no tie.
+        self.rows = [(p, round(s * 2**20) / 2**20, k) for p, s, k in self.rows]
         self.longest = max(len(p) for p, _, _ in self.rows)
         self.unknown = min(s for _, s, _ in self.rows) - UNKNOWN_PENALTY
         self.adjacent = frozenset(p[k : k + 2] for p, _, _ in self.rows for k in range(len(p) - 1))
