@@ -44,6 +44,30 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def sha256_of(text: Column) -> Column:
+    """SHA-256 of a text column's UTF-8 bytes; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256))
+
+
+def keep_rows(docs: DataFrame, digest: Column, verdicts: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that ``verdicts`` (``doc_id, digest, kept``, a row per row) keep.
+
+    Rows are known by doc_id (null equals null) and ``digest``. What is dropped is taken
+    away by an anti join, which Spark broadcasts only while it is small. Where rows share
+    both, as many verdicts do; if one of them keeps, one such row is kept.
+    """
+    judged = verdicts.groupBy("doc_id", "digest").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    judged = checkpointed(judged.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "kept", "n"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_digest"))
+    rows = docs.withColumn("_key", digest)
+    left = rows.join(judged.filter("not kept").select("_id", "_digest"), same, "left_anti")
+    repeated = judged.filter("kept and n > 1").select("_id", "_digest")
+    if repeated.take(1):
+        once = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_key"])
+        left = left.join(repeated, same, "left_anti").unionByName(once)
+    return left.drop("_key")
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

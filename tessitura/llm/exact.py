@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpointed, table, text_rows
+from .common import checkpointed, keep_rows, table, text_rows
 
 PART_KEYS = 1024
 BUCKETS = 256
@@ -162,6 +162,17 @@ def exact_groups(earlier: DataFrame, later: DataFrame) -> DataFrame:
     return rows.join(first, "digest").select("doc_id", "keep_id", "group_size", (F.col("_copy") == F.col("_first")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "slot")
 
 
+def without_copies(docs: DataFrame) -> DataFrame:
+    """One document of each group of equal texts, with all its columns."""
+
+    @F.pandas_udf("binary")
+    def lowered(texts: pd.Series) -> pd.Series:
+        return pd.Series([hashlib.sha256(t.encode().lower()).digest() for t in texts])
+
+    found = exact_groups(*split_by_age(docs)).select("doc_id", F.unhex("text_sha256").alias("digest"), "kept")
+    return keep_rows(docs, lowered(F.coalesce(F.col("text").cast("string"), F.lit(""))), found)
+
+
 def split_by_age(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents up to the middle of the id range (nulls too) are history, the others come later."""
     low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()

@@ -21,13 +21,15 @@ most one link per member, never all pairs of a group.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, components, table, text_rows
+from .common import checkpointed, components, keep_rows, sha256_of, table, text_rows
 
 WIDTH = 4
 RADIUS = 4
@@ -61,15 +63,17 @@ def fingerprint(text: bytes, width: int = WIDTH) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``doc_id, fp`` (a signed 64-bit integer) of every row; a null text is empty."""
+    """``doc_id, fp`` (a signed 64-bit integer) and ``digest`` (SHA-256 of the text) of every row."""
 
     def run(batches):
         for batch in batches:
-            made = np.array([fingerprint(t, width) for t in batch.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(made.view(np.int64))], ["doc_id", "fp"])
+            texts = batch.column("text").to_pylist()
+            made = np.array([fingerprint(t, width) for t in texts], dtype=np.uint64)
+            digests = pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(made.view(np.int64)), digests], ["doc_id", "fp", "digest"])
 
     rows = text_rows(docs).select("doc_id", F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, "doc_id long, fp long, digest binary")
 
 
 def _band_masks() -> list[np.uint64]:
@@ -193,7 +197,7 @@ def hamming_links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
                     home = np.concatenate([h for _, _, h in found])[cut]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(leaf), band, dtype=np.int32)), pa.array(leaf), pa.array(values[rows[cut]].view(np.int64)), pa.array(home)], ["band", "leaf", "fp", "home"])
 
-    def link(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def link(key, frame):
         pairs = shard_links(frame["fp"].to_numpy().view(np.uint64), frame["home"].to_numpy(), int(key[0]), radius)
         return pd.DataFrame({"a": pairs[:, 0].view(np.int64), "b": pairs[:, 1].view(np.int64)})
 
@@ -202,11 +206,12 @@ def hamming_links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` per row; the smallest doc_id names a component.
+    """``doc_id, fingerprint, component_id, digest`` per row; the smallest doc_id names a component.
 
     Empty and null texts share fingerprint zero, which links like any other. Null doc_ids
     keep their row and never name a component that has another id; repeated rows repeat.
-    Empty tables give no rows; columns besides doc_id and text are ignored.
+    Empty tables give no rows; columns besides doc_id and text are ignored. ``digest`` is
+    the SHA-256 of the text.
     """
     rows = checkpointed(fingerprints(docs, width))
     firsts = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
@@ -214,8 +219,20 @@ def near_groups(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS) -> Da
     rooted = firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(names, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "digest")
+
+
+def one_per_group(docs: DataFrame) -> DataFrame:
+    """The document with the smallest doc_id of every group, with all its columns.
+
+    Groups without any doc_id have no name: of each of their fingerprints one row stays.
+    """
+    found = checkpointed(near_groups(docs))
+    best = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("alone")).agg(F.min("digest").alias("best"))
+    mine = F.col("f.component_id").eqNullSafe(F.col("b.component_id")) & F.when(F.col("f.component_id").isNull(), F.col("f.fingerprint")).eqNullSafe(F.col("b.alone"))
+    judged = found.alias("f").join(best.alias("b"), mine).select("f.doc_id", "f.digest", (F.col("f.doc_id").eqNullSafe(F.col("f.component_id")) & (F.col("f.digest") == F.col("b.best"))).alias("kept"))
+    return keep_rows(docs, sha256_of(docs["text"]), judged)
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:
-    return near_groups(table(spark, sf_dir, "documents"))
+    return near_groups(table(spark, sf_dir, "documents")).drop("digest")
