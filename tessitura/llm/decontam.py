@@ -20,95 +20,148 @@ size every document window is a row of the join. Both ways give the same rows.
 from __future__ import annotations
 
 import hashlib
-import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
 from .common import checkpointed, table, text_rows
 
 WIDTH = 8
 COVERAGE = 0.5
 BROADCAST_WINDOWS = 2_000_000
-CACHE_WORDS = 1_000_000
 # Unit words that count as units after a number.
 UNITS = frozenset("mm cm m km in ft mi g kg mg lb oz l ml s sec min h hr hrs hours minutes seconds days weeks months years meters metres miles feet inches grams kilograms pounds liters litres dollars euros cents percent degrees".split())
-NUM, UNIT, NAME = (np.uint64(int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little")) for x in (b"<num>", b"<unit>", b"<name>"))
-_SHOWN = np.array([0, NUM, UNIT, NAME], dtype=np.uint64)
-_NUMBER = re.compile(r"[-+$€£]?\d[\d.,:/]*(?:%|st|nd|rd|th)?")
-_EMPTY, _ENDS, _CAPITAL, _NUMERIC, _UNITLIKE = (np.uint64(1 << k) for k in range(5))
-_LOW = np.uint64(31)
-
-
-def core(word: str) -> str:
-    """The word in lower case without outer characters that are neither letters nor digits."""
-    a, b = 0, len(word)
-    while a < b and not word[a].isalnum():
-        a += 1
-    while b > a and not word[b - 1].isalnum():
-        b -= 1
-    return word[a:b].lower()
-
-
-class _Coded(dict):
-    """59 hash bits of a word's core and five flags, by word, as a signed 64-bit number."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        plain = core(word)
-        if not plain:
-            code = int(_EMPTY) | (int(_ENDS) if word[-1] in ".!?" else 0)
-        else:
-            code = xxh64_intdigest(plain.encode(), 3) & ~31
-            if not word[-1].isalnum() and word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?"):
-                code |= int(_ENDS)
-            lower = word.lower()
-            if lower != word:
-                first = next(c for c in word if c.isalnum())
-                code |= int(_CAPITAL) if first.isupper() and not (len(plain) > 1 and word.isupper()) else 0
-            if plain[0].isdigit() and _NUMBER.fullmatch(plain):
-                code |= int(_NUMERIC)
-            elif plain in UNITS:
-                code |= int(_UNITLIKE)
-        code -= (code >> 63) << 64
-        self[word] = code
-        return code
-
-
-_coded = _Coded()
-
-
-def _kinds(words: list[str]):
-    """Kept words, their plain hashes, template hashes and slot kinds (0 literal, 1 num, 2 unit, 3 name)."""
-    codes = np.fromiter(map(_coded.__getitem__, words), dtype=np.int64, count=len(words)).view(np.uint64)
-    ends = (codes & _ENDS) > 0
-    full = (codes & _EMPTY) == 0
-    kept = np.flatnonzero(full)
-    # A sentence opens at the first word and after an end mark, be it the word's or a bare one.
-    ended = np.concatenate([[0], np.cumsum(ends)])
-    opens = np.concatenate([[True], ended[kept[1:]] > ended[kept[:-1]]])[: len(kept)]
-    codes = codes[full]
-    number = (codes & _NUMERIC) > 0
-    kinds = np.zeros(len(codes), dtype=np.int8)
-    kinds[((codes & _CAPITAL) > 0) & ~opens] = 3
-    kinds[1:][((codes[1:] & _UNITLIKE) > 0) & number[:-1]] = 2
-    kinds[number] = 1
-    plain = codes & ~_LOW
-    shown, slots = plain.copy(), np.flatnonzero(kinds)
-    shown[slots] = _SHOWN[kinds[slots]]
-    return words if len(kept) == len(words) else [words[k] for k in kept.tolist()], plain, shown, kinds
+CHUNK = 1 << 20
 
 
+def _table(members) -> np.ndarray:
+    made = np.zeros(256, dtype=bool)
+    made[list(members)] = True
+    return made
+
+
+_SPACE, _DIGIT, _SMALL = _table([*range(9, 14), 32]), _table(range(48, 58)), _table(range(97, 123))
+_ALNUM = _table([*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)])
+_NUMERIC, _ENDS, _QUOTES = _table([*range(48, 58), *b".,:/-"]), _table(b".!?"), _table(b"\"')]}")
+_RNG = np.random.default_rng(20)
+_BYTE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHOWN = _RNG.integers(1, 1 << 63, 4, dtype=np.uint64)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    with np.errstate(over="ignore"):
+        made = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, f)])) for f in (_FACTOR, _INVERSE)]
+    return made[0], made[1]
+
+
+def _lower(text: str) -> str:
+    """Lower case with every character's number of UTF-8 bytes kept."""
+    low = text.lower()
+    if low.isascii() or len(low.encode()) == len(text.encode()) and len(low) == len(text):
+        return low
+    return "".join(x if len((x := c.lower()).encode()) == len(c.encode()) else c for c in text)
+
+
+class Words:
+    """Words of some texts as arrays: hash of the core, slot kind, text number, core's place.
+
+    Words are runs without ASCII blanks; a core is a word without its outer ASCII marks,
+    in lower case; words of marks alone are left out.
+    """
+
+    def __init__(self, texts: list[str]):
+        self.low = "\n".join(map(_lower, texts)).encode()
+        original, low = np.frombuffer("\n".join(texts).encode(), dtype=np.uint8), np.frombuffer(self.low, dtype=np.uint8)
+        blank = _SPACE[original]
+        edges = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]])))
+        starts, ends = edges[::2], edges[1::2]
+        inner = np.flatnonzero(_ALNUM[original])
+        low_at = np.searchsorted(inner, starts)
+        full = low_at < np.searchsorted(inner, ends)
+        marks = original[ends - 1] if len(ends) else original[:0]
+        before = original[np.maximum(ends - 2, starts)] if len(ends) else original[:0]
+        stops = np.concatenate([[0], np.cumsum(_ENDS[marks] | _QUOTES[marks] & _ENDS[before])])
+        kept = np.flatnonzero(full)
+        self.first = inner[low_at[kept]]
+        self.last = inner[np.searchsorted(inner, ends[kept]) - 1] + 1
+        sizes = np.array([len(t.encode()) + 1 for t in texts], dtype=np.int64)
+        self.text = np.searchsorted(np.cumsum(sizes), self.first, "right")
+        opens = np.concatenate([[True], (stops[kept[1:]] > stops[kept[:-1]]) | (self.text[1:] != self.text[:-1])])[: len(kept)]
+        self.plain = self._hashes(low)
+        self.kinds = self._kinds(original, low, opens)
+        self.shown = np.where(self.kinds == 0, self.plain, _SHOWN[self.kinds])
+
+    def _hashes(self, low: np.ndarray) -> np.ndarray:
+        """Polynomial hashes of the cores from running sums over pieces of the bytes."""
+        made = np.zeros(len(self.first), dtype=np.uint64)
+        done = 0
+        with np.errstate(over="ignore"):
+            while done < len(made):
+                base = self.first[done]
+                upto = max(int(np.searchsorted(self.last, base + CHUNK, "right")), done + 1)
+                a, b = self.first[done:upto] - base, self.last[done:upto] - base
+                up, down = _powers(CHUNK) if b[-1] <= CHUNK else _powers.__wrapped__(int(b[-1]))
+                sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[low[base : base + b[-1]]] * up[: b[-1]])])
+                made[done:upto] = (sums[b] - sums[a]) * down[a]
+                done = upto
+            made = (made ^ made >> np.uint64(32)) * _FACTOR
+        return made ^ made >> np.uint64(29)
+
+    def _kinds(self, original: np.ndarray, low: np.ndarray, opens: np.ndarray) -> np.ndarray:
+        """0 literal, 1 number, 2 unit, 3 name."""
+        a, b = self.first, self.last
+        turned = np.concatenate([original != low, [False] * 3])
+        lead = original[a]
+        capital = turned[a] | (lead >= 0xC2) & turned[a + 1] | (lead >= 0xE0) & turned[a + 2]
+        kinds = np.zeros(len(a), dtype=np.int8)
+        maybe = np.flatnonzero(capital & ~opens)
+        if len(maybe):
+            # Words all in capitals are loud, not names.
+            small = np.concatenate([[0], np.cumsum(_SMALL[original] | (original >= 0xC2) & ~(turned[:-3] | turned[1:-2] | turned[2:-1]))])
+            loud = (small[b[maybe]] == small[a[maybe]]) & (b[maybe] - a[maybe] > 1)
+            kinds[maybe[~loud]] = 3
+        for k in np.flatnonzero(_DIGIT[lead]).tolist():
+            if _NUMERIC[original[a[k] : b[k]]].all():
+                kinds[k] = 1
+                if k + 1 < len(a) and self.text[k + 1] == self.text[k] and self.core(k + 1) in UNITS:
+                    kinds[k + 1] = 2
+        return kinds
+
+    def core(self, k: int) -> str:
+        return self.low[self.first[k] : self.last[k]].decode("utf-8", "replace")
+
+    def windows(self, width: int):
+        """Hash of every run of ``width`` words, which are kept plain, which lie in one text."""
+        n = max(len(self.first) - width + 1, 0)
+        slots = np.concatenate([[0], np.cumsum(self.kinds > 0)])
+        many = 2 * (slots[width:] - slots[:-width]) > width if n else np.zeros(0, dtype=bool)
+        hashes = _windows(self.shown, width)
+        if many.any():
+            hashes = np.where(many, ~_windows(self.plain, width), hashes)
+        return hashes, many, self.text[:n] == self.text[width - 1 :] if n else np.zeros(0, dtype=bool)
+
+    def described(self, at: int, width: int, plainly: bool):
+        """Template and slot values of one window."""
+        shown, slots = [], []
+        for k in range(at, at + width):
+            kind = 0 if plainly else self.kinds[k]
+            shown.append(("", "<num>", "<unit>", "<name>")[kind] or self.core(k))
+            if kind:
+                slots.append(f"{kind}{self.core(k)}")
+        return " ".join(shown), slots
 
 
 def _windows(values: np.ndarray, width: int) -> np.ndarray:
     """Polynomial hash of every run of ``width`` values, built from runs of doubled width."""
     n = len(values) - width + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.uint64)
     with np.errstate(over="ignore"):
         made, done, run, size, factor = None, 0, values * _FACTOR ^ values >> np.uint64(31), 1, _FACTOR
         while size <= width:
@@ -122,32 +175,6 @@ def _windows(values: np.ndarray, width: int) -> np.ndarray:
         return made ^ made >> np.uint64(29)
 
 
-def _hashed(text: str, widths: list[int]):
-    """Yields ``width, hashes, words, kinds, plainly`` of a text; ``plainly`` marks windows kept plain."""
-    words, plain, shown, kinds = _kinds(text.split())
-    slots = np.concatenate([[0], np.cumsum(kinds > 0)])
-    for width in widths:
-        if len(words) >= width:
-            many = 2 * (slots[width:] - slots[:-width]) > width
-            hashes = _windows(shown, width)
-            if many.any():
-                hashes = np.where(many, ~_windows(plain, width), hashes)
-            yield width, hashes, words, kinds, many
-
-
-def _row(words, kinds, plainly: bool, at: int, width: int):
-    """Template and slot values of one window."""
-    shown, slots = [], []
-    for k in range(at, at + width):
-        word = core(words[k])
-        if kinds[k] and not plainly:
-            shown.append(("", "<num>", "<unit>", "<name>")[kinds[k]])
-            slots.append(f"{kinds[k]}{word}")
-        else:
-            shown.append(word)
-    return " ".join(shown), slots
-
-
 _SHAPE = "id long, digest binary, width int, pos long, n long, hash long, template string, slots array<string>"
 
 
@@ -157,27 +184,39 @@ def _scan(rows: DataFrame, widths: list[int] | None, known=None) -> DataFrame:
     Without ``widths`` a text's window is as wide as the text, up to ``WIDTH``.
     """
 
+    def found(ids, texts, wanted, quick):
+        words = Words(texts)
+        bounds = np.searchsorted(words.text, np.arange(len(texts) + 1))
+        digests: dict[int, bytes] = {}
+        for width in widths or [min(WIDTH, max(1, len(words.first)))]:
+            hashes, plainly, whole = words.windows(width)
+            at = np.flatnonzero(whole)
+            if wanted is not None:
+                at = at[quick[(hashes[at] >> np.uint64(44)).astype(np.int64)]]
+                at = at[np.isin(hashes[at], wanted)]
+            for k in at.tolist():
+                t = int(words.text[k])
+                if t not in digests:
+                    digests[t] = hashlib.sha256(texts[t].encode()).digest()
+                yield (ids[t], digests[t], width, k - int(bounds[t]), int(bounds[t + 1] - bounds[t]) - width + 1, int(hashes[k].view(np.int64)), *words.described(k, width, bool(plainly[k])))
+
     def run(batches):
         wanted = known.value if known is not None else None
+        quick = np.zeros(1 << 20, dtype=bool)
         if wanted is not None:
-            quick = np.zeros(1 << 20, dtype=bool)
             quick[(wanted >> np.uint64(44)).astype(np.int64)] = True
         out = []
         for batch in batches:
-            for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-                own = widths or [min(WIDTH, max(1, sum(bool(core(w)) for w in text.split())))]
-                digest = None
-                for width, hashes, words, kinds, plainly in _hashed(text, own):
-                    at = np.arange(len(hashes))
-                    if wanted is not None:
-                        at = np.flatnonzero(quick[(hashes >> np.uint64(44)).astype(np.int64)])
-                        at = at[np.isin(hashes[at], wanted)]
-                    for k in at.tolist():
-                        digest = digest or hashlib.sha256(text.encode()).digest()
-                        out.append((doc, digest, width, k, len(hashes), int(hashes[k].view(np.int64)), *_row(words, kinds, plainly[k], k, width)))
+            ids, texts, a, size = batch.column("id").to_pylist(), batch.column("text").to_pylist(), 0, 0
+            for k, text in enumerate(texts):
+                size += len(text)
+                if size >= CHUNK or k + 1 == len(texts) or widths is None:
+                    for row in found(ids[a : k + 1], texts[a : k + 1], wanted, quick):
+                        out.append(row)
                         if len(out) >= 5000:
                             yield _batch(out)
                             out = []
+                    a, size = k + 1, 0
         if out:
             yield _batch(out)
 
