@@ -82,13 +82,13 @@ def pieces_of(path: str) -> Pieces:
 
 
 def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """Edges ``unit, b, e, score, id`` of distinct units; ``id`` is minus the code point for bytes."""
+    """Edges ``unit, b, e, score, id`` of distinct units; ``id`` is -1 minus the code point for bytes."""
     rows = units.sparkSession.createDataFrame(pieces.rows, "piece string, score double, id int")
     size = F.length("unit")
     spans = F.transform(F.sequence(F.lit(0), size - 1), lambda b: F.transform(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), size - b)), lambda k: F.struct(b.alias("b"), (b + k).alias("e"), F.col("unit").substr(b + 1, k).alias("piece"))))
     edges = units.filter(size > 0).select("unit", F.explode(F.flatten(spans)).alias("x")).select("unit", "x.b", "x.e", "x.piece")
     edges = edges.join(F.broadcast(rows), "piece", "left").filter("id is not null or e = b + 1")
-    return edges.select("unit", "b", "e", F.coalesce("score", F.lit(pieces.unknown)).alias("score"), F.coalesce("id", -F.ascii("piece")).alias("id"))
+    return edges.select("unit", "b", "e", F.coalesce("score", F.lit(pieces.unknown)).alias("score"), F.coalesce("id", -1 - F.ascii("piece")).alias("id"))
 
 
 def solved(units: DataFrame, pieces: Pieces) -> DataFrame:
@@ -173,7 +173,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
         for unit, ids in zip(right["unit"], right["ids"]):
             ids = np.asarray(ids, dtype="<i4")
             if (ids < 0).any():
-                ids = np.concatenate([by_byte[np.frombuffer(chr(-x).encode(), dtype=np.uint8)] if x < 0 else np.array([x], dtype="<i4") for x in ids.tolist()])
+                ids = np.concatenate([by_byte[np.frombuffer(chr(-1 - x).encode(), dtype=np.uint8)] if x < 0 else np.array([x], dtype="<i4") for x in ids.tolist()])
             table[unit] = ids.tobytes()
         words = _WordTable(adjacent, table)
         out = []
