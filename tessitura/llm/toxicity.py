@@ -22,6 +22,7 @@ numbers of words they met in a table that is emptied when full. The fit sees at
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -37,10 +38,13 @@ ORDER, SPAN, DECAY = 3, 7, 0.7
 ALPHABET = 64
 LANDMARKS = 96
 SENTENCE = 32
-TRAIN_ROWS = 3000
+TRAIN_ROWS = 2500
 CANDIDATES = 4000
 THRESHOLD = 0.3
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
+RUN_WORDS = 30_000
+CLEAN_SENTENCES = 8
+_SPELT = re.compile(r"(?:^|\s)\w\s+\w\s+\w(?:\s|$)")
 
 
 @lru_cache(maxsize=256)
@@ -52,9 +56,9 @@ def _places(n: int) -> tuple[np.ndarray, np.ndarray]:
     return at, weights / max(np.sqrt((weights**2).sum()), 1e-12)
 
 
-def _letters(word: str) -> np.ndarray:
-    """Characters as numbers below ``ALPHABET``: a-z, digits as one, others by code point."""
-    codes = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+def _letters(words: list[str], n: int) -> np.ndarray:
+    """Characters of words of length ``n`` as numbers below ``ALPHABET``: a-z, digits as one, others by code point."""
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64).reshape(len(words), n)
     low = (codes >= 97) & (codes <= 122)
     return np.where(low, codes - 96, np.where((codes >= 48) & (codes <= 57), 27, 28 + codes % (ALPHABET - 28)))
 
@@ -62,6 +66,8 @@ def _letters(word: str) -> np.ndarray:
 def trimmed(word: str) -> str:
     """The word in lower case between its first and last letter or digit."""
     word = word.lower()
+    if word.isalnum():
+        return word
     a, b = 0, len(word)
     while a < b and not word[a].isalnum():
         a += 1
@@ -78,7 +84,7 @@ def _features(words: list[str]):
     for n, rows in sorted(by_length.items()):
         if n > 255:  # too long for a table of triples: overlapping pieces, each within SPAN of the next
             for k in rows:
-                letters = _letters(words[k])
+                letters = _letters([words[k]], n)[0]
                 for a in range(0, n, 200):
                     at, weights = _places(min(200 + SPAN - 1, n - a))
                     at, weights = at[at[:, 0] < 200], weights[at[:, 0] < 200]
@@ -89,8 +95,8 @@ def _features(words: list[str]):
         block = max(1, 400_000 // max(len(at), 1))
         for a in range(0, len(rows), block):
             part = rows[a : a + block]
-            letters = np.stack([_letters(words[k]) for k in part]) if n else np.zeros((len(part), 0), dtype=np.int64)
-            codes = letters[:, at] @ np.array([ALPHABET**2, ALPHABET, 1]) if len(at) else np.zeros((len(part), 0), dtype=np.int64)
+            letters = _letters([words[k] for k in part], n)
+            codes = (letters[:, at[:, 0]] * ALPHABET + letters[:, at[:, 1]]) * ALPHABET + letters[:, at[:, 2]]
             yield np.repeat(part, len(at)), codes.ravel(), np.tile(weights, len(part))
 
 
@@ -125,24 +131,58 @@ class Kernel:
 def words_of(text: str) -> tuple[list[str], np.ndarray]:
     """Words as they stand (single letters in a row joined), and where sentences start."""
     words = text.split()
-    if any(len(w) == 1 for w in words):
+    if _SPELT.search(text):
         joined, run = [], []
-        for w in words:
+        for w in [*words, ""]:
             if len(w) == 1 and w.isalnum():
                 run.append(w)
                 continue
-            if run:
-                joined += ["".join(run)] if len(run) > 2 else run
-                run = []
+            joined += ["".join(run)] if len(run) > 2 else run
+            run = []
             joined.append(w)
-        words = joined + (["".join(run)] if len(run) > 2 else run)
-    starts, since = [0], 0
-    for k, w in enumerate(words):
-        since += 1
-        if (w[-1] in ".!?" or since >= SENTENCE) and k + 1 < len(words):
-            starts.append(k + 1)
-            since = 0
-    return words, np.array(starts)
+        words = joined[:-1]
+    if not words:
+        return words, np.zeros(0, dtype=np.int64)
+    ends = np.flatnonzero(np.fromiter((w[-1] in ".!?" for w in words), dtype=bool, count=len(words))) + 1
+    starts = np.concatenate([[0], ends[ends < len(words)]])
+    # A longer sentence goes on in the next after every SENTENCE words.
+    pieces = -(-np.diff(np.concatenate([starts, [len(words)]])) // SENTENCE)
+    inner = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    return words, np.repeat(starts, pieces) + SENTENCE * inner
+
+
+def _said_again(words: list[str], starts: np.ndarray) -> np.ndarray:
+    """Words equal to the word before them in their sentence."""
+    again = np.zeros(len(words), dtype=bool)
+    again[1:] = np.fromiter(map(str.__eq__, words[1:], words), dtype=bool, count=len(words) - 1)
+    again[starts] = False
+    return again
+
+
+def _runs(texts: list[str]):
+    """Yields ``words, starts, owner``: whole sentences of several texts, or parts of a long one.
+
+    ``owner`` is the text of every sentence; texts without words are in none.
+    """
+    words, starts, owner = [], [], []
+    for k, text in enumerate(texts):
+        mine, at = words_of(text)
+        bounds = [*at.tolist(), len(mine)]
+        first = 0
+        while first < len(at):
+            # Sentences up to the room left in this run; a sentence is never longer than SENTENCE.
+            upto = max(int(np.searchsorted(bounds, bounds[first] + RUN_WORDS - len(words), "right")) - 1, first)
+            upto = min(upto, len(at))
+            if upto == first:
+                yield words, np.array(starts), np.array(owner)
+                words, starts, owner = [], [], []
+                continue
+            starts += [len(words) + b - bounds[first] for b in bounds[first:upto]]
+            owner += [k] * (upto - first)
+            words += mine[bounds[first] : bounds[upto]]
+            first = upto
+    if words:
+        yield words, np.array(starts), np.array(owner)
 
 
 class Machine:
@@ -156,7 +196,7 @@ class Machine:
     def __getstate__(self):
         return self.__dict__ | {"_kernel": None, "_known": {}}
 
-    def word_terms(self, words) -> dict[str, float]:
+    def word_terms(self, words: set[str]) -> dict[str, float]:
         known = self._known
         new = [w for w in words if w not in known]
         if len(known) + len(new) > CACHE_WORDS:
@@ -164,26 +204,21 @@ class Machine:
             new = list(words)
         if new:
             self._kernel = self._kernel or Kernel(self.landmarks)
-            cores = sorted({trimmed(w) for w in new})
-            made = dict(zip(cores, (self._kernel(cores).astype(np.float64) @ self.weights).tolist()))
-            known.update((w, made[trimmed(w)]) for w in new)
+            cores = [trimmed(w) for w in new]
+            kinds = list(dict.fromkeys(cores))
+            made = dict(zip(kinds, (self._kernel(kinds) @ self.weights.astype(np.float32)).tolist()))
+            known.update(zip(new, map(made.__getitem__, cores)))
         return known
 
     def decisions(self, texts: list[str]) -> np.ndarray:
         """Decision value of each text's most toxic sentence; the offset for texts without words."""
-        out = np.full(len(texts), self.offset)
-        for k, text in enumerate(texts):
-            words, starts = words_of(text)
-            if words:
-                best = -np.inf
-                for a in range(0, len(starts), 4000):  # sentences in blocks, so that the word table stays bounded
-                    lo, hi = starts[a], starts[a + 4000] if a + 4000 < len(starts) else len(words)
-                    terms = self.word_terms(set(words[lo:hi]))
-                    values = np.array(list(map(terms.__getitem__, words[lo:hi])))
-                    values[1:][values[1:] == values[:-1]] = 0.0  # a word repeated at once counts once
-                    best = max(best, np.add.reduceat(values, starts[a : a + 4000] - lo).max())
-                out[k] = best + self.offset
-        return out
+        out = np.full(len(texts), -np.inf)
+        for words, starts, owner in _runs(texts):
+            terms = self.word_terms(set(words))
+            values = np.fromiter(map(terms.__getitem__, words), dtype=float, count=len(words))
+            values[_said_again(words, starts)] = 0.0
+            np.maximum.at(out, owner, np.add.reduceat(values, starts))
+        return np.where(np.isfinite(out), out, 0.0) + self.offset
 
     def scores(self, texts: list[str]) -> np.ndarray:
         a, b = self.scale
@@ -229,25 +264,27 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, rounds
 
     sample = rows.orderBy("doc_id").toPandas()
     texts, y = sample["text"].tolist(), sample["y"].to_numpy()
-    sentences = []  # (document, features)
-    known: dict[str, np.ndarray] = {}
-    for k, text in enumerate(texts):
-        words, starts = words_of(text)
-        new = [w for w in {trimmed(w) for w in words} if w not in known]
-        known.update(zip(new, kernel(new)))
-        bounds = [*starts.tolist(), len(words)]
-        cut = list(zip(bounds, bounds[1:]))
-        if y[k] == 0 and len(cut) > 12:  # of clean documents a spread of sentences is enough
-            cut = cut[:: len(cut) // 12]
-        for a, b in cut:
-            if b > a:
-                cores = [trimmed(w) for j, w in enumerate(words[a:b], a) if j == a or w != words[j - 1]]
-                sentences.append((k, max((first.get(c, 0.0) for c in cores), default=0.0), np.sum([known[c] for c in cores], axis=0)))
-        if len(known) > 100_000:
-            known.clear()
-    owner = np.array([s[0] for s in sentences])
-    x = np.stack([s[2] for s in sentences]) @ root.astype(np.float32)
-    worth, label = np.array([s[1] for s in sentences]), y[owner]
+    made, worth, owner = [], [], []
+    for words, starts, mine in _runs(texts):
+        cores = [trimmed(w) for w in words]
+        kinds = {c: k for k, c in enumerate(dict.fromkeys(cores))}
+        place = np.fromiter(map(kinds.__getitem__, cores), dtype=np.int64, count=len(cores))
+        rates = np.array([first.get(c, 0.0) for c in kinds])
+        # Of clean documents a spread of sentences is enough.
+        nth = np.arange(len(mine)) - np.searchsorted(mine, mine)
+        size = np.bincount(mine, minlength=len(y))[mine]
+        use = (y[mine] == 1) | (nth % np.maximum(size // CLEAN_SENTENCES, 1) == 0)
+        rows_of = kernel(list(kinds))[place]
+        rows_of[_said_again(words, starts)] = 0.0
+        made.append(np.add.reduceat(rows_of, starts, axis=0)[use])
+        worth.append(np.maximum.reduceat(rates[place], starts)[use])
+        owner.append(mine[use])
+    if not made:
+        return Machine(landmarks, np.zeros(len(landmarks)), 0.0, (0.0, -30.0))
+    x = np.concatenate(made) @ root.astype(np.float32)
+    made.clear()
+    worth, owner = np.concatenate(worth), np.concatenate(owner)
+    label = y[owner]
     beta = None
     for _ in range(rounds):
         # The witness of a toxic document is its sentence that speaks loudest.
