@@ -50,7 +50,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     # Split at ASCII blanks only, so that one word never spans a line.
     words = text_rows(docs).filter("text <> ''").select("doc_id", F.split("text", r"[ \t\n\r\f\x0B]+").alias("w"))
     word = lambda i: F.coalesce(F.get("w", i), F.lit(""))
-    plain = F.transform("w", lambda x, i: F.when((F.length(x) >= SHORTEST) & x.rlike("[0-9]|[a-z][A-Z]|[A-Z]{2}.*[a-z]") | x.rlike(rf"(?i)(?:{NAMES})[\"']?[=:]."), F.struct(i.alias("word_at"), x.alias("word"))))
+    plain = F.transform("w", lambda x, i: F.when((F.length(x) >= SHORTEST) & x.rlike("[0-9]|[a-z][A-Z]|[A-Z]{2}.*[a-z]|A[KS]IA[A-Z]{16}") | x.rlike(rf"(?i)(?:{NAMES})[\"']?[=:]."), F.struct(i.alias("word_at"), x.alias("word"))))
     found = words.withColumn("c", F.array_compact(plain)).filter("size(c) > 0").select("doc_id", "w", F.explode("c").alias("c"))
     at = F.col("c.word_at")
     found = found.select("doc_id", at.alias("word_at"), F.col("c.word").alias("word"), word(at - 2).alias("before2"), word(at - 1).alias("before"), word(at + 1).alias("after"))

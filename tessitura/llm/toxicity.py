@@ -2,7 +2,7 @@
 
 Kernel of two words: every subsequence of ``ORDER`` characters inside a span of at most
 ``SPAN`` characters is a feature, weighted ``DECAY ** span`` for each occurrence; the
-product of two words' features is divided by their norms and cubed. Inserted or missing
+product of two words' features is divided by their norms and cubed. Marks are gaps, and inserted or missing
 characters only lengthen spans, so "id-iot" and "idioot" stay near "idiot". Kernel of two
 sentences: the sum over all pairs of their words. Single letters in a row count as
 one word, so spelt-out words are met too.
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import checkpointed, held_out, table, text_rows
 from .training import fit_logistic, fit_svm, labelled
 
-ORDER, SPAN, DECAY = 3, 7, 0.7
+ORDER, SPAN, DECAY, POWER = 3, 7, 0.8, 3
 ALPHABET = 64
 LANDMARKS = 96
 SENTENCE = 32
@@ -57,10 +57,14 @@ def _places(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _letters(words: list[str], n: int) -> np.ndarray:
-    """Characters of words of length ``n`` as numbers below ``ALPHABET``: a-z, digits as one, others by code point."""
+    """Characters of words of length ``n`` as numbers below ``ALPHABET``.
+
+    ASCII letters have their own, digits share one, others go by code point; ASCII marks
+    are 0: they are gaps and take part in no subsequence.
+    """
     codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64).reshape(len(words), n)
     low = (codes >= 97) & (codes <= 122)
-    return np.where(low, codes - 96, np.where((codes >= 48) & (codes <= 57), 27, 28 + codes % (ALPHABET - 28)))
+    return np.where(low, codes - 96, np.where((codes >= 48) & (codes <= 57), 27, np.where(codes < 128, 0, 28 + codes % (ALPHABET - 28))))
 
 
 def trimmed(word: str) -> str:
@@ -89,7 +93,7 @@ def _features(words: list[str]):
                     at, weights = _places(min(200 + SPAN - 1, n - a))
                     at, weights = at[at[:, 0] < 200], weights[at[:, 0] < 200]
                     codes = letters[a + at] @ np.array([ALPHABET**2, ALPHABET, 1])
-                    yield np.full(len(codes), k), codes, weights / np.sqrt(n / 200)
+                    yield np.full(len(codes), k), codes, weights / np.sqrt(n / 200) * (letters[a + at] > 0).all(axis=1)
             continue
         at, weights = _places(n)
         block = max(1, 400_000 // max(len(at), 1))
@@ -97,7 +101,12 @@ def _features(words: list[str]):
             part = rows[a : a + block]
             letters = _letters([words[k] for k in part], n)
             codes = (letters[:, at[:, 0]] * ALPHABET + letters[:, at[:, 1]]) * ALPHABET + letters[:, at[:, 2]]
-            yield np.repeat(part, len(at)), codes.ravel(), np.tile(weights, len(part))
+            if (letters == 0).any():
+                held = (letters[:, at] > 0).all(axis=2) * weights
+                held /= np.maximum(np.sqrt((held**2).sum(axis=1, keepdims=True)), 1e-12)
+                yield np.repeat(part, len(at)), codes.ravel(), held.ravel()
+            else:
+                yield np.repeat(part, len(at)), codes.ravel(), np.tile(weights, len(part))
 
 
 class Kernel:
@@ -125,7 +134,7 @@ class Kernel:
                 lo, hi = starts[a], starts[a + 4096] if a + 4096 < len(starts) else len(rows)
                 cut = starts[a : a + 4096]
                 out[rows[cut]] += np.add.reduceat(self.weights[place[lo:hi]] * weights[on[lo:hi], None].astype(np.float32), cut - lo, axis=0)
-        return out**3
+        return out**POWER
 
 
 def words_of(text: str) -> tuple[list[str], np.ndarray]:
