@@ -16,7 +16,8 @@ the unknown score. Decoding joins pieces and bytes again.
 4. Documents are dealt into blocks of about ``BLOCK_BYTES`` by doc_id; each block meets the
    solved units that it holds, and nothing else, and writes down its ids.
 
-Sizes: shuffled are the texts once, compressed, and each block's distinct units twice. No
+Sizes: shuffled are the texts once, compressed, and each block's distinct units twice (the second
+time with their ids). No
 task holds more than a block with its units. Literal U+2581 characters are written as
 bytes, so every text comes back as it was.
 """
@@ -28,15 +29,15 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, text_rows
 
 MARK = "▁"
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 12_000_000
 UNKNOWN_PENALTY = 10.0
 FLUSH_WORDS = 1_000_000
 CACHE_WORDS = 400_000
@@ -92,22 +93,27 @@ def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
 
 
 def solved(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """Best segmentation of distinct units: ``unit, ids``, as in ``lattice``."""
+    """Best segmentation of distinct units: ``unit, ids``, as in ``lattice``.
 
-    def step(done: Column, x: Column) -> Column:
-        new = F.struct((x["score"] + F.get(done, x["b"])["score"]).alias("score"), x["id"].alias("id"), x["b"].alias("b"))
-        longer = new["score"] > F.element_at(done, -1)["score"]
-        return F.when(F.size(done) == x["e"], F.concat(done, F.array(new))).when(longer, F.concat(F.slice(done, F.lit(1), x["e"]), F.array(new))).otherwise(done)
+    Edges are ordered by end, longer ones last. The first fold keeps the best score of every
+    position; edges that reach it are on best paths; the second fold walks them back, the
+    longer first. Scores sum exactly, so equality is safe.
+    """
+
+    def reach(best: Column, x: Column) -> Column:
+        score = F.get(best, -x["a"]) + x["score"]
+        return F.when(F.size(best) == x["e"], F.concat(best, F.array(score))).when(score > F.element_at(best, -1), F.concat(F.slice(best, F.lit(1), x["e"]), F.array(score))).otherwise(best)
 
-    def back(state: Column, _: Column) -> Column:
-        at = F.get(F.col("done"), state["p"])
-        return F.when(state["p"] > 0, F.struct(at["b"].alias("p"), F.concat(state["ids"], F.array(at["id"])).alias("ids"))).otherwise(state)
+    def back(state: Column, x: Column) -> Column:
+        return F.when(x["e"] == state["p"], F.struct((-x["a"]).alias("p"), F.concat(state["ids"], F.array(x["id"])).alias("ids"))).otherwise(state)
 
-    grouped = lattice(units, pieces).groupBy("unit").agg(F.array_sort(F.collect_list(F.struct("e", "b", "score", "id"))).alias("edges"))
-    first = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("id"), F.lit(0).alias("b")))
-    folded = grouped.select("unit", F.aggregate("edges", first, step).alias("done"))
-    end = F.struct((F.size("done") - 1).alias("p"), F.array().cast("array<int>").alias("ids"))
-    return folded.select("unit", F.reverse(F.aggregate(F.sequence(F.lit(1), F.length("unit")), end, back)["ids"]).alias("ids"))
+    edges = F.sort_array(F.collect_list(F.struct("e", (-F.col("b")).alias("a"), "score", "id"))).alias("edges")
+    grouped = lattice(units, pieces).groupBy("unit").agg(edges)
+    folded = grouped.select("unit", "edges", F.aggregate("edges", F.array(F.lit(0.0)), reach).alias("best"))
+    on_path = F.filter("edges", lambda x: F.get(F.col("best"), -x["a"]) + x["score"] == F.get(F.col("best"), x["e"]))
+    kept = folded.select("unit", F.reverse(on_path).alias("edges"))
+    end = F.struct(F.length("unit").alias("p"), F.array().cast("array<int>").alias("ids"))
+    return kept.select("unit", F.reverse(F.aggregate("edges", end, back)["ids"]).alias("ids"))
 
 
 class _Blocks:
@@ -163,33 +169,39 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
         yield from flush()
 
     def packed(batches):
+        packer = zstandard.ZstdCompressor(level=6)
         for batch in batches:
             ids, texts = batch.column("doc_id"), [t.encode() for t in batch.column("text").to_pylist()]
             made = [blocks.of(i, t) for i, t in zip(ids.to_pylist(), texts)]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.int32()), ids, pa.array([zlib.compress(t, 1) for t in texts], pa.binary())], ["block", "doc_id", "packed"])
-
-    def write(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        table = {"": literal}
-        for unit, ids in zip(right["unit"], right["ids"]):
-            ids = np.asarray(ids, dtype="<i4")
+            yield pa.RecordBatch.from_arrays([pa.array(made, pa.int32()), ids, pa.array([packer.compress(t) for t in texts], pa.binary())], ["block", "doc_id", "packed"])
+
+    def write(left: pa.Table, right: pa.Table) -> pa.Table:
+        solved_ids = right.column("ids").combine_chunks()
+        solved_ids = solved_ids.chunk(0) if isinstance(solved_ids, pa.ChunkedArray) else solved_ids
+        flat, at = solved_ids.values.to_numpy(zero_copy_only=False).astype("<i4"), solved_ids.offsets.to_pylist()
+        known_ids = {"": literal}
+        for unit, a, b in zip(right.column("unit").to_pylist(), at, at[1:]):
+            ids = flat[a:b]
             if (ids < 0).any():
                 ids = np.concatenate([by_byte[np.frombuffer(chr(-1 - x).encode(), dtype=np.uint8)] if x < 0 else np.array([x], dtype="<i4") for x in ids.tolist()])
-            table[unit] = ids.tobytes()
-        words = _WordTable(adjacent, table)
-        out = []
-        for doc_id, raw in zip(left["doc_id"], left["packed"]):
-            plain = zlib.decompress(raw)
-            flat = b"".join(map(words.__getitem__, plain.decode().split(" "))) if plain else b""
-            out.append((doc_id, np.frombuffer(flat, dtype="<i4"), zlib.crc32(plain)))
-        made = pd.DataFrame(out, columns=["doc_id", "ids", "text_crc32"])
-        made["doc_id"] = made["doc_id"].astype("Int64")
-        return made
+            known_ids[unit] = ids.tobytes()
+        words = _WordTable(adjacent, known_ids)
+        made, crcs = [], []
+        for raw in left.column("packed").to_pylist():
+            plain = zstandard.decompress(raw)
+            made.append(b"".join(map(words.__getitem__, plain.decode().split(" "))) if plain else b"")
+            crcs.append(zlib.crc32(plain))
+        offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in made])]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(made), dtype="<i4")))
+        return pa.table({"doc_id": left.column("doc_id"), "ids": lists, "text_crc32": pa.array(crcs, pa.int64())})
 
     pairs = rows.mapInArrow(words_by_block, "block int, unit string")
-    best = solved(pairs.groupBy("unit").agg(F.count(F.lit(1)).alias("_n")).select("unit"), pieces)
-    known = pairs.distinct().join(best, "unit")
+    # One shuffle of the pairs serves both uses: the filter keeps both plans alike below it.
+    held = pairs.groupBy("unit").agg(F.collect_set("block").alias("blocks"))
+    best = solved(held.filter("size(blocks) > 0").select("unit"), pieces)
+    known = best.join(held.filter("size(blocks) > 0"), "unit").select("unit", "ids", F.explode("blocks").alias("block"))
     texts = rows.mapInArrow(packed, "block int, doc_id long, packed binary")
-    return texts.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(write, "doc_id long, ids array<int>, text_crc32 long")
+    return texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(write, "doc_id long, ids array<int>, text_crc32 long")
 
 
 class _Cutter:
