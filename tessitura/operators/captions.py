@@ -29,7 +29,7 @@ def proxy_scores(captions: DataFrame, text: str, hints=PUNCTUATION_HINTS) -> Dat
         for name, _, weights in hints:
             if label in weights:
                 value = value + F.when(hit[name], weights[label]).otherwise(0.0)
-        scores[label] = F.round(F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)), 4)
+        scores[label] = F.bround(F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)), 4)
     names = F.concat_ws(",", *[F.when(test, F.lit(name)) for name, test in hit.items()])
     return captions.withColumns(scores | {"matched": names})
 
@@ -40,7 +40,7 @@ def acoustic_intensity(captions: DataFrame, keys: Sequence[str], rms: str, centr
     norm = robust_normalize(rows, keys, {rms: "__n_rms", centroid: "__n_cen", "__lf0": "__n_f0"}, hot)
     share = F.least(F.greatest(F.col(voiced), F.lit(0.0)), F.lit(1.0))
     blend = 0.55 * F.col("__n_rms") + 0.20 * F.col("__n_cen") + 0.15 * F.col("__n_f0") + 0.10 * share
-    return norm.withColumn("acoustic_intensity", F.round(blend, 4)).drop("__lf0", "__n_rms", "__n_cen", "__n_f0")
+    return norm.withColumn("acoustic_intensity", F.bround(blend, 4)).drop("__lf0", "__n_rms", "__n_cen", "__n_f0")
 
 
 def top_labels(scores: dict[str, Column], n: int = 3) -> Column:
@@ -76,5 +76,5 @@ def schedule(captions: DataFrame, keys: Sequence[str], start: str, end: str, wei
         clip_round(0.28 + 0.07 * c("blended"), 0.28, 0.35).alias("rms_mix_rate"),
         clip_round(0.22 + 0.05 * c("tension"), 0.22, 0.27).alias("protect"),
         mode.alias("emotion_mode"), top_labels({l: c(l) for l in LABELS}).alias("semantic_top"),
-        F.round("arousal", 4).alias("semantic_arousal"), F.round("acoustic_intensity", 4).alias("acoustic_intensity"), F.round("blended", 4).alias("blended_intensity"),
+        F.bround("arousal", 4).alias("semantic_arousal"), F.bround("acoustic_intensity", 4).alias("acoustic_intensity"), F.bround("blended", 4).alias("blended_intensity"),
     )

@@ -328,7 +328,7 @@ def batch_repair(queue: DataFrame, notes: DataFrame, locks: DataFrame, cuts: Dat
             "NOTE_DURATION": notes.where("end_us <= start_us"), "NOTE_ORDER": late,
             "LOCK_STATUS": locks.where(~F.coalesce(F.col("status").isin("LOCKED", "EXCLUDED"), F.lit(False))),
             "CUT_INTERVALS": cuts.where("end_us <= start_us or start_us is null or end_us is null"),
-            "SOURCE_PRESERVED": changed, "PRUNE_BUDGET": budget.where("status <> 'WITHIN_BUDGET'"),
+            "SOURCE_PRESERVED": changed, "PRUNE_BUDGET": budget.where("status <> 'WITHIN_BUDGET'").select("status").distinct(),
         }
     )
 

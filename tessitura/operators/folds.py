@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .intervals import asof, overlap_join, union
-from .scans import CHUNK, HotKeys, Scan, assign_chunks, find_hot_keys, refine, running_sum, scan
+from .scans import CHUNK, HotKeys, Scan, assign_chunks, find_hot_keys, refine, row_number, running_sum, scan
 from .stats import percentiles
 
 # A rule takes (rows in order, state or None, is this the end) and yields output tuples;
@@ -121,31 +121,39 @@ def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], rule: Rule, s
 def pack_windows(items: DataFrame, keys, rest_gap: int, min_len: int, max_len: int, hard_max: int, hot=None) -> DataFrame:
     """Greedy alignment windows: close at a rest once long enough, or when the next item would not fit.
 
-    ``items``: keys, item, start, end (times as integers). Items are never cut.
+    ``items``: keys, item, start, end (times as integers). Items are never cut; those
+    without a duration are in no window and reported by ``item_issues``. The state is the
+    open window alone; windows are numbered afterwards, so chunks of a hot key whose
+    windows close alike agree at once.
     """
 
-    def rule(rows, s, last):
-        s = s or {"n": 0, "open": None}
+    def rule(rows, w, last):
         for r in rows:
             if r.end <= r.start:
                 continue
-            w = s["open"]
             if w and ((r.start - w[1] >= rest_gap and w[1] - w[0] >= min_len) or r.end - w[0] > max_len):
-                s["n"] += 1
-                yield (s["n"], *w)
+                yield tuple(w)
                 w = None
-            s["open"] = [w[0], max(w[1], int(r.end)), w[2], int(r.item), w[4] + 1] if w else [int(r.start), int(r.end), int(r.item), int(r.item), 1]
-        if last and s["open"]:
-            yield (s["n"] + 1, *s["open"])
-        return s
+            w = [w[0], max(w[1], int(r.end)), w[2], int(r.item), w[4] + 1] if w else [int(r.start), int(r.end), int(r.item), int(r.item), 1]
+        if last and w:
+            yield tuple(w)
+        return w
 
     out = fold(items.select(*keys, "item", "start", "end"), keys, ["item"], rule,
-               "window_index long, start long, end long, first_item long, last_item long, items long", hot)
+               "start long, end long, first_item long, last_item long, items long", hot)
+    out = scan(out, keys, ["first_item"], [row_number("window_index")], hot)
     size = F.col("end") - F.col("start")
     issue = F.when(size > hard_max, "ALIGNMENT_WINDOW_TOO_LONG").when((size < min_len) & (F.col("items") > 1), "ALIGNMENT_DENSE_SHORT_WINDOW")
     return out.withColumn("issue", issue)
 
 
+def item_issues(items: DataFrame, keys, hard_max: int) -> DataFrame:
+    """Items that packing leaves out or that fill more than a window: keys, item, issue, duration."""
+    size = F.col("end") - F.col("start")
+    issue = F.when(F.coalesce(size, F.lit(0)) <= 0, "ALIGNMENT_ITEM_DURATION_INVALID").when(size > hard_max, "ALIGNMENT_ITEM_TOO_LONG")
+    return items.select(*keys, "item", issue.alias("issue"), size.alias("duration")).where("issue is not null")
+
+
 def merge_dense(items: DataFrame, keys, eps: int, short: int, dense: int, hot=None) -> DataFrame:
     """Join an item to its contiguous left neighbour when either is very short and crowded.
 

@@ -44,17 +44,22 @@ def normalize(issues: DataFrame, default_stage: str = "") -> DataFrame:
 
 
 def deduplicate(issues: DataFrame, position: str, keep: Sequence[str]) -> DataFrame:
-    """First copy of each id; an unsettled first copy takes over the first settled status."""
+    """First copy of each id; an unsettled first copy takes over the first settled status.
+
+    A ``resolution`` among the kept columns comes from the same copy as the status.
+    """
     at = F.col(position)
     done = F.when(settled(F.col("status")), at)
     out = issues.groupBy("issue_id").agg(
         F.min_by(F.struct(*keep, "status"), at).alias("first"),
-        F.min_by("status", done).alias("later"),
+        F.min_by(F.struct("status", *(["resolution"] if "resolution" in keep else [])), done).alias("later"),
         F.min(position).alias(position),
         F.count(F.lit(1)).alias("copies"),
     )
-    status = F.when(settled(F.col("first.status")), F.col("first.status")).otherwise(F.coalesce("later", "first.status"))
-    return out.select("issue_id", *[F.col(f"first.{c}").alias(c) for c in keep], status.alias("status"), position, "copies")
+    takes = ~settled(F.col("first.status")) & F.col("later").isNotNull()
+    taken = lambda c: F.when(takes, F.col(f"later.{c}")).otherwise(F.col(f"first.{c}")).alias(c)
+    kept = [taken(c) if c == "resolution" else F.col(f"first.{c}").alias(c) for c in keep]
+    return out.select("issue_id", *kept, taken("status"), position, "copies")
 
 
 def root_key(issues: DataFrame) -> Column:

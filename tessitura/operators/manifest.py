@@ -185,12 +185,12 @@ def allocate(rows: DataFrame, totals: DataFrame, keys: Sequence[str], index: str
     """Largest-remainder shares of ``total`` per key, at least one each, ties to the earlier row.
 
     ``totals`` has the keys and ``total``. All arithmetic is on integers, so the parts
-    add up exactly. A key whose total is below its row count gives null counts.
+    add up exactly. A key whose total is absent or below its row count gives null counts.
     """
     keys = list(keys)
     w = F.greatest(F.col(weight), F.lit(0)).cast("bigint")
     sums = rows.groupBy(*keys).agg(F.sum(w).alias("__w"), F.count(F.lit(1)).alias("__n"))
-    facts = sums.join(totals, keys)
+    facts = sums.join(totals, keys, "left").fillna(0, ["total"])
     joined = rows.join(facts, keys)
     even = F.col("__w") == 0
     share = F.when(even, F.lit(1)).otherwise(w)

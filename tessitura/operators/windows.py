@@ -97,20 +97,28 @@ def coverage_contract(windows, exclusions, observed, eps=0, hot=None) -> DataFra
 
 
 def prune_budget(exclusions, windows, max_ratio_percent: int, carried_us: int = 0, eps=0, hot=None) -> DataFrame:
-    """Excluded time per song (overlaps once) against a percentage of the accepted time."""
+    """Excluded time (overlaps once) against a percentage of the accepted time, over the whole set.
+
+    One row per song with windows or cuts holds the song's own sums; status and ratio, the
+    same in all rows, compare the set's one sum of cuts and the carried amount, once, with
+    the share of the set's total.
+    """
     cut = iv.union(exclusions, SONG, eps, hot=hot).groupBy("song_id").agg(
         F.sum(F.col("end_us") - F.col("start_us")).alias("pruned_us"), F.count(F.lit(1)).alias("pieces")
     )
     total = windows.groupBy("song_id").agg(F.sum(F.greatest(F.lit(0), F.col("end_us") - F.col("start_us"))).alias("total_us"))
-    return with_budget(total.join(cut, "song_id", "left").fillna(0, ["pruned_us", "pieces"]), max_ratio_percent, carried_us, eps)
+    songs = total.join(cut, "song_id", "full").fillna(0, ["pruned_us", "pieces", "total_us"])
+    whole = songs.groupBy().agg(F.sum("pruned_us").alias("set_pruned_us"), F.sum("total_us").alias("set_total_us"))
+    judged = with_budget(whole, max_ratio_percent, carried_us, eps).withColumn("__set", F.lit(0))
+    return songs.withColumn("__set", F.lit(0)).join(F.broadcast(judged), "__set").drop("__set")
 
 
 def with_budget(rows: DataFrame, max_ratio_percent: int, carried_us: int = 0, eps=0) -> DataFrame:
-    """Limit, remaining amount and status; compared in whole units, so without rounding."""
-    spent = (F.col("pruned_us") + carried_us) * 100
-    allowed = F.col("total_us") * max_ratio_percent
+    """Status and ratio of ``set_pruned_us`` to ``set_total_us``; compared in whole units, so without rounding."""
+    spent = (F.col("set_pruned_us") + carried_us) * 100
+    allowed = F.col("set_total_us") * max_ratio_percent
     return rows.withColumn("status", F.when(spent <= allowed + eps * 100, "WITHIN_BUDGET").otherwise("BLOCKED_PRUNE_BUDGET")).withColumn(
-        "prune_ratio", F.when(F.col("total_us") > 0, F.round((F.col("pruned_us") + carried_us) / F.col("total_us"), 6)).otherwise(F.lit(1.0))
+        "prune_ratio", F.when(F.col("set_total_us") > 0, F.round((F.col("set_pruned_us") + carried_us) / F.col("set_total_us"), 6)).otherwise(F.lit(1.0))
     )
 
 

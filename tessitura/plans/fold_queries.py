@@ -34,6 +34,15 @@ def window_packing(t: Tables):
     return folds.pack_windows(items, SONG, HOUR // 2, HOUR, 12 * HOUR, 15 * HOUR, t.hot_songs)
 
 
+@query(f"""SELECT song_id, note_index AS item, CASE WHEN e <= start_us THEN 'ALIGNMENT_ITEM_DURATION_INVALID' ELSE 'ALIGNMENT_ITEM_TOO_LONG' END AS issue, e - start_us AS duration
+    FROM (SELECT *, CASE WHEN pitch % 7 = 3 THEN start_us ELSE end_us END AS e FROM mono_notes) WHERE e <= start_us OR e - start_us > {2 * HOUR}""")
+def window_item_issues(t: Tables):
+    """Packing's item issues; notes of some pitches are taken as having no length, so that both rules fire."""
+    end = F.when(F.col("pitch") % 7 == 3, F.col("start_us")).otherwise(F.col("end_us"))
+    items = t.mono_notes().select("song_id", F.col("note_index").alias("item"), F.col("start_us").alias("start"), end.alias("end"))
+    return folds.item_issues(items, SONG, 2 * HOUR)
+
+
 @query(f"""WITH RECURSIVE {STEPS},
     b AS (SELECT song_id, rn, note_index, start_us, end_us - start_us AS d, pitch % 20 AS p FROM it),
     st AS (SELECT song_id, rn, note_index AS fi, start_us AS s, d, p, note_index AS li, CAST(1 AS BIGINT) AS n, false AS nw, CAST(NULL AS BIGINT) AS ofi, CAST(NULL AS BIGINT) AS os, CAST(NULL AS BIGINT) AS od, CAST(NULL AS BIGINT) AS op,

@@ -23,7 +23,7 @@ from .views import Tables
 MAP = """ph AS (SELECT song AS song_id, id AS phrase, list_filter(string_split_regex(trim(lower(text)), '\\s+'), lambda x: x <> '') AS phones FROM captions),
     tt AS (SELECT song_id, count(*) AS total FROM mono_notes GROUP BY song_id),
     f AS (SELECT song_id, count(*) AS n, sum(greatest(1, len(phones))) AS sw FROM ph GROUP BY song_id),
-    q AS (SELECT p.song_id, phrase, phones, total, n, (total - n) * greatest(1, len(phones)) // sw AS fl, (total - n) * greatest(1, len(phones)) % sw AS rem FROM ph p JOIN f USING (song_id) JOIN tt USING (song_id)),
+    q AS (SELECT p.song_id, phrase, phones, total, n, (total - n) * greatest(1, len(phones)) // sw AS fl, (total - n) * greatest(1, len(phones)) % sw AS rem FROM ph p JOIN f USING (song_id) JOIN (SELECT f.song_id, coalesce(tt.total, 0) AS total FROM f LEFT JOIN tt USING (song_id)) USING (song_id)),
     r AS (SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY rem DESC, phrase) AS rn, sum(fl) OVER (PARTITION BY song_id) AS given FROM q),
     k AS (SELECT song_id, phrase, phones, CAST(1 + fl + CASE WHEN rn <= total - n - given THEN 1 ELSE 0 END AS BIGINT) AS nc FROM r WHERE total >= n),
     s AS (SELECT *, CAST(sum(nc) OVER (PARTITION BY song_id ORDER BY phrase ROWS UNBOUNDED PRECEDING) AS BIGINT) - nc AS f0 FROM k),
@@ -269,7 +269,7 @@ def caption_features(t: Tables):
     UNION ALL SELECT 'NOTE_DURATION', count(*) FROM mono_notes WHERE end_us <= start_us UNION ALL SELECT 'NOTE_ORDER', count(*) FROM (SELECT *, max(end_us) OVER (PARTITION BY song_id ORDER BY note_index
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM mono_notes) WHERE start_us < m UNION ALL SELECT 'LOCK_STATUS', count(*) FROM (SELECT DISTINCT doc_id FROM labels WHERE quality = 0)
     UNION ALL SELECT 'CUT_INTERVALS', count(*) FROM exclusions WHERE end_us <= start_us UNION ALL SELECT 'SOURCE_PRESERVED', count(*) FROM members m LEFT JOIN registered r USING (path) WHERE r.sha256 IS DISTINCT FROM m.sha256
-    UNION ALL SELECT 'PRUNE_BUDGET', count(*) FROM tot LEFT JOIN cut USING (song_id) WHERE coalesce(c, 0) * 100 > w * 5)""")
+    UNION ALL SELECT 'PRUNE_BUDGET', count(*) FROM (SELECT (SELECT sum(c) FROM cut) AS c, (SELECT sum(w) FROM tot) AS w) WHERE coalesce(c, 0) * 100 > w * 5)""")
 def batch_repair_checks(t: Tables):
     none = F.lit(None).cast("string")
     queue = t.issues().select("issue_id", "status").distinct().select("*", none.alias("root_issue_id"), none.alias("resolution_action"), none.alias("artifact_sha256"))

@@ -166,11 +166,11 @@ def note_span_split(t: Tables):
 
 
 @query("""WITH cut AS (SELECT song_id, CAST(sum(end_us - start_us) AS BIGINT) AS pruned_us, count(*) AS pieces FROM u_exclusions GROUP BY song_id),
-    total AS (SELECT song_id, CAST(sum(end_us - start_us) AS BIGINT) AS total_us FROM windows GROUP BY song_id)
-    SELECT song_id, total_us, coalesce(pruned_us, 0) AS pruned_us, coalesce(pieces, 0) AS pieces,
-           CASE WHEN coalesce(pruned_us, 0) * 100 <= total_us * 5 THEN 'WITHIN_BUDGET' ELSE 'BLOCKED_PRUNE_BUDGET' END AS status,
-           round(coalesce(pruned_us, 0) / total_us, 6) AS prune_ratio
-    FROM total LEFT JOIN cut USING (song_id)""")
+    total AS (SELECT song_id, CAST(sum(end_us - start_us) AS BIGINT) AS total_us FROM windows GROUP BY song_id),
+    s AS (SELECT song_id, coalesce(total_us, 0) AS total_us, coalesce(pruned_us, 0) AS pruned_us, coalesce(pieces, 0) AS pieces FROM total FULL JOIN cut USING (song_id)),
+    w AS (SELECT CAST(sum(pruned_us) AS BIGINT) AS set_pruned_us, CAST(sum(total_us) AS BIGINT) AS set_total_us FROM s)
+    SELECT s.*, w.*, CASE WHEN set_pruned_us * 100 <= set_total_us * 5 THEN 'WITHIN_BUDGET' ELSE 'BLOCKED_PRUNE_BUDGET' END AS status,
+           round(set_pruned_us / set_total_us, 6) AS prune_ratio FROM s, w""")
 def prune_budget(t: Tables):
     return windows.prune_budget(t.exclusions(), t.windows(), 5, hot=t.hot_songs)
 

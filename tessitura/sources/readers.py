@@ -48,11 +48,14 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return numbered.select("file", "line", value.alias("value"))
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, sep: str = ",") -> DataFrame:
-    """Header and optional BOM, all strings; a missing path gives an empty table of ``columns``."""
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, sep: str = ",", multi_line: bool = False) -> DataFrame:
+    """Header and optional BOM, all strings; a missing path gives an empty table of ``columns``.
+
+    Files are split between tasks unless ``multi_line`` allows line ends inside quotes.
+    """
     if not _exists(spark, path):
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns or ["value"]]))
-    rows = spark.read.option("header", True).option("sep", sep).option("multiLine", True).option("escape", '"').csv(path)
+    rows = spark.read.option("header", True).option("sep", sep).option("multiLine", multi_line).option("escape", '"').csv(path)
     rows = rows.withColumnsRenamed({c: c.replace(BOM, "").strip('"') for c in rows.columns})
     for c in columns or ():
         if c not in rows.columns:
@@ -193,7 +196,7 @@ def read_srt(spark: SparkSession, path: str):
 def parse_textgrid(docs: DataFrame, tier: str, include_empty: bool = False, text: str = "value") -> DataFrame:
     """Intervals of one named tier of whole TextGrid texts: ``start, end, text`` with their position."""
     keep = [c for c in docs.columns if c != text]
-    items = docs.select(*keep, F.explode(F.slice(F.split(_unmark(F.col(text)), r"(?m)^\s*item \[\d+\]:"), 2, 10_000)).alias("item"))
+    items = docs.select(*keep, F.explode(F.filter(F.split(_unmark(F.col(text)), r"(?m)^\s*item \[\d+\]:"), lambda _, k: k > 0)).alias("item"))
     name = F.regexp_extract("item", r'(?m)^\s*name\s*=\s*"?([^"\r\n]*)"?', 1)
     found = items.where(F.trim(name) == tier).select(*keep, F.posexplode(F.split("item", r"(?m)^\s*intervals \[\d+\]:")).alias("pos", "part")).where("pos > 0")
     field = lambda n: F.regexp_extract("part", rf"(?m)^\s*{n}\s*=\s*([^\r\n]+)", 1)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,8 +73,10 @@ def write_sorted(rows: DataFrame, path: str, order: str, mode: str = "errorifexi
 
 def write_accepted_rejected(tagged: DataFrame, reason: str, accepted: str, rejected: str) -> None:
     """Rows without a reason and rows with one, side by side."""
+    tagged = tagged.persist(StorageLevel.DISK_ONLY)  # both writes read the rows that one run made
     tagged.where(F.col(reason).isNull()).drop(reason).write.mode("errorifexists").parquet(accepted)
     tagged.where(F.col(reason).isNotNull()).write.mode("errorifexists").parquet(rejected)
+    tagged.unpersist()
 
 
 def publish(tables: dict[str, DataFrame], target: str, checks: DataFrame | None = None, dry_run: bool = False) -> dict:
@@ -90,10 +94,10 @@ def publish(tables: dict[str, DataFrame], target: str, checks: DataFrame | None
     failed = [r["code"] for r in checks.where("not passed").select("code").collect()] if checks is not None else []
     if failed or dry_run:
         return {"status": "BLOCKED" if failed else "DRY_RUN_PASS", "failed": failed, "target": target}
-    stage = target.rstrip("/") + ".staging"
+    stage = f"{target.rstrip('/')}.{uuid.uuid4().hex}.staging"
     staged, _ = _path(spark, stage)
     for name, rows in tables.items():
-        rows.write.mode("overwrite").parquet(f"{stage}/{name}")
+        rows.write.mode("errorifexists").parquet(f"{stage}/{name}")
     if fs.exists(final) or not fs.rename(staged, final):
         raise FileExistsError(f"target appeared while writing: {target}")
     return {"status": "PUBLISHED", "failed": [], "target": target}

@@ -87,7 +87,13 @@ def test_short_residual_fixture(spark):
 def test_prune_budget_fixture(spark):
     w = spark.createDataFrame([("s", "w", 0, 60_000), ("t", "w", 0, 60_000)], WINS)
     x = spark.createDataFrame([("s", 0, 2_000), ("s", 1_500, 3_000), ("t", 0, 3_100)], SPANS)
-    assert rows(wn.prune_budget(x, w, 5), "song_id", "pruned_us", "status") == [("s", 3_000, "WITHIN_BUDGET"), ("t", 3_100, "BLOCKED_PRUNE_BUDGET")]
+    assert rows(wn.prune_budget(x, w, 5), "song_id", "pruned_us", "status") == [("s", 3_000, "BLOCKED_PRUNE_BUDGET"), ("t", 3_100, "BLOCKED_PRUNE_BUDGET")]
+    assert {r["status"] for r in wn.prune_budget(x, w, 6).collect()} == {"WITHIN_BUDGET"}
+    # A song that is all windows pays for one that has cuts only.
+    only = spark.createDataFrame([("u", 0, 2_000)], SPANS)
+    got = wn.prune_budget(only, w, 5).orderBy("song_id").collect()
+    assert [(r["song_id"], r["total_us"], r["pruned_us"], r["status"]) for r in got] == [("s", 60_000, 0, "WITHIN_BUDGET"), ("t", 60_000, 0, "WITHIN_BUDGET"), ("u", 0, 2_000, "WITHIN_BUDGET")]
+    assert {r["status"] for r in wn.prune_budget(only, w, 5, carried_us=4_001).collect()} == {"BLOCKED_PRUNE_BUDGET"}
 
 
 # -- evidence -----------------------------------------------------------------------
