@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
 from .intervals import asof, overlap_join, union
 from .scans import CHUNK, HotKeys, Scan, assign_chunks, find_hot_keys, refine, row_number, running_sum, scan
 from .stats import percentiles
@@ -71,6 +72,7 @@ def _streamed(rule: Rule, n_keys: int, names: list[str], only_state: bool):
 
 def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], rule: Rule, schema: str, hot: HotKeys | None = None) -> DataFrame:
     """Apply ``rule`` along the order of each key; output has the keys and ``schema``."""
+    ship_package(df.sparkSession)
     keys, order = list(keys), list(order)
     hot = find_hot_keys(df, keys) if hot is None else hot
     key_fields = [df.schema[k] for k in keys]

@@ -259,3 +259,29 @@ def test_activity_segments_in_chunks(spark):
         assert run_segments(spark, rms) == segments(rms)
     finally:
         spark.conf.unset(MAX_ROWS_CONF)
+
+
+def test_folds_run_from_another_working_folder(tmp_path):
+    """The package reaches the Python workers of a session started elsewhere."""
+    import subprocess
+    import sys
+
+    code = """
+import sys
+sys.path.insert(0, "/root/repo")
+from tessitura.session import local_session
+from tessitura.operators.folds import pack_windows
+spark = local_session(2, "elsewhere", "1g")
+items = spark.createDataFrame([("s", 0, 0, 5), ("s", 1, 9, 9), ("s", 2, 20, 30)], "k string, item long, start long, end long")
+print("windows", pack_windows(items, ["k"], 5, 2, 100, 200).count())
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=200)
+    assert "windows 2" in done.stdout, done.stderr[-2000:]
+
+
+def test_packing_issues_name_each_item_left_out(spark):
+    from tessitura.operators.folds import item_issues
+
+    items = spark.createDataFrame([("s", 0, 0, 5), ("s", 1, 9, 9), ("s", 2, 20, 300), ("s", 3, 7, None)], "k string, item long, start long, end long")
+    found = sorted((r["item"], r["issue"]) for r in item_issues(items, ["k"], 100).collect())
+    assert found == [(1, "ALIGNMENT_ITEM_DURATION_INVALID"), (2, "ALIGNMENT_ITEM_TOO_LONG"), (3, "ALIGNMENT_ITEM_DURATION_INVALID")]
