@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tessitura.session import ensure_checkpoint_dir
+from tessitura.session import ensure_checkpoint_dir, ship_package
 
 #: Text bytes that one task of a map-like step should get.
 TASK_BYTES = 32_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
