@@ -30,6 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,9 +38,13 @@ from pyspark.sql import functions as F
 from .common import table, text_rows
 
 MARK = "▁"
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 24_000_000
 UNKNOWN_PENALTY = 10.0
 FLUSH_WORDS = 1_000_000
+#: Steps of a score; an edge is packed into one integer: end, length, cost in steps, id.
+STEPS = 1 << 14
+UNIT_LENGTH = 1 << 20
+PACK_BYTES = 400_000
 CACHE_WORDS = 400_000
 
 
@@ -66,7 +71,7 @@ class Pieces:
             total = math.log(sum(1 / (1 - s) for _, s, _ in self.rows))
             self.rows = [(p, -math.log1p(-s) - total, k) for p, s, k in self.rows]
         # Multiples of a power of two: sums are exact, so solving units alone changes no tie.
-        self.rows = [(p, round(s * 2**20) / 2**20, k) for p, s, k in self.rows]
+        self.rows = [(p, round(s * STEPS) / STEPS, k) for p, s, k in self.rows]
         self.longest = max(len(p) for p, _, _ in self.rows)
         self.unknown = min(s for _, s, _ in self.rows) - UNKNOWN_PENALTY
         self.adjacent = frozenset(p[k : k + 2] for p, _, _ in self.rows for k in range(len(p) - 1))
@@ -83,34 +88,41 @@ def pieces_of(path: str) -> Pieces:
 
 
 def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """Edges ``unit, b, e, score, id`` of distinct units; ``id`` is -1 minus the code point for bytes."""
-    rows = units.sparkSession.createDataFrame(pieces.rows, "piece string, score double, id int")
-    size = F.length("unit")
-    spans = F.transform(F.sequence(F.lit(0), size - 1), lambda b: F.transform(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), size - b)), lambda k: F.struct(b.alias("b"), (b + k).alias("e"), F.col("unit").substr(b + 1, k).alias("piece"))))
-    edges = units.filter(size > 0).select("unit", F.explode(F.flatten(spans)).alias("x")).select("unit", "x.b", "x.e", "x.piece")
+    """Edges ``unit, b, e, cost, id`` of distinct units; id 0 stands for a character that is no piece."""
+    rows = units.sparkSession.createDataFrame([(p, round(-s * STEPS), k) for p, s, k in pieces.rows], "piece string, cost int, id int")
+    starts = units.filter("unit <> ''").select("unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("b"))
+    ends = starts.select("unit", "b", F.explode(F.sequence(F.col("b") + 1, F.least(F.length("unit"), F.col("b") + pieces.longest))).alias("e"))
+    edges = ends.withColumn("piece", F.col("unit").substr(F.col("b") + 1, F.col("e") - F.col("b")))
     edges = edges.join(F.broadcast(rows), "piece", "left").filter("id is not null or e = b + 1")
-    return edges.select("unit", "b", "e", F.coalesce("score", F.lit(pieces.unknown)).alias("score"), F.coalesce("id", -1 - F.ascii("piece")).alias("id"))
+    return edges.select("unit", "b", "e", F.coalesce("cost", F.lit(round(-pieces.unknown * STEPS))).alias("cost"), F.coalesce("id", F.lit(0)).alias("id"))
 
 
 def solved(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """Best segmentation of distinct units: ``unit, ids``, as in ``lattice``.
+    """Best segmentation of distinct units: ``unit, ids``; -1 minus the code point for unknown characters.
 
-    Edges are ordered by end, longer ones last. The first fold keeps the best score of every
-    position; edges that reach it are on best paths; the second fold walks them back, the
-    longer first. Scores sum exactly, so equality is safe.
+    Edges are packed into integers that sort by end, longer ones last. The first fold
+    keeps the least cost of every position; edges that reach it are on best paths; the
+    second fold walks them back, the longer first.
     """
 
     def reach(best: Column, x: Column) -> Column:
-        score = F.get(best, -x["a"]) + x["score"]
-        return F.when(F.size(best) == x["e"], F.concat(best, F.array(score))).when(score > F.element_at(best, -1), F.concat(F.slice(best, F.lit(1), x["e"]), F.array(score))).otherwise(best)
+        cost = F.get(best, x["b"]) + x["c"]
+        return F.when(F.size(best) == x["e"], F.concat(best, F.array(cost))).when(cost < F.element_at(best, -1), F.concat(F.slice(best, F.lit(1), x["e"]), F.array(cost))).otherwise(best)
 
     def back(state: Column, x: Column) -> Column:
-        return F.when(x["e"] == state["p"], F.struct((-x["a"]).alias("p"), F.concat(state["ids"], F.array(x["id"])).alias("ids"))).otherwise(state)
-
-    edges = F.sort_array(F.collect_list(F.struct("e", (-F.col("b")).alias("a"), "score", "id"))).alias("edges")
-    grouped = lattice(units, pieces).groupBy("unit").agg(edges)
-    folded = grouped.select("unit", "edges", F.aggregate("edges", F.array(F.lit(0.0)), reach).alias("best"))
-    on_path = F.filter("edges", lambda x: F.get(F.col("best"), -x["a"]) + x["score"] == F.get(F.col("best"), x["e"]))
+        return F.when(x["e"] == state["p"], F.struct(x["b"].alias("p"), F.concat(state["ids"], F.array(x["id"])).alias("ids"))).otherwise(state)
+
+    def opened(x: Column) -> Column:
+        e, low = F.shiftright(x, 41).cast("int"), x.bitwiseAND(65535).cast("int")
+        b = e - F.shiftright(x, 36).bitwiseAND(31).cast("int")
+        other = -1 - F.ascii(F.col("unit").substr(e, F.lit(1)))
+        return F.struct(e.alias("e"), b.alias("b"), F.shiftright(x, 16).bitwiseAND((1 << 20) - 1).alias("c"), F.when(low == 0, other).otherwise(low).alias("id"))
+
+    packed = F.shiftleft(F.col("e").cast("long"), 41) + F.shiftleft((F.col("e") - F.col("b")).cast("long"), 36) + F.shiftleft(F.col("cost").cast("long"), 16) + F.col("id")
+    edges = lattice(units, pieces).select("unit", packed.alias("x")).groupBy("unit").agg(F.sort_array(F.collect_list("x")).alias("x"))
+    grouped = edges.select("unit", F.transform("x", opened).alias("edges"))
+    folded = grouped.select("unit", "edges", F.aggregate("edges", F.array(F.lit(0).cast("long")), reach).alias("best"))
+    on_path = F.filter("edges", lambda x: F.get(F.col("best"), x["b"]) + x["c"] == F.get(F.col("best"), x["e"]))
     kept = folded.select("unit", F.reverse(on_path).alias("edges"))
     end = F.struct(F.length("unit").alias("p"), F.array().cast("array<int>").alias("ids"))
     return kept.select("unit", F.reverse(F.aggregate("edges", end, back)["ids"]).alias("ids"))
@@ -170,10 +182,31 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def packed(batches):
         packer = zstandard.ZstdCompressor(level=6)
+        waiting: dict[int, list] = {}
+
+        def rows_of(blocks_due):
+            out = []
+            for block in blocks_due:
+                _, ids, texts = waiting.pop(block)
+                out.append((block, ids, [len(t) for t in texts], packer.compress(b"".join(texts))))
+            if out:
+                kinds = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out), kinds)], ["block", "doc_ids", "sizes", "packed"])
+
         for batch in batches:
-            ids, texts = batch.column("doc_id"), [t.encode() for t in batch.column("text").to_pylist()]
-            made = [blocks.of(i, t) for i, t in zip(ids.to_pylist(), texts)]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.int32()), ids, pa.array([packer.compress(t) for t in texts], pa.binary())], ["block", "doc_id", "packed"])
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                raw = text.encode()
+                block = blocks.of(doc_id, raw)
+                held = waiting.setdefault(block, [0, [], []])
+                held[0] += len(raw)
+                held[1].append(doc_id)
+                held[2].append(raw)
+                if held[0] >= PACK_BYTES:
+                    yield from rows_of([block])
+            # Few blocks meet in a task where ids lie together; where they do not, none waits for long.
+            while sum(w[0] for w in waiting.values()) > 20 * PACK_BYTES:
+                yield from rows_of([max(waiting, key=lambda b: waiting[b][0])])
+        yield from rows_of(list(waiting))
 
     def write(left: pa.Table, right: pa.Table) -> pa.Table:
         solved_ids = right.column("ids").combine_chunks()
@@ -186,21 +219,24 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
                 ids = np.concatenate([by_byte[np.frombuffer(chr(-1 - x).encode(), dtype=np.uint8)] if x < 0 else np.array([x], dtype="<i4") for x in ids.tolist()])
             known_ids[unit] = ids.tobytes()
         words = _WordTable(adjacent, known_ids)
-        made, crcs = [], []
-        for raw in left.column("packed").to_pylist():
-            plain = zstandard.decompress(raw)
-            made.append(b"".join(map(words.__getitem__, plain.decode().split(" "))) if plain else b"")
-            crcs.append(zlib.crc32(plain))
+        ids, made, crcs = [], [], []
+        for doc_ids, sizes, raw in zip(*(left.column(c).to_pylist() for c in ("doc_ids", "sizes", "packed"))):
+            plain, start = zstandard.decompress(raw), 0
+            for doc_id, size in zip(doc_ids, sizes):
+                text, start = plain[start : start + size], start + size
+                ids.append(doc_id)
+                made.append(b"".join(map(words.__getitem__, text.decode().split(" "))) if text else b"")
+                crcs.append(zlib.crc32(text))
         offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in made])]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(made), dtype="<i4")))
-        return pa.table({"doc_id": left.column("doc_id"), "ids": lists, "text_crc32": pa.array(crcs, pa.int64())})
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "ids": lists, "text_crc32": pa.array(crcs, pa.int64())})
 
     pairs = rows.mapInArrow(words_by_block, "block int, unit string")
     # One shuffle of the pairs serves both uses: the filter keeps both plans alike below it.
     held = pairs.groupBy("unit").agg(F.collect_set("block").alias("blocks"))
     best = solved(held.filter("size(blocks) > 0").select("unit"), pieces)
     known = best.join(held.filter("size(blocks) > 0"), "unit").select("unit", "ids", F.explode("blocks").alias("block"))
-    texts = rows.mapInArrow(packed, "block int, doc_id long, packed binary")
+    texts = rows.mapInArrow(packed, "block int, doc_ids array<long>, sizes array<long>, packed binary")
     return texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(write, "doc_id long, ids array<int>, text_crc32 long")
 
 
@@ -214,7 +250,7 @@ class _Cutter:
         """Units of a word behind its mark; the empty string stands for a literal mark in it."""
         text, out, a, adjacent = MARK + word, [], 0, self.adjacent
         for k in range(1, len(text)):
-            if text[k - 1 : k + 1] not in adjacent or text[k] == MARK:
+            if text[k - 1 : k + 1] not in adjacent or text[k] == MARK or k - a == UNIT_LENGTH:
                 out.append(text[a:k])
                 a = k
         out.append(text[a:])
@@ -245,6 +281,17 @@ class _WordTable(dict):
         return made
 
 
+def _text_of(ids: np.ndarray, texts: list[bytes]) -> bytes:
+    return b"".join(map(texts.__getitem__, ids.tolist()))[1:]
+
+
+def _lists(batch, name: str = "ids"):
+    """The rows of a list column as arrays, one at a time."""
+    lists = batch.column(name)
+    flat, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_pylist()
+    return (flat[a:b] for a, b in zip(at, at[1:]))
+
+
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """Texts of ``ids`` columns: all columns but ``ids``, and ``text``."""
     texts = pieces_of(path or model_file()).texts
@@ -252,9 +299,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            lists = batch.column("ids")
-            flat, at = lists.values.to_numpy(zero_copy_only=False).tolist(), lists.offsets.to_pylist()
-            made = [b"".join(map(texts.__getitem__, flat[a:b]))[1:].decode("utf-8", "replace") for a, b in zip(at, at[1:])]
+            made = [_text_of(ids, texts).decode("utf-8", "replace") for ids in _lists(batch)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(made, pa.string())], [*kept, "text"])
 
     types = ", ".join(f"{c} {t}" for c, t in encoded.select(*kept).dtypes)
@@ -267,17 +312,16 @@ def piece_counts(docs: DataFrame) -> DataFrame:
     ``ids_crc32`` is over the ids as little-endian unsigned 32-bit integers; ``round_trip``
     tells whether the decoded text has the bytes of the text.
     """
+    texts = pieces_of(model_file()).texts
 
-    def crcs(batches):
+    def run(batches):
         for batch in batches:
-            lists = batch.column("ids")
-            flat, at = lists.values.to_numpy(zero_copy_only=False).astype("<u4"), lists.offsets.to_pylist()
-            made = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(at, at[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(at), pa.int64()), pa.array(made, pa.int64()), batch.column("text_crc32"), lists], ["doc_id", "n_pieces", "ids_crc32", "text_crc32", "ids"])
-
-    made = encode(docs).mapInArrow(crcs, "doc_id long, n_pieces long, ids_crc32 long, text_crc32 long, ids array<int>")
-    back = decode(made).withColumn("decoded_crc32", F.crc32(F.col("text").cast("binary")))
-    return back.select("doc_id", "n_pieces", "ids_crc32", "decoded_crc32", (F.col("decoded_crc32") == F.col("text_crc32")).alias("round_trip"))
+            made = [(len(ids), zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(_text_of(ids, texts))) for ids in _lists(batch)]
+            columns = [pa.array(list(c), pa.int64()) for c in zip(*made)] or [pa.array([], pa.int64())] * 3
+            same = pc.equal(columns[2], batch.column("text_crc32"))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, same], ["doc_id", "n_pieces", "ids_crc32", "decoded_crc32", "round_trip"])
+
+    return encode(docs).mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, decoded_crc32 long, round_trip boolean")
 
 
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
