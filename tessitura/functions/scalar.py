@@ -155,8 +155,13 @@ def clean_caption(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(line, r"<[^>]+>", ""), r"[ \t]+", " "))
 
 
+# The kana range, and the marker that recorders put into file names.
+KANA = "[぀-ヿ]"
+RECORDING_MARKER = "_32k_mono.wav_"
+
+
 def has_kana(text: Column) -> Column:
-    return text.rlike("[぀-ヿ]")
+    return text.rlike(KANA)
 
 
 def has_latin(text: Column) -> Column:
@@ -170,7 +175,7 @@ def safe_path(path: Column) -> Column:
     return ~bad
 
 
-def recording_group(name: Column, marker: str = "_32k_mono.wav_") -> Column:
+def recording_group(name: Column, marker: str = RECORDING_MARKER) -> Column:
     """Part before the marker, else the name without its last suffix."""
     stem = F.regexp_replace(F.regexp_extract(name, r"([^/]*)$", 1), r"(?<=.)\.[^.]*$", "")
     return F.when(F.instr(name, marker) > 0, F.split_part(name, F.lit(marker), F.lit(1))).otherwise(stem)

@@ -152,6 +152,7 @@ NASAL_NEXT = {
 PAUSE_TOKENS = ("pau", "sil", ",", ".", "!", "?")
 MARK_TOKENS = ("[", "]", "#")
 PUNCTUATION = ("「", "」", "（", "）", "(", ")", "…", "♪", "☆", "―", "．", "＆", "&", "'", '"')
+# Palatal onsets and long vowels.
 PALATAL = ("ky", "my", "ny", "ry", "by", "py", "gy")
 LONG_VOWELS = {"a": "aː", "e": "eː", "i": "iː", "o": "oː", "ɨ": "ɨː"}
 

@@ -23,6 +23,12 @@ SPEECH_SPLITS = ("smoke_train", "smoke_benchmark", "train", "validation", "bench
 SPEECH_TYPES, SPEECH_STATUSES = ("speech", "singing"), ("accepted", "review", "reject")
 RUN_STATUSES = ("ACOUSTIC_READY", "VARIANCE_READY", "BLOCKED")
 
+# Record kinds and quality flags of a training package.
+EXCLUDED_KINDS = ("exclude", "exclusion", "excluded", "rest_reclassified", "rest-reclassified")
+TRAINING_KINDS = ("training", "segment", "utterance", "sample")
+READY_FLAGS = ("true", "PASS", "PASSED", "READY", "TRAINING_READY")
+BLOCKED_FLAGS = ("false", "FAIL", "FAILED", "BLOCKED", "NOT_READY", "REJECT")
+
 
 def _blank(c: str) -> Column:
     return F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) == ""
@@ -173,11 +179,11 @@ def training_package(wavs: DataFrame, transcriptions: DataFrame, manifest: DataF
     fit = fit & (F.aggregate(num, F.lit(0).cast("bigint"), lambda a, v: a + v) == F.size(ph))
     fit = fit & (F.abs(fn.total(pd_) - fn.total(nd)) <= second) & (F.abs(fn.total(pd_) - F.col("sec")) <= second)
     kind = F.lower(F.coalesce("record_type", F.lit("segment")))
-    train = manifest.where(~kind.isin("exclude", "exclusion", "excluded", "rest_reclassified", "rest-reclassified"))
-    odd = train.where(~kind.isin("training", "segment", "utterance", "sample") | (F.col("review_status") == "pending") | (F.col("duration_sec") <= 0))
+    train = manifest.where(~kind.isin(*EXCLUDED_KINDS))
+    odd = train.where(~kind.isin(*TRAINING_KINDS) | (F.col("review_status") == "pending") | (F.col("duration_sec") <= 0))
     names = {"wav": wavs, "csv": transcriptions, "manifest": train}
-    ready = flags.where("value in ('true', 'PASS', 'PASSED', 'READY', 'TRAINING_READY')")
-    bad = flags.where("value in ('false', 'FAIL', 'FAILED', 'BLOCKED', 'NOT_READY', 'REJECT')")
+    ready = flags.where(F.col("value").isin(*READY_FLAGS))
+    bad = flags.where(F.col("value").isin(*BLOCKED_FLAGS))
     no_ready = ready.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(F.lit("ready").alias("key"))
     checks = {
         "TRAINING_WAV_METADATA": wavs.where(~F.coalesce(good, F.lit(False))),

@@ -17,6 +17,7 @@ BLOCKING_TYPES = (
     "MIDI_NOTE_OVERLAP", "INTRA_PHRASE_MIDI_GAP", "MIDI_GAP_AUDIO_CONFLICT",
     "MIDI_GAP_AUDIO_EVIDENCE_INSUFFICIENT", "AUTO_BOUNDARY_REALIGNMENT_FAILED",
 )
+# The order of these fields defines an issue id.
 ID_FIELDS = ("song_id", "stage", "type", "segment_id", "start_sec", "end_sec", "evidence", "proposed_value")
 TEXT_FIELDS = ("confidence", "resolution", *ID_FIELDS)
 

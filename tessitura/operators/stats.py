@@ -132,10 +132,3 @@ def pitch_delta_summary(rows: DataFrame, keys: Sequence[str], delta: Column, hot
     robust = (F.col("median_delta") <= 0.5) & (F.col("adjusted_median") <= 0.5) & (F.col("octave_frames") / n <= 0.10)
     robust = robust & (F.col("over_1") / n <= 0.10) & (F.col("over_2") / n <= 0.05)
     return out.withColumn("pitch_gate", F.when(raw_ok, "raw").when(robust, "robust_crosscheck").otherwise("blocked"))
-
-
-def weighted_mean(value: Column, weight: Column) -> Column:
-    return F.sum(value * weight) / F.nullif(F.sum(weight), F.lit(0))
-
-
-

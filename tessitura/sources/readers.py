@@ -162,6 +162,7 @@ def phone_inventory(dictionary: DataFrame) -> DataFrame:
 
 # -- captions and tiers ---------------------------------------------------------------
 
+# Fixed value: the time line of the SRT format.
 SRT_TIME = r"^(\d{1,2}:\d{2}:\d{2}[,.]\d{3})\s+-->\s+(\d{1,2}:\d{2}:\d{2}[,.]\d{3})$"
 
 
