@@ -44,7 +44,7 @@ FLUSH_WORDS = 1_000_000
 #: Steps of a score; an edge is packed into one integer: end, length, cost in steps, id.
 STEPS = 1 << 14
 UNIT_LENGTH = 1 << 20
-PACK_BYTES = 400_000
+PACK_BYTES, PACK_ROWS = 400_000, 5000
 CACHE_WORDS = 400_000
 
 
@@ -201,7 +201,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
                 held[0] += len(raw)
                 held[1].append(doc_id)
                 held[2].append(raw)
-                if held[0] >= PACK_BYTES:
+                if held[0] >= PACK_BYTES or len(held[1]) >= PACK_ROWS:
                     yield from rows_of([block])
             # Few blocks meet in a task where ids lie together; where they do not, none waits for long.
             while sum(w[0] for w in waiting.values()) > 20 * PACK_BYTES:
