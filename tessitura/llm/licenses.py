@@ -1,16 +1,18 @@
 """Licence recognition by sentences, then by ordered rules over sentence identifiers.
 
-A text is cut into sentences at line ends, after end marks, and before the openers of
-licence sentences, so that a notice inside running text is met as well. Sentences are
-normalised (lower case, letters and digits only, years and holders left out) and joined by
-equality with a table of known sentences; each has an identifier. The identifiers of a
+A text is cut into parts at line ends, after end marks, and before the openers of
+licence sentences, so that a notice inside running text is met as well. Parts are
+normalised (lower case, letters and digits only, years and holders left out), which takes
+comment leaders away. A part, or a run of parts in a row, that equals an entry of a table of
+known sentences is that sentence, so notices are met whatever their line width, and known
+sentences may run across ':' and line ends. Each has an identifier. The identifiers of a
 document, in order, are then matched with licence rules: a rule is an ordered list of
 identifiers that must appear one after the other, other known sentences may stand
 between. Where several rules of a family match, those with more sentences win over rules that
 they contain.
 
-Sentence and rule tables are fixed and small, so they are broadcast. Only sentences with a
-licence word are looked up; what moves is one row per recognised sentence. The identifiers
+Sentence and rule tables are fixed and small, so they are broadcast. Only texts with a
+licence word are looked at; what moves is one row per recognised sentence. The identifiers
 of one document meet in one row, so its size is that of the document's notices.
 """
 
@@ -83,6 +85,10 @@ RULES = [
 OPENERS = "(?:Licensed under|Released under|This (?:work|project|software|program) is|Permission is hereby|Redistribution|SPDX-License-Identifier|You may (?:not use|obtain)|Unless required by|See the|The above copyright|In no event shall|Neither the name|You should have)"
 WORDS = r"licen[sc]|permission|warrant|redistribut|liable|spdx|free software"
 _BREAK = rf"\n+|(?<=[.!?:])[ \t]+|(?<=\S)[ \t]+(?={OPENERS})"
+# Where a known sentence may also begin or end inside a part: the Apache notice goes on after ';' and into a URL.
+_FINE = r"(?<=;)[ \t]+|[ \t]+(?=<?https?://)"
+# A run of parts, each marked <place>, that is a known sentence; longer sentences first.
+_RUN = r"<\d+>(?:" + "|".join(w.replace(" ", r"(?: |<\d+>)") for w in sorted({w for _, w in SENTENCES}, key=lambda w: (-len(w), w))) + ")(?=<)"
 
 
 def normalised(sentence: Column) -> Column:
@@ -98,13 +104,20 @@ def sentence_table(spark: SparkSession) -> DataFrame:
 def recognised(docs: DataFrame) -> DataFrame:
     """One row per known sentence of a document: ``doc_id, digest, at, sentence_id``.
 
-    ``at`` is the sentence's place among all sentences of the text; ``digest`` tells texts
-    with one doc_id apart.
+    ``at`` is the place of the sentence's first part among all parts of the text; ``digest``
+    tells texts with one doc_id apart.
     """
     rows = text_rows(docs).filter(F.lower("text").rlike(WORDS)).withColumn("digest", F.xxhash64("text"))
-    cut = rows.select("doc_id", "digest", F.posexplode(F.split("text", _BREAK)).alias("at", "sentence"))
-    cut = cut.filter(F.lower("sentence").rlike(WORDS)).withColumn("sentence", normalised(F.col("sentence")))
-    return cut.join(F.broadcast(sentence_table(docs.sparkSession)), "sentence").select("doc_id", "digest", "at", "sentence_id")
+    rows = rows.select("doc_id", "digest", F.split("text", _BREAK).alias("parts"))
+    marked = lambda part, at: F.concat(F.lit("<"), at.cast("string"), F.lit(">"), normalised(part))
+    whole = F.filter(F.transform("parts", lambda x, i: F.when(F.lower(x).rlike(WORDS), marked(x, i))), lambda x: x.isNotNull())
+    # Letters that lead comment lines go, and parts of marks alone do not stand between others.
+    fine = F.transform("parts", lambda x, i: F.transform(F.split(x, _FINE), lambda y: marked(F.regexp_replace(y, r"(?i)^\s*(?:rem|dnl)\s", " "), i)))
+    fine = F.filter(F.flatten(fine), lambda x: ~x.endswith(">"))
+    runs = F.regexp_extract_all(F.concat(F.array_join(fine, ""), F.lit("<")), F.lit(_RUN), F.lit(0))
+    met = rows.select("doc_id", "digest", F.explode(F.array_distinct(F.concat(whole, runs))).alias("met"))
+    met = met.select("doc_id", "digest", F.regexp_extract("met", r"^<(\d+)>", 1).cast("int").alias("at"), F.trim(F.regexp_replace("met", r"<\d+>", " ")).alias("sentence"))
+    return met.join(F.broadcast(sentence_table(docs.sparkSession)), "sentence").select("doc_id", "digest", "at", "sentence_id")
 
 
 def _holds(have: Column, want: list[str]) -> Column:

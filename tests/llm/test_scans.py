@@ -2,6 +2,7 @@
 
 import re
 import sys
+import textwrap
 
 import duckdb
 import pytest
@@ -39,6 +40,43 @@ def test_license_query_equals_sql(spark):
     assert plain(licenses.op4_licenses(spark, SF)) == sorted(con.sql(licenses.OP4_SQL).fetchall(), key=str)
 
 
+NOTICES = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.""",
+    "GPL-3.0": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details.""",
+}
+NOTICES["BSD-3-Clause"] = NOTICES["BSD-2-Clause"] + "\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+NOTICES["GPL-2.0"] = NOTICES["GPL-3.0"].replace("software: you", "software; you").replace("version 3", "version 2")
+
+
+def test_verbatim_notices_wrapped_and_unwrapped(spark):
+    def wrapped(text, width, lead):
+        paragraphs = ("\n" + lead.rstrip() + "\n").join("\n".join(textwrap.wrap(x, width, initial_indent=lead, subsequent_indent=lead)) for x in text.split("\n\n"))
+        return f"{lead}Copyright (c) 2021 A. Holder\n{lead.rstrip()}\n{paragraphs}\n{lead}Other words."
+
+    shapes = [lambda t: t, lambda t: "Copyright 2021 A. Holder. " + " ".join(t.split()) + " Other words.", *[lambda t, w=w, lead=lead: wrapped(t, w, lead) for w in (30, 72, 79) for lead in ("", "# ", " * ", "// ", "dnl ")]]
+    rows = [(100 * k + j, shape(text)) for k, text in enumerate(NOTICES.values()) for j, shape in enumerate(shapes)]
+    spdx = {"MIT": "MIT", "Apache-2.0": "Apache-2.0", "GPL-3.0-or-later": "GPL-3.0", "GPL-3.0-only": "GPL-3.0", "MIT-0": None}
+    rows += [(1000 + 10 * k + j, f"{lead}SPDX-License-Identifier: {name}{tail}") for k, name in enumerate(spdx) for j, (lead, tail) in enumerate([("", ""), ("# ", "\nimport x"), ("/* ", " */\nint x;")])]
+    rows += [(2000, NOTICES["MIT"].replace("copy, modify", "modify")), (2001, NOTICES["GPL-3.0"].replace("useful", "used"))]
+    want = {(100 * k + j, name) for k, name in enumerate(NOTICES) for j in range(len(shapes))} | {(1000 + 10 * k + j, name) for k, name in enumerate(spdx.values()) if name for j in range(3)}
+    assert {(r["doc_id"], r["license"]) for r in licenses.licenses(docs(spark, rows)).collect()} == want
+
+
 def test_secret_findings(spark):
     kinds = [lambda k: f"password={k * 7919 + 10**9:x}{k * 104729 + 10**9:x}", lambda k: f'token = "{k * 10**30 + 7**40:040x}"', lambda k: "AKIA" + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[(k * 31 + j * 17 + j * j) % 32] for j in range(16))]
     harmless = [lambda k: f"name.{k}@mail{k % 9}.example.com", lambda k: f"{4000123412340000 + k}", lambda k: f"https://site.example/a/b{k}/index", lambda k: "password=example_placeholder", lambda k: "Extraordinarilylong-Words"]
