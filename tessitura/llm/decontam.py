@@ -3,14 +3,23 @@
 Words lose their outer punctuation and their case; numbers become ``<num>``, unit words
 after a number ``<unit>``, capitalised words inside a sentence ``<name>``. Windows of
 ``WIDTH`` template words of every benchmark item are hashed and joined with the windows of
-all documents. A window with fewer than half literal words would fit too much, so it keeps
-its plain words instead. An item shorter than a window is one window of its own length.
+all documents, and so are the same windows as plain words in lower case. A window with
+fewer than half literal words would fit too much, so it has its plain form alone. An item
+shorter than a window is one window of its own length.
+
+A capitalised word that may open a sentence (at the start of the text, after an end mark, a
+line end or ':') can be a literal or a name. Windows of items have all combinations of
+these readings; windows of documents have three: literal after end marks only, literal at
+all openings, and name everywhere. A window with such a name keeps ``WIDTH // 2`` literal
+words at least. Thus equal words meet wherever they stand.
 
 Along one alignment of a document with an item, each slot value of the item must always
-stand against the same value of the document, and the other way round; alignments where a
-slot changes its value are no copy and are dropped. A document is a leak of an item when at
-least ``COVERAGE`` of the item's windows are left. Passages of the question re-asked with
-other numbers, names or units are found as well as plain copies.
+stand against the same value of the document, and the other way round. Where a slot changes
+its value, windows that contradict the commonest mapping are not counted, and what is left
+counts only if it holds a run of ``RUN`` windows. A document is a leak of an item when at
+least ``COVERAGE`` of the item's windows are left, or, whatever their share, ``RUN`` windows
+in a row. Passages of the question re-asked with other numbers, names or units are found as
+well as plain copies.
 
 The hashes of the item windows go to every task while they are at most
 ``BROADCAST_WINDOWS`` (8 bytes each); then only documents' hits are shuffled. Beyond that
@@ -21,16 +30,19 @@ from __future__ import annotations
 
 import hashlib
 from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import checkpointed, table, text_rows
 
 WIDTH = 8
 COVERAGE = 0.5
+RUN = 10
 BROADCAST_WINDOWS = 2_000_000
 # Unit words that count as units after a number.
 UNITS = frozenset("mm cm m km in ft mi g kg mg lb oz l ml s sec min h hr hrs hours minutes seconds days weeks months years meters metres miles feet inches grams kilograms pounds liters litres dollars euros cents percent degrees".split())
@@ -93,9 +105,17 @@ class Words:
         sizes = np.array([len(t.encode()) + 1 for t in texts], dtype=np.int64)
         self.text = np.searchsorted(np.cumsum(sizes), self.first, "right")
         opens = np.concatenate([[True], (stops[kept[1:]] > stops[kept[:-1]]) | (self.text[1:] != self.text[:-1])])[: len(kept)]
+        lines = np.cumsum(original == 10)[self.first]
+        colons = np.concatenate([[0], np.cumsum((marks == 58) | _QUOTES[marks] & (before == 58))])
+        self.may_open = opens.copy()
+        self.may_open[1:] |= (lines[1:] > lines[:-1]) | (colons[kept[1:]] > colons[kept[:-1]])
         self.plain = self._hashes(low)
-        self.kinds = self._kinds(original, low, opens)
-        self.shown = np.where(self.kinds == 0, self.plain, _SHOWN[self.kinds])
+        kinds = self._kinds(original, low)
+        self.may_open &= kinds == 3
+        #: Readings of all words: 0 literal, 1 number, 2 unit, 3 name, 4 name that may be an opening word.
+        self.named = np.where(self.may_open, 4, kinds).astype(np.int8)
+        self.literal = np.where(self.may_open, 0, kinds).astype(np.int8)
+        self.usual = np.where(opens & (kinds == 3), 0, self.named).astype(np.int8)
 
     def _hashes(self, low: np.ndarray) -> np.ndarray:
         """Polynomial hashes of the cores from running sums over pieces of the bytes."""
@@ -113,14 +133,14 @@ class Words:
             made = (made ^ made >> np.uint64(32)) * _FACTOR
         return made ^ made >> np.uint64(29)
 
-    def _kinds(self, original: np.ndarray, low: np.ndarray, opens: np.ndarray) -> np.ndarray:
-        """0 literal, 1 number, 2 unit, 3 name."""
+    def _kinds(self, original: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """0 literal, 1 number, 2 unit, 3 capitalised."""
         a, b = self.first, self.last
         turned = np.concatenate([original != low, [False] * 3])
         lead = original[a]
         capital = turned[a] | (lead >= 0xC2) & turned[a + 1] | (lead >= 0xE0) & turned[a + 2]
         kinds = np.zeros(len(a), dtype=np.int8)
-        maybe = np.flatnonzero(capital & ~opens)
+        maybe = np.flatnonzero(capital)
         if len(maybe):
             # Words all in capitals are loud, not names.
             small = np.concatenate([[0], np.cumsum(_SMALL[original] | (original >= 0xC2) & ~(turned[:-3] | turned[1:-2] | turned[2:-1]))])
@@ -136,27 +156,57 @@ class Words:
     def core(self, k: int) -> str:
         return self.low[self.first[k] : self.last[k]].decode("utf-8", "replace")
 
-    def windows(self, width: int):
-        """Hash of every run of ``width`` words, which are kept plain, which lie in one text."""
+    def whole(self, width: int) -> np.ndarray:
+        """Starts of the runs of ``width`` words which lie in one text."""
         n = max(len(self.first) - width + 1, 0)
-        slots = np.concatenate([[0], np.cumsum(self.kinds > 0)])
-        many = 2 * (slots[width:] - slots[:-width]) > width if n else np.zeros(0, dtype=bool)
-        hashes = _windows(self.shown, width)
-        if many.any():
-            hashes = np.where(many, ~_windows(self.plain, width), hashes)
-        return hashes, many, self.text[:n] == self.text[width - 1 :] if n else np.zeros(0, dtype=bool)
-
-    def described(self, at: int, width: int, plainly: bool):
-        """Template and slot values of one window."""
+        return np.flatnonzero(self.text[:n] == self.text[width - 1 :]) if n else np.zeros(0, dtype=np.int64)
+
+    def windows(self, width: int):
+        """Yields ``(kinds, hashes, usable)`` of every run of ``width`` words for each reading of a document."""
+        yield np.zeros_like(self.usual), ~_windows(self.plain, width), np.ones(max(len(self.first) - width + 1, 0), dtype=bool)
+        for kinds in (self.usual, self.literal, self.named):
+            usable = _usable(kinds, width)
+            if kinds is not self.usual:
+                usable &= _sums(kinds != self.usual, width) > 0
+            yield kinds, _windows(self._shown(kinds), width), usable
+
+    def readings(self, at: int, width: int):
+        """Yields ``(kinds, hash)`` of one window for all readings of an item."""
+        run = slice(at, at + width)
+        yield np.zeros(width, dtype=np.int8), ~_windows(self.plain[run], width)[0]
+        places = np.flatnonzero(self.may_open[run])
+        for chosen in product((False, True), repeat=len(places)):
+            kinds = self.literal[run].copy()
+            kinds[places[list(chosen)]] = 4
+            if _usable(kinds, width)[0]:
+                yield kinds, _windows(np.where(kinds == 0, self.plain[run], _SHOWN[np.minimum(kinds, 3)]), width)[0]
+
+    def _shown(self, kinds: np.ndarray) -> np.ndarray:
+        return np.where(kinds == 0, self.plain, _SHOWN[np.minimum(kinds, 3)])
+
+    def described(self, at: int, kinds: np.ndarray):
+        """Template of the window at ``at`` whose words have ``kinds``, and its slots: kind, place (a digit), value."""
         shown, slots = [], []
-        for k in range(at, at + width):
-            kind = 0 if plainly else self.kinds[k]
-            shown.append(("", "<num>", "<unit>", "<name>")[kind] or self.core(k))
+        for k, kind in enumerate(kinds.tolist()):
+            core = self.core(at + k)
+            shown.append(("", "<num>", "<unit>", "<name>", "<name>")[kind] or core)
             if kind:
-                slots.append(f"{kind}{self.core(k)}")
+                slots.append(f"{kind}{k}{core}")
         return " ".join(shown), slots
 
 
+def _sums(flags: np.ndarray, width: int) -> np.ndarray:
+    """Set flags in every run of ``width``."""
+    sums = np.concatenate([[0], np.cumsum(flags)])
+    return sums[width:] - sums[:-width] if len(flags) >= width else np.zeros(0, dtype=np.int64)
+
+
+def _usable(kinds: np.ndarray, width: int) -> np.ndarray:
+    """Whether the template of every run of ``width`` words has enough literal words."""
+    slots = _sums(kinds > 0, width)
+    return (2 * slots <= width) & ((_sums(kinds == 4, width) == 0) | (width - slots >= WIDTH // 2))
+
+
 def _windows(values: np.ndarray, width: int) -> np.ndarray:
     """Polynomial hash of every run of ``width`` values, built from runs of doubled width."""
     n = len(values) - width + 1
@@ -189,16 +239,26 @@ def _scan(rows: DataFrame, widths: list[int] | None, known=None) -> DataFrame:
         bounds = np.searchsorted(words.text, np.arange(len(texts) + 1))
         digests: dict[int, bytes] = {}
         for width in widths or [min(WIDTH, max(1, len(words.first)))]:
-            hashes, plainly, whole = words.windows(width)
-            at = np.flatnonzero(whole)
+            for k, kinds, made in seen(words, width, wanted, quick):
+                t = int(words.text[k])
+                if t not in digests:
+                    digests[t] = hashlib.sha256(texts[t].encode()).digest()
+                yield (ids[t], digests[t], width, k - int(bounds[t]), int(bounds[t + 1] - bounds[t]) - width + 1, int(made.view(np.int64)), *words.described(k, kinds))
+
+    def seen(words, width, wanted, quick):
+        whole = words.whole(width)
+        if widths is None:
+            for k in whole.tolist():
+                for kinds, made in words.readings(k, width):
+                    yield k, kinds, made
+            return
+        for kinds, hashes, usable in words.windows(width):
+            at = whole[usable[whole]]
             if wanted is not None:
                 at = at[quick[(hashes[at] >> np.uint64(44)).astype(np.int64)]]
                 at = at[np.isin(hashes[at], wanted)]
             for k in at.tolist():
-                t = int(words.text[k])
-                if t not in digests:
-                    digests[t] = hashlib.sha256(texts[t].encode()).digest()
-                yield (ids[t], digests[t], width, k - int(bounds[t]), int(bounds[t + 1] - bounds[t]) - width + 1, int(hashes[k].view(np.int64)), *words.described(k, width, bool(plainly[k])))
+                yield k, kinds[k : k + width], hashes[k]
 
     def run(batches):
         wanted = known.value if known is not None else None
@@ -251,27 +311,38 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, bro
     if known is not None:
         theirs = F.broadcast(theirs)
     met = hits.join(theirs, ["hash", "template", "width"]).withColumn("way", F.col("pos") - F.col("item_pos"))
-    met = checkpointed(met.select(F.col("id").alias("doc_id"), "digest", "item_id", "item_digest", "windows", "item_pos", "way", F.arrays_zip("slots", "item_slots").alias("pairs")))
-
-    key = ["doc_id", "digest", "item_id", "item_digest", "way"]
-    pairs = met.select(*key, F.explode("pairs").alias("p")).select(*key, F.col("p.item_slots").alias("theirs"), F.col("p.slots").alias("ours")).distinct()
-    there = pairs.groupBy(*key, "theirs").agg(F.count(F.lit(1)).alias("k"))
-    back = pairs.groupBy(*key, "ours").agg(F.count(F.lit(1)).alias("k"))
-    bad = there.filter("k > 1").select(*key).unionByName(back.filter("k > 1").select(*key)).distinct()
-    other = pairs.filter("ours <> theirs").select(*key).distinct().withColumn("other", F.lit(True))
-    same = [F.col(f"m.{k}").eqNullSafe(F.col(f"o.{k}")) for k in key]
-    kept = met.alias("m").join(bad.alias("o"), _all(same), "left_anti")
-    kept = kept.alias("m").join(other.alias("o"), _all(same), "left").select("m.*", "other")
-    found = kept.groupBy(*key[:4]).agg(F.countDistinct("item_pos").alias("hit"), F.first("windows").alias("windows"), F.coalesce(F.max("other"), F.lit(False)).alias("reworded"))
-    found = found.withColumn("coverage", F.col("hit") / F.col("windows")).filter(F.col("coverage") >= coverage)
+    # A name that may be an opening word (kind 4) is a name like any other, but tears no alignment.
+    name = lambda x: F.concat(F.translate(F.substring(x, 1, 1), "4", "3"), F.substr(x, F.lit(3)))
+    pair = lambda x, y: F.struct(name(y).alias("theirs"), name(x).alias("ours"), (x.startswith("4") | y.startswith("4")).alias("soft"), F.substring(y, 2, 1).cast("int").alias("place"))
+    way = F.struct(F.col("id").alias("doc_id"), "digest", "item_id", "item_digest", "way")
+    met = checkpointed(met.select(way.alias("way"), "windows", "item_pos", F.zip_with("slots", "item_slots", pair).alias("pairs")))
+
+    pairs = met.select("way", "item_pos", F.explode("pairs").alias("p")).select("way", "item_pos", "p.*")
+    words = pairs.groupBy("way", "theirs", "ours", (F.col("item_pos") + F.col("place")).alias("place")).agg(F.min("soft").alias("soft"))
+    kinds = words.groupBy("way", "theirs", "ours").agg(F.min("soft").alias("soft"), F.count(F.lit(1)).alias("k"))
+    other = kinds.filter("ours <> theirs").select("way").distinct().withColumn("other", F.lit(True))
+    torn = _several(kinds.filter("not soft")).withColumn("torn", F.lit(True))
+    # Where slots change their values, the commonest value is taken and windows with another one are not counted.
+    mixed = checkpointed(kinds.join(_several(kinds), "way"))
+    best = [mixed.groupBy("way", a).agg(F.max_by(b, F.struct("k", F.col("ours") == F.col("theirs"), b)).alias(f"best_{b}")) for a, b in (("theirs", "ours"), ("ours", "theirs"))]
+    wrong = mixed.join(best[0], ["way", "theirs"]).join(best[1], ["way", "ours"]).filter("ours <> theirs and (ours <> best_ours or theirs <> best_theirs)").select("way", "theirs", "ours")
+    wrong = pairs.join(wrong, ["way", "theirs", "ours"]).select("way", "item_pos", F.lit(True).alias("wrong")).distinct()
+    # The same window may be met in several readings, of which one is enough.
+    kept = met.groupBy("way", "item_pos").agg(F.first("windows").alias("windows")).join(wrong, ["way", "item_pos"], "left")
+    alike = met.filter(~F.exists("pairs", lambda p: p["ours"] != p["theirs"])).select("way", "item_pos", F.lit(True).alias("alike")).distinct()
+    kept = kept.join(alike, ["way", "item_pos"], "left").filter("wrong is null or alike").join(torn, "way", "left").join(other, "way", "left")
+    runs = kept.withColumn("run", F.col("item_pos") - F.row_number().over(Window.partitionBy("way").orderBy("item_pos")))
+    runs = runs.groupBy("way", "run").agg(F.count(F.lit(1)).alias("k")).groupBy("way").agg(F.max("k").alias("run"))
+    kept = kept.join(runs, "way").withColumn("counts", F.coalesce(~F.col("torn"), F.lit(True)) | (F.col("run") >= RUN)).filter("counts")
+    found = kept.groupBy("way.doc_id", "way.digest", "way.item_id", "way.item_digest").agg(F.countDistinct("item_pos").alias("hit"), F.max("run").alias("run"), F.first("windows").alias("windows"), F.coalesce(F.max("other"), F.lit(False)).alias("reworded"))
+    found = found.withColumn("coverage", F.col("hit") / F.col("windows")).filter((F.col("coverage") >= coverage) | (F.col("run") >= RUN))
     return found.groupBy("doc_id", "digest", "item_id").agg(F.max("coverage").alias("coverage"), F.max("windows").alias("windows"), F.min("reworded").alias("reworded"))
 
 
-def _all(conditions):
-    out = conditions[0]
-    for c in conditions[1:]:
-        out &= c
-    return out
+def _several(kinds: DataFrame) -> DataFrame:
+    """``way`` of the alignments where a slot value stands against several others."""
+    both = [kinds.groupBy("way", c).agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("way") for c in ("theirs", "ours")]
+    return both[0].unionByName(both[1]).distinct()
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

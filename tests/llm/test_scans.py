@@ -120,6 +120,21 @@ def test_leaks_with_other_names_and_numbers(spark, clash, room):
     assert decontam.leaks(frame, items.filter("false")).count() == 0 and decontam.leaks(frame.filter("false"), items).count() == 0
 
 
+LONG = "Every autumn Clara sorts 40 old letters from the attic by the colour of their stamps, and Clara writes a short note about each of them before the first snow covers the garden wall behind the house. " + " ".join(f"tail{k}" for k in range(80))
+
+
+@pytest.mark.parametrize("room", [0, 2_000_000])
+def test_leaks_with_one_value_changed_and_long_excerpts(spark, room):
+    torn = LONG.replace("and Clara writes", "and Doris writes")
+    rows = [(20, torn), (None, "before. " + torn), (21, " ".join(LONG.split()[14:36])), (22, " ".join(LONG.split()[14:24])), (23, TORN), (24, torn.replace("Clara sorts 40", "Doris sorts 50"))]
+    items = spark.createDataFrame([(1, LONG), (2, QUESTION)], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r for r in decontam.leaks(docs(spark, rows), items, broadcast_windows=room).collect()}
+    assert {(i, k) for i, k in found if i != 23} == {(20, 1), (None, 1), (21, 1), (24, 1)}
+    # Only the eight windows over the changed name are missing.
+    assert found[20, 1]["windows"] * (1 - found[20, 1]["coverage"]) == pytest.approx(8)
+    assert found[21, 1]["coverage"] < decontam.COVERAGE and not found[21, 1]["reworded"]
+
+
 def test_leak_query_equals_plain_windows(spark):
     norm = lambda t: re.findall(r"\w+", t.lower())
     grams = lambda w: [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
