@@ -135,6 +135,20 @@ def test_leaks_with_one_value_changed_and_long_excerpts(spark, room):
     assert found[21, 1]["coverage"] < decontam.COVERAGE and not found[21, 1]["reworded"]
 
 
+@pytest.mark.parametrize("room", [0, 2_000_000])
+def test_leaks_wherever_words_stand_and_in_any_case(spark, room):
+    apples = "Tom buys 12 apples. Tom eats 3 apples. How many are left?"
+    planet = "Which planet is the largest?"
+    rows = [
+        (24, QUESTION.upper()), (25, QUESTION.lower()), (26, "Question: " + planet), (27, "A heading\n" + planet), (28, "so he asked " + planet), (29, "and then " + planet.lower()),
+        (30, apples.replace("Tom", "Anna")), (31, "Q: " + apples.replace("Tom", "Anna").replace("12", "15")), (32, QUESTION.replace(" ", "\n")), (33, "Answer: " + ASKED), (34, apples.replace("Tom eats", "Bob eats")),
+        (35, "Some planet is the largest."), (36, "Then one."), (37, apples.replace("apples. Tom", "apples. Anna").replace("apples", "large pears")),
+    ]
+    items = spark.createDataFrame([(1, QUESTION), (2, planet), (3, apples), (4, "Short one")], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontam.leaks(docs(spark, rows), items, broadcast_windows=room).collect() if r["doc_id"] != 34}
+    assert found - {(35, 2)} == {(24, 1), (25, 1), (26, 2), (27, 2), (28, 2), (29, 2), (30, 3), (31, 3), (32, 1), (33, 1)}
+
+
 def test_leak_query_equals_plain_windows(spark):
     norm = lambda t: re.findall(r"\w+", t.lower())
     grams = lambda w: [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
