@@ -143,6 +143,18 @@ def test_shards_are_even_and_groups_stay_together(spark, clash):
     assert len(split) <= 16 and max(split) <= 16
 
 
+def test_hot_group_fills_few_shards_and_pairs_stay_whole(spark):
+    rows = [(k, "one hot text") for k in range(4000)] + [(5000 + k, "another large text") for k in range(900)]
+    rows += [(10_000 + k, f"pair {k // 2}") for k in range(4000)] + [(20_000 + k, f"single {k}") for k in range(3100)]
+    found = sharding.shard_rows(docs(spark, rows)).collect()
+    where, texts = defaultdict(set), dict(rows)
+    for r in found:
+        where[texts[r["doc_id"]]].add(r["shard"])
+    assert len(found) == len(rows) and max(Counter(r["shard"] for r in found).values()) == len(rows) // 16
+    assert len(where["one hot text"]) <= -(-4000 // (len(rows) // 16)) + 1 and len(where["another large text"]) <= 3
+    assert sum(len(where[f"pair {k}"]) > 1 for k in range(2000)) <= 2 * 16
+
+
 def test_empty_tables(spark):
     none = docs(spark, [(1, "x")]).filter("false")
     assert exact.exact_groups(*exact.split_by_age(none)).count() == 0 and exact.without_copies(none).count() == 0
