@@ -5,12 +5,12 @@ import sys
 
 import __spark_entry__ as contract
 
-NAMES = {"op1_toxicity", "op2_sharding", "op3_pieces", "op4_licenses", "op5_token_files", "op6_simhash", "op7_decontamination", "op8_exact_dedup", "op9_quality", "op10_secrets", "pipeline"}
+NAMES = {"op1_toxicity", "op2_sharding", "op3_pieces", "op4_licenses", "op5_token_files", "op6_simhash", "op7_decontamination", "op8_exact_dedup", "op9_quality", "op10_secrets", "op11_packing", "op12_whitening", "op13_merkle", "pipeline"}
 
 
 def test_queries_are_registered():
     assert NAMES <= set(contract.queries())
-    assert {"op4_licenses", "op8_exact_dedup"} <= set(contract.oracle_sql())
+    assert {"op4_licenses", "op8_exact_dedup", "op13_merkle"} <= set(contract.oracle_sql())
 
 
 def test_entry_imports_without_the_subpackage(tmp_path):
