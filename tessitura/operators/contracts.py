@@ -11,6 +11,7 @@ from ..functions import scalar as fn
 from . import intervals as iv
 from . import manifest as mf
 from .issues import check_table, settled
+from .repairs import voiced_pauses
 from .sequences import item_issues
 
 # The fields of the speech manifest.
@@ -117,41 +118,51 @@ def audio_artefacts(files: DataFrame, rate: int, channels: int, tolerance_ms: in
     return mf.field_issues(files, "path", rules).withColumnRenamed("code", "type")
 
 
-def run_audit(items: DataFrame, exclusions: DataFrame, extents: DataFrame, reviews: DataFrame, allowed: Sequence[str], eps: int = 1, hot=None) -> DataFrame:
-    """Check table of one or many runs: structure, dense and long items, pauses over voice, timeline, review gate.
+def run_audit(
+    items: DataFrame, exclusions: DataFrame, extents: DataFrame, reviews: DataFrame, allowed: Sequence[str], eps: int = 1, hot=None,
+    sources: DataFrame | None = None, audio: DataFrame | None = None, alignments: DataFrame | None = None, rate: int = fn.SAMPLE_RATE,
+) -> DataFrame:
+    """Check table of one or many runs: inputs, structure, dense and long items, pauses over voice, timeline, review gate.
 
     ``items``: song_id, name, start_us, end_us (sample units) and the sequence strings;
-    ``extents``: song_id, extent.
+    ``extents``: song_id, extent. Optional: ``sources`` (sha256 as registered, current_sha256,
+    null for a missing file), ``audio`` (sample_rate, channels, bit_depth), ``alignments``
+    (status, textgrid: whether its file is there).
     """
-    keys = ["song_id"]
+    keys, item = ["song_id"], ["song_id", "name"]
     phones, dur, f0 = fn.tokens(F.col("ph_seq")), fn.numbers(F.col("ph_dur")), fn.numbers(F.col("f0_seq"))
     step = F.coalesce(F.nullif(F.col("f0_timestep").try_cast("double"), F.lit(0.0)), F.lit(0.01))
     length = F.when(F.size(dur) > 0, fn.total(dur)).otherwise(fn.total(fn.numbers(F.col("note_dur"))))
-    upto = F.transform(dur, lambda d, i: F.aggregate(F.slice(dur, 1, i), F.lit(0.0), lambda a, v: a + v))
-    spans = F.zip_with(phones, F.zip_with(dur, upto, lambda d, o: F.struct(o.alias("a"), (o + d).alias("b"))), lambda p, s: F.struct(p.alias("p"), s["a"].alias("a"), s["b"].alias("b")))
-    pauses = F.filter(spans, lambda s: s["p"].isin("SP", "AP"))
-    voiced = F.filter(F.transform(f0, lambda v, i: F.when(v > 0, (i + 0.5) * F.col("__step"))), lambda x: x.isNotNull())
-    sung_pause = F.exists(F.col("__pauses"), lambda s: F.exists(F.col("__voiced"), lambda x: (x >= s["a"]) & (x < s["b"])))
-    rows = items.withColumn("__step", step).withColumns({"__pauses": pauses, "__voiced": voiced, "__len": length})
-    same = F.size(phones) == F.size(dur)
+    rows = items.withColumn("__step", step).withColumn("__len", length)
     frames = F.greatest(F.lit(1), F.ceil(F.col("__len") / F.col("__step")))
+    # Pauses over voiced frames: sequences as rows, counted by running sums.
+    sung = rows.where((F.size(phones) == F.size(dur)) & (F.size(f0) > 0) & (F.col("__step") > 0))
+    slots = sung.select(*item, F.posexplode(F.arrays_zip(phones.alias("phone"), dur.alias("dur"))).alias("ph_index", "p")).select(*item, "ph_index", "p.phone", "p.dur")
+    heard = sung.select(*item, "__step", F.posexplode(f0).alias("i", "f0")).select(*item, ((F.col("i") + 0.5) * F.col("__step")).alias("at"), "f0")
     cover = items.select("song_id", "start_us", "end_us").unionByName(exclusions.select("song_id", "start_us", "end_us"))
     order = ["start_us", "end_us"]
-    return check_table(
-        {
-            "BUILD_EXISTS": extents.join(items, "song_id", "left_anti"),
-            "DS_STRUCTURE": item_issues(items, "name", allowed=allowed),
-            "VOICED_AS_SP_AP": rows.where(same & sung_pause),
-            "DENSE_PHRASE": rows.where((F.col("__len") < 1.0) & (F.size(phones) > 12)),
-            "SEGMENT_TOO_LONG": rows.where("__len > 15"),
-            "F0_FRAME_MISMATCH": rows.where((F.size(f0) > 0) & (F.abs(frames - F.size(f0)) > 1)),
-            "TIMELINE_OVERLAP": iv.adjacent_overlaps(items, keys, order, eps, "name", hot=hot),
-            "TIMELINE_COVERAGE": iv.uncovered(cover, extents, keys, eps, hot=hot),
-            "TIMELINE_PARTITION": iv.adjacent_overlaps(cover.withColumn("name", F.lit(0)), keys, order, eps, "name", hot=hot),
-            "REVIEW_GATE": reviews.where(~settled(F.col("status"))),
-            "MODEL_INTERFACE": rows.where((F.size(dur) == 0) | (F.size(f0) == 0)),
-        }
-    )
+    checks = {
+        "LANGUAGE_PROFILE": extents.where(F.lit(not allowed)),
+        "BUILD_EXISTS": extents.join(items, "song_id", "left_anti"),
+        "DS_STRUCTURE": item_issues(items, "name", allowed=allowed),
+        "VOICED_AS_SP_AP": voiced_pauses(slots, heard, item),
+        "DENSE_PHRASE": rows.where((F.col("__len") < 1.0) & (F.size(phones) > 12)),
+        "SEGMENT_TOO_LONG": rows.where("__len > 15"),
+        "F0_FRAME_MISMATCH": rows.where((F.size(f0) > 0) & (F.abs(frames - F.size(f0)) > 1)),
+        "TIMELINE_OVERLAP": iv.adjacent_overlaps(items, keys, order, eps, "name", hot=hot),
+        "TIMELINE_COVERAGE": iv.uncovered(cover, extents, keys, eps, hot=hot),
+        "TIMELINE_PARTITION": iv.adjacent_overlaps(cover.withColumn("name", F.lit(0)), keys, order, eps, "name", hot=hot),
+        "REVIEW_GATE": reviews.where(~settled(F.col("status"))),
+        "MODEL_INTERFACE": rows.where((F.size(dur) == 0) | (F.size(f0) == 0)),
+    }
+    if sources is not None:
+        checks["SOURCE_HASHES"] = sources.where("sha256 is not null and current_sha256 is not null and sha256 <> current_sha256")
+    if audio is not None:
+        fits = (F.col("sample_rate") == rate) & (F.col("channels") == 1) & (F.col("bit_depth") == 16)
+        checks["AUDIO_FORMAT"] = audio.where(~F.coalesce(fits, F.lit(False)))
+    if alignments is not None:
+        checks["MFA_TEXTGRIDS"] = alignments.where(~(F.col("status").eqNullSafe(F.lit("aligned")) & F.coalesce("textgrid", F.lit(False))))
+    return check_table(checks)
 
 
 def run_status(checks: DataFrame, predicts_missing: bool = False) -> DataFrame:

@@ -258,7 +258,7 @@ def audit_filled(filled: DataFrame, hot=None, tol: int = 1) -> DataFrame:
 # -- rests ------------------------------------------------------------------------
 
 
-def _beside(elements: DataFrame, keys: Sequence[str], midi: Column, failed: Column, hot, *stages) -> DataFrame:
+def beside_rests(elements: DataFrame, keys: Sequence[str], midi: Column, failed: Column, hot, *stages) -> DataFrame:
     """Side of the nearest non-rest neighbour in pitch per failed rest; right wins ties."""
     note = F.when(F.col("kind") == "note", F.struct("element", "pitch"))
     dl, dr = F.abs(midi - F.col("l.pitch")), F.abs(midi - F.col("r.pitch"))
@@ -273,7 +273,7 @@ def rest_targets(elements: DataFrame, keys: Sequence[str], midi: Column, hot=Non
 
     ``elements``: keys, element, kind, pitch. ``midi`` is the pitch heard in the rest, or null.
     """
-    rows = _beside(elements, keys, midi, F.lit(True), hot).where("kind = 'rest'")
+    rows = beside_rests(elements, keys, midi, F.lit(True), hot).where("kind = 'rest'")
     target = F.when(F.col("side") == "right", F.col("r.element")).when(F.col("side") == "left", F.col("l.element"))
     return rows.select(*keys, "element", target.alias("target"), "side", (F.col("end_us") - F.col("start_us")).alias("moved"))
 
@@ -286,6 +286,6 @@ def absorb_rests(elements: DataFrame, keys: Sequence[str], midi: Column, failed:
     """
     moved = F.col("end_us") - F.col("start_us")
     near = lambda side: [previous("__p", F.struct(side.alias("side"), moved.alias("len"))), following("__f", F.struct(side.alias("side"), moved.alias("len")))]
-    rows = _beside(elements, keys, midi, failed, hot, near).where("kind = 'note'")
+    rows = beside_rests(elements, keys, midi, failed, hot, near).where("kind = 'note'")
     extra = F.when(F.col("__p.side") == "right", F.col("__p.len")).otherwise(0) + F.when(F.col("__f.side") == "left", F.col("__f.len")).otherwise(0)
     return rows.select(*keys, "element", "note_index", (moved + extra).alias("note_dur"), extra.alias("absorbed"))

@@ -11,23 +11,45 @@ from .scans import HotKeys, Scan, following, previous, refine, row_number, runni
 SONG = ["song_id"]
 
 
-def audit_notes(notes: DataFrame, windows: DataFrame, bin_us: int, eps=0) -> DataFrame:
-    """Status of every note: contained, cut, outside or invalid, with its window counts."""
-    spans = windows.select("song_id", F.col("start_us").alias("w_start"), F.col("end_us").alias("w_end"))
-    good = F.col("end_us") > F.col("start_us")
-    touches = (F.col("end_us") > F.col("w_start") + eps) & (F.col("start_us") < F.col("w_end") - eps) & good
-    inside = (F.col("start_us") >= F.col("w_start") - eps) & (F.col("end_us") <= F.col("w_end") + eps)
-    pairs = iv.overlap_join(
-        notes.select("song_id", "note_index", "start_us", "end_us"),
-        spans, SONG, bin_us, touches, ("start_us", "end_us"), ("w_start", "w_end"), "left",
-    )
-    counted = pairs.groupBy("song_id", "note_index").agg(
-        F.count("w_start").alias("hits"),
-        F.count_if(F.col("w_start").isNotNull() & inside).alias("inside"),
-        F.max(F.when(good, 1).otherwise(0)).alias("valid"),
+def audit_notes(notes: DataFrame, windows: DataFrame, eps=0, hot: HotKeys | None = None) -> DataFrame:
+    """Status of every note: contained, cut, outside or invalid, with its window counts.
+
+    Windows a note touches are counted by rank: those that start before its end less those
+    that end before its start, both running counts over one ordered stream. The one window
+    of a note that touches just one is the window with the latest end among those that start
+    before the note ends. No note meets its windows, so crowded songs stay linear.
+    ``inside`` is 1 for a note wholly inside the only window it touches. Windows of no
+    length touch nothing (``audit_windows`` reports them).
+    """
+    spans = windows.where(F.col("end_us") - F.col("start_us") > 2 * eps).select("song_id", F.col("start_us").alias("w_start"), F.col("end_us").alias("w_end"))
+    good = notes.where("end_us > start_us").select("song_id", "note_index", "start_us", "end_us")
+    one = F.lit(1).cast("bigint")
+
+    def event(at: Column, rank: int, side: str | None = None, **counts: Column) -> Column:
+        return F.struct(at.alias("at"), F.lit(rank).alias("rank"), F.lit(side).cast("string").alias("side"), *[counts.get(c, F.lit(0).cast("bigint")).alias(c) for c in ("starts", "ends")])
+
+    def stream(rows: DataFrame, *events: Column) -> DataFrame:
+        return rows.select("*", F.explode(F.array(*events)).alias("e")).select(*rows.columns, "e.*")
+
+    # At one place ends come first, then notes, then starts: a window must end at or before, or start before.
+    marks = stream(spans, event(F.col("w_end"), 0, ends=one), event(F.col("w_start"), 2, starts=one))
+    borders = stream(good, event(F.col("start_us") + eps, 1, "a"), event(F.col("end_us") - eps, 1, "b"))
+    last = F.when(F.col("rank") == 2, F.struct("w_end", "w_start"))
+    rows = scan(
+        marks.unionByName(borders, allowMissingColumns=True), SONG, ["at", "rank", "side", "note_index", "w_start", "w_end"],
+        [running_sum("__starts", F.col("starts")), running_sum("__ends", F.col("ends")), Scan("__last", "max", last)], hot,
+    ).where("rank = 1")
+    at_end = lambda c: F.max(F.when(F.col("side") == "b", F.col(c)))
+    counted = rows.groupBy("song_id", "note_index").agg(
+        (at_end("__starts") - F.max(F.when(F.col("side") == "a", F.col("__ends")))).alias("hits"), at_end("__last").alias("w"),
+        F.max("start_us").alias("start_us"), F.max("end_us").alias("end_us"),
     )
-    status = F.when(F.col("valid") == 0, "invalid").when((F.col("hits") == 1) & (F.col("inside") == 1), "contained")
-    return counted.withColumn("status", status.when(F.col("hits") > 0, "cut").otherwise("outside")).drop("valid")
+    within = (F.col("hits") == 1) & (F.col("start_us") >= F.col("w.w_start") - eps) & (F.col("end_us") <= F.col("w.w_end") + eps)
+    counted = counted.select("song_id", "note_index", "hits", F.when(within, 1).otherwise(0).cast("bigint").alias("inside"))
+    status = F.when(F.col("inside") == 1, "contained").when(F.col("hits") > 0, "cut").otherwise("outside")
+    zero = F.lit(0).cast("bigint")
+    bad = notes.where("end_us <= start_us").select("song_id", "note_index", zero.alias("hits"), zero.alias("inside"), F.lit("invalid").alias("status"))
+    return counted.withColumn("status", status).unionByName(bad)
 
 
 def empty_windows(notes, windows, eps=0, hot=None) -> DataFrame:
@@ -49,7 +71,7 @@ def audit_windows(windows: DataFrame, eps=0, hot=None) -> DataFrame:
     return bad.unionByName(over)
 
 
-def song_audit(notes, windows, bin_us, eps=0, hot=None) -> DataFrame:
+def song_audit(notes, windows, eps=0, hot=None) -> DataFrame:
     """Per-song counts of the note/window audit with PASS or REVIEW_REQUIRED."""
     one = F.lit(1).cast("bigint")
     zero = F.lit(0).cast("bigint")
@@ -61,7 +83,7 @@ def song_audit(notes, windows, bin_us, eps=0, hot=None) -> DataFrame:
     def is_(status: str) -> Column:
         return F.when(F.col("status") == status, 1).otherwise(0).cast("bigint")
 
-    per_note = audit_notes(notes, windows, bin_us, eps)
+    per_note = audit_notes(notes, windows, eps, hot)
     parts = [
         facts(per_note, note_count=one, **{s: is_(s) for s in ("contained", "cut", "outside", "invalid")}),
         facts(windows, window_count=one),

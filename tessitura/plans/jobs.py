@@ -104,7 +104,7 @@ def gap_repair(notes: DataFrame, evidence: DataFrame, max_gap: int, hot=None):
 def window_repair(notes: DataFrame, windows: DataFrame, bin_us: int, policy: str = "majority", hot=None):
     """Repaired windows, decisions, and the audit per song. A song passes when nothing is left open."""
     fixed, decisions = folds.repair_windows(notes, windows, bin_us, policy, hot=hot)
-    audit = wn.song_audit(notes, fixed, bin_us, hot=hot)
+    audit = wn.song_audit(notes, fixed, hot=hot)
     opened = decisions.where("outcome = 'UNRESOLVED'").groupBy("song_id").agg(F.count(F.lit(1)).alias("unresolved"))
     report = audit.join(opened, SONG, "left").fillna(0, ["unresolved"])
     status = F.when((F.col("status") == "PASS") & (F.col("unresolved") == 0), "PASS").otherwise("BLOCKED")

@@ -153,7 +153,7 @@ def repaired_audit(t: Tables):
 
 
 PIECE_KEYS = ["song_id", "clip_id", "piece_start"]
-ELEMENTS = f"el AS (SELECT * FROM ({QUERIES['rest_insertion'].sql}))"
+ELEMENTS = f"el AS MATERIALIZED (SELECT * FROM ({QUERIES['rest_insertion'].sql}))"
 TARGETS = f"""{ELEMENTS}, nb AS (SELECT *, 48 + (start_us // 1000000) % 25 AS f0, max(CASE WHEN kind = 'note' THEN element END) OVER (PARTITION BY song_id, clip_id, piece_start ORDER BY element
       ROWS UNBOUNDED PRECEDING) AS le, min(CASE WHEN kind = 'note' THEN element END) OVER (PARTITION BY song_id, clip_id, piece_start ORDER BY element ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS re FROM el),
     tg AS (SELECT n.song_id, n.clip_id, n.piece_start, n.element, CASE WHEN re IS NOT NULL AND (le IS NULL OR abs(f0 - r.pitch) <= abs(f0 - l.pitch)) THEN re ELSE le END AS target,

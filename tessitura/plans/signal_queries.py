@@ -132,7 +132,7 @@ def caption_scores(t: Tables):
 
 INTENSITY = """b AS (SELECT song, quantile_cont(CAST(commas AS DOUBLE), 0.1) AS c1, quantile_cont(CAST(commas AS DOUBLE), 0.9) AS c9, quantile_cont(CAST(stops AS DOUBLE), 0.1) AS s1, quantile_cont(CAST(stops AS DOUBLE), 0.9) AS s9,
       quantile_cont(CASE WHEN blanks > 0 THEN log2(blanks) END, 0.1) AS b1, quantile_cont(CASE WHEN blanks > 0 THEN log2(blanks) END, 0.9) AS b9 FROM captions GROUP BY song),
-    it AS (SELECT c.*, round(0.55 * CASE WHEN c9 - c1 < 1e-8 THEN 0.5 ELSE least(greatest((commas - c1) / (c9 - c1), 0), 1) END + 0.20 * CASE WHEN s9 - s1 < 1e-8 THEN 0.5 ELSE least(greatest((stops - s1) / (s9 - s1), 0), 1) END
+    it AS (SELECT c.*, round_even(0.55 * CASE WHEN c9 - c1 < 1e-8 THEN 0.5 ELSE least(greatest((commas - c1) / (c9 - c1), 0), 1) END + 0.20 * CASE WHEN s9 - s1 < 1e-8 THEN 0.5 ELSE least(greatest((stops - s1) / (s9 - s1), 0), 1) END
       + 0.15 * CASE WHEN blanks = 0 OR b9 - b1 < 1e-8 THEN 0.5 ELSE least(greatest((log2(blanks) - b1) / (b9 - b1), 0), 1) END + 0.10 * ((id % 4) / 4), 4) AS acoustic_intensity FROM captions c JOIN b USING (song))"""
 
 
@@ -152,9 +152,9 @@ def robust_norm(t: Tables):
       sum(fear * duration_ms) / sum(duration_ms) AS fear, sum(acoustic_intensity * duration_ms) / sum(duration_ms) AS ai FROM sc GROUP BY song),
     ar AS (SELECT *, 0.35 * joy + 0.30 * 0.05 + 0.15 * sur + 0.10 * 0.05 + 0.10 * fear AS arousal, 0.45 * sad + 0.30 * fear + 0.20 * 0.05 + 0.15 * sur AS tension FROM mn),
     bl AS (SELECT *, 0.72 * ai + 0.28 * arousal AS blended FROM ar)
-    SELECT song, CAST("start" AS BIGINT) AS "start", CAST("end" AS BIGINT) AS "end", round(least(greatest(0.54 + 0.08 * blended, 0.54), 0.62), 3) AS index_rate, round(0.28 + 0.07 * blended, 3) AS rms_mix_rate, round(least(0.22 + 0.05 * tension, 0.27), 3) AS protect,
+    SELECT song, CAST("start" AS BIGINT) AS "start", CAST("end" AS BIGINT) AS "end", round_even(least(greatest(0.54 + 0.08 * blended, 0.54), 0.62), 3) AS index_rate, round_even(0.28 + 0.07 * blended, 3) AS rms_mix_rate, round_even(least(0.22 + 0.05 * tension, 0.27), 3) AS protect,
     CASE WHEN tension >= 0.48 AND blended >= 0.55 THEN 'tension_peak' WHEN joy + 0.05 >= 0.65 AND blended >= 0.38 THEN 'build' WHEN sad >= joy + 0.08 THEN 'reflective' ELSE 'warm_memory' END AS emotion_mode,
-    round(arousal, 4) AS semantic_arousal, round(ai, 4) AS acoustic_intensity, round(blended, 4) AS blended_intensity FROM bl""")
+    round_even(arousal, 4) AS semantic_arousal, round_even(ai, 4) AS acoustic_intensity, round_even(blended, 4) AS blended_intensity FROM bl""")
 def caption_schedule(t: Tables):
     scored = cp.proxy_scores(_intensity(t), "text", HINTS).withColumn("end_ms", F.col("start_ms") + F.col("duration_ms"))
     return cp.schedule(scored, ["song"], "start_ms", "end_ms", "duration_ms").drop("semantic_top")

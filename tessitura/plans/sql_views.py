@@ -106,7 +106,7 @@ def with_views(sql: str) -> str:
     """Prefix ``sql`` with the view definitions it uses, in dependency order."""
     views = _needed(sql)
     own = sql.strip()
-    parts = [f"{name} AS ({SQL_VIEWS[name]})" for name in views]
+    parts = [f"{name} AS MATERIALIZED ({SQL_VIEWS[name]})" for name in views]
     if own.upper().startswith("WITH RECURSIVE "):
         return "WITH RECURSIVE " + ",\n".join([*parts, own[15:]])
     if own.upper().startswith("WITH "):

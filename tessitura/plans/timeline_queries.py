@@ -28,7 +28,7 @@ AUDIT = """
 
 @query(f"WITH {AUDIT} SELECT song_id, note_index, hits, inside, status FROM audited")
 def note_window_audit(t: Tables):
-    return windows.audit_notes(t.notes(), t.windows(), BIN)
+    return windows.audit_notes(t.notes(), t.windows())
 
 
 @query(f"""WITH {AUDIT},
@@ -41,7 +41,7 @@ def note_window_audit(t: Tables):
            CASE WHEN cut + invalid + empty_windows = 0 THEN 'PASS' ELSE 'REVIEW_REQUIRED' END AS status
     FROM n JOIN w USING (song_id)""")
 def note_window_counts(t: Tables):
-    return windows.song_audit(t.notes(), t.windows(), BIN, hot=t.hot_songs)
+    return windows.song_audit(t.notes(), t.windows(), hot=t.hot_songs)
 
 
 @query("""SELECT song_id, clip_id, 'OVERLAPPING_SCORE_WINDOWS' AS type, p AS previous_clip_id FROM (
@@ -184,7 +184,7 @@ def phrase_chunks(t: Tables):
 
 
 PIECES = f"""
-    parts AS (SELECT w.song_id, w.clip_id, w.start_us AS ws, w.end_us AS we, q.start_us, q.end_us FROM windows w
+    parts AS MATERIALIZED (SELECT w.song_id, w.clip_id, w.start_us AS ws, w.end_us AS we, q.start_us, q.end_us FROM windows w
         JOIN (SELECT b.song_id, b.clip_id, p.at AS start_us,
                      min(CASE WHEN c.start_us >= p.at THEN least(c.start_us, b.end_us) ELSE b.end_us END) AS end_us
               FROM windows b
@@ -197,7 +197,7 @@ PIECES = f"""
               GROUP BY b.song_id, b.clip_id, b.start_us, p.at) q ON q.song_id = w.song_id AND q.clip_id = w.clip_id),
     restored AS (SELECT song_id, clip_id, ws AS start_us, we AS end_us FROM parts GROUP BY song_id, clip_id, ws, we
         HAVING min(end_us - start_us) < {30 * MINUTE_US} AND sum(end_us - start_us) < we - ws),
-    pieces AS (SELECT song_id, clip_id, start_us, end_us FROM parts WHERE (song_id, clip_id) NOT IN (SELECT (song_id, clip_id) FROM restored)
+    pieces AS MATERIALIZED (SELECT song_id, clip_id, start_us, end_us FROM parts WHERE (song_id, clip_id) NOT IN (SELECT (song_id, clip_id) FROM restored)
         UNION ALL SELECT song_id, clip_id, start_us, end_us FROM restored)"""
 
 
@@ -213,7 +213,7 @@ def restored_pauses(t: Tables):
 
 
 @query(f"""WITH {PIECES},
-    inside AS (SELECT n.song_id, p.clip_id, p.start_us AS piece_start, p.end_us AS piece_end, 'note' AS kind, n.note_index, n.pitch, n.start_us, n.end_us
+    inside AS MATERIALIZED (SELECT n.song_id, p.clip_id, p.start_us AS piece_start, p.end_us AS piece_end, 'note' AS kind, n.note_index, n.pitch, n.start_us, n.end_us
         FROM mono_notes n JOIN pieces p ON p.song_id = n.song_id AND n.start_us >= p.start_us AND n.end_us <= p.end_us WHERE n.end_us > n.start_us),
     edge AS (SELECT song_id, clip_id, piece_start, start_us, end_us FROM inside
         UNION ALL SELECT song_id, clip_id, start_us, start_us, start_us FROM pieces

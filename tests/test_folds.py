@@ -137,7 +137,7 @@ def test_boundary_repair_fixture(spark):
     notes = frame(spark, [("s", 0, 800, 1100), ("s", 1, 1300, 1600)], "song_id string, note_index long, start_us long, end_us long")
     fixed, decisions = folds.repair_windows(notes, windows, 500)
     assert sorted((r["clip_id"], r["start_us"], r["end_us"]) for r in fixed.collect()) == [("a", 0, 1100), ("b", 1100, 2000)]
-    assert {r["status"] for r in wn.audit_notes(notes, fixed, 500).collect()} == {"contained"}
+    assert {r["status"] for r in wn.audit_notes(notes, fixed).collect()} == {"contained"}
     even = frame(spark, [("s", 0, 800, 1200)], "song_id string, note_index long, start_us long, end_us long")
     assert [r["outcome"] for r in folds.repair_windows(even, windows, 500)[1].collect()] == ["UNRESOLVED"]
     assert {r["owner"] for r in folds.repair_windows(even, windows, 500, "right")[1].collect()} == {"b"}

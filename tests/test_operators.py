@@ -59,8 +59,8 @@ def test_scalars(spark):
 def test_window_audit_fixture(spark):
     w = spark.createDataFrame([("s", "a", 0, 1000), ("s", "b", 1000, 2000)], WINS)
     n = spark.createDataFrame([("s", 0, 800, 1200), ("s", 1, 1300, 1600), ("s", 2, 5000, 5100), ("s", 3, 10, 10)], NOTES)
-    assert rows(wn.audit_notes(n, w, 700), "note_index", "status") == [(0, "cut"), (1, "contained"), (2, "outside"), (3, "invalid")]
-    got = wn.song_audit(n, w, 700).first().asDict()
+    assert rows(wn.audit_notes(n, w), "note_index", "status") == [(0, "cut"), (1, "contained"), (2, "outside"), (3, "invalid")]
+    got = wn.song_audit(n, w).first().asDict()
     assert (got["cut"], got["contained"], got["empty_windows"], got["status"]) == (1, 1, 0, "REVIEW_REQUIRED")
 
 
