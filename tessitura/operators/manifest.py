@@ -219,23 +219,3 @@ def ordered_union(parts: Sequence[DataFrame], value: str, position: str) -> Data
         one = rows.select(F.col(value), F.struct(F.lit(i).alias("list"), F.col(position).alias("at")).alias("first"))
         both = one if both is None else both.unionByName(one)
     return both.groupBy(value).agg(F.min("first").alias("first"))
-
-
-def tree_fingerprint(members: DataFrame, path: str = "path", digest: str = "sha256") -> DataFrame:
-    """One hash over all (path, hash) pairs, built in two levels.
-
-    Members fall into 4096 buckets by the hash of their path; each bucket hashes its
-    pairs in path order, and the root hashes the at most 4096 bucket hashes. No task sees
-    the whole tree, and the value does not depend on partitioning.
-    """
-    line = F.concat(F.col(path), F.lit("\t"), F.col(digest))
-    bucket = F.substring(F.sha2(path, 256), 1, 3)
-    # Copies of one (path, hash) count once, so a bucket holds its share of distinct paths only.
-    distinct = members.select(path, digest).distinct()
-    leaves = distinct.select(bucket.alias("bucket"), F.struct(F.col(path).alias("p"), line.alias("line")).alias("m"))
-    hashed = leaves.groupBy("bucket").agg(
-        F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("m")), lambda m: m["line"]), "\n"), 256).alias("h"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    root = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "h"))), lambda b: b["h"]), "\n")
-    return hashed.agg(F.sha2(root, 256).alias("fingerprint"), F.sum("n").alias("members"))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import scalar as fn
 from ..operators import issues as iss
 from ..operators import manifest as mf
+from ..operators import trees as tr
 from ..operators.scans import row_number, scan
+from ..sources.records import csv_records, csv_table
 from .registry import query
 from .views import Tables
 
@@ -197,11 +199,70 @@ def largest_remainder(t: Tables):
     return mf.allocate(rows, totals, ["song"], "id", "weight", t.hot_conversations)
 
 
-@query("""WITH m AS (SELECT path, sha256, substr(sha256(path), 1, 3) AS bucket FROM members),
-    h AS (SELECT bucket, sha256(string_agg(path || chr(9) || sha256, chr(10) ORDER BY path)) AS h, count(*) AS n FROM m GROUP BY bucket)
-    SELECT sha256(string_agg(h, chr(10) ORDER BY bucket)) AS fingerprint, CAST(sum(n) AS BIGINT) AS members FROM h""")
+# Buckets at the depth that the number of members asks for, then every level above, up to eight.
+TREE = """m AS MATERIALIZED (SELECT DISTINCT path, sha256, sha256(path) AS place, sha256(path || chr(9) || sha256) AS entry FROM members),
+    d AS MATERIALIZED (SELECT min(k) AS depth FROM range(0, 9) AS r(k), (SELECT count(*) AS n FROM m) WHERE n <= 64 * pow(16, k)),
+    t8 AS (SELECT substr(place, 1, 8) AS node, sha256(string_agg(entry, chr(10) ORDER BY entry)) AS h, count(*) AS n FROM m, d WHERE depth = 8 GROUP BY ALL)""" + "".join(
+    f""", t{k} AS (SELECT substr(place, 1, {k}) AS node, sha256(string_agg(entry, chr(10) ORDER BY entry)) AS h, count(*) AS n FROM m, d WHERE depth = {k} GROUP BY ALL
+      UNION ALL SELECT substr(node, 1, {k}), sha256(string_agg(substr(node, {k + 1}, 1) || ' ' || h, chr(10) ORDER BY node)), sum(n) FROM t{k + 1} GROUP BY ALL)"""
+    for k in range(7, -1, -1)
+)
+
+
+@query(f"WITH {TREE} SELECT h AS fingerprint, CAST(n AS BIGINT) AS members, depth FROM t0, d")
 def tree_fingerprint(t: Tables):
-    return mf.tree_fingerprint(t.members())
+    return tr.tree_fingerprint(t.members())
+
+
+@query("""WITH l AS (SELECT DISTINCT path, sha256 FROM registered), r AS (SELECT DISTINCT path, sha256 FROM members)
+    SELECT path, sha256 AS digest, 'REMOVED' AS state FROM l WHERE (path, sha256) NOT IN (SELECT (path, sha256) FROM r)
+    UNION ALL SELECT path, sha256, 'ADDED' FROM r WHERE (path, sha256) NOT IN (SELECT (path, sha256) FROM l)""")
+def tree_diff(t: Tables):
+    return tr.tree_diff(t.registered(), t.members())
+
+
+@query("""WITH i AS (SELECT DISTINCT user_id AS job, event_type AS path, md5(CAST(event_id AS VARCHAR)) AS sha256 FROM events),
+    b AS (SELECT job, substr(sha256(path), 1, 3) AS b, sha256(string_agg(sha256(path || chr(9) || sha256), chr(10) ORDER BY sha256(path || chr(9) || sha256))) AS h, count(*) AS n FROM i GROUP BY ALL),
+    c AS (SELECT job, sha256(string_agg(b || ' ' || h, chr(10) ORDER BY b)) AS content, CAST(sum(n) AS BIGINT) AS n FROM b GROUP BY job)
+    SELECT c_custkey AS job, sha256(sha256('{"c_mktsegment":"' || c_mktsegment || '","c_nationkey":' || c_nationkey || '}') || chr(10) || coalesce(content, '')) AS fingerprint, coalesce(n, 0) AS inputs
+    FROM customer LEFT JOIN c ON job = c_custkey""")
+def job_fingerprints(t: Tables):
+    jobs = t.read("customer").select(F.col("c_custkey").alias("job"), "c_nationkey", "c_mktsegment")
+    inputs = t.read("events").select(F.col("user_id").alias("job"), F.col("event_type").alias("path"), F.md5(F.col("event_id").cast("string")).alias("sha256"))
+    return tr.job_fingerprints(jobs, inputs, "job", ["c_nationkey", "c_mktsegment"])
+
+
+@query("SELECT conv_id, CAST(turn AS VARCHAR) AS turn, role, text FROM conversations")
+def csv_split_records(t: Tables):
+    return csv_table(_csv_records(t), ["turn", "role", "text"])[0].select(F.col("file").alias("conv_id"), "turn", "role", "text")
+
+
+@query("""SELECT conv_id, count(*) AS lines, CAST(sum(len(text) - len(replace(text, chr(10), '')) + 1) AS BIGINT) AS physical FROM conversations GROUP BY conv_id""")
+def csv_lines_per_record(t: Tables):
+    lines, records = _csv_lines(t), _csv_records(t)
+    heads = records.where("record > 0").groupBy(F.col("file").alias("conv_id")).agg(F.count(F.lit(1)).alias("lines"))
+    return heads.join(lines.where("line > 1").groupBy(F.col("file").alias("conv_id")).agg(F.count(F.lit(1)).alias("physical")), "conv_id")
+
+
+@query("""SELECT conv_id AS file, role, count(*) AS rows FROM conversations GROUP BY ALL HAVING count(*) > 1""")
+def csv_duplicate_keys(t: Tables):
+    table, issues = csv_table(_csv_records(t), ["role"], "role")
+    return issues.where("type = 'DUPLICATE_KEY'").join(table, ["file", "line"]).groupBy("file", "role").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _csv_lines(t: Tables):
+    """Every conversation as the lines of a CSV file: a header, then turns whose texts hold line ends and quotes."""
+    c = t.read("conversations")
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    row = F.concat_ws(",", F.col("turn").cast("string"), "role", quoted)
+    parts = c.select(F.col("conv_id").alias("file"), "turn", F.posexplode(F.split(row, "\n")).alias("k", "value"))
+    heads = c.select(F.col("conv_id").alias("file")).distinct().select("file", F.lit(-1).cast("bigint").alias("turn"), F.lit(0).alias("k"), F.lit("turn,role,text").alias("value"))
+    rows = parts.unionByName(heads)
+    return scan(rows, ["file"], ["turn", "k"], [row_number("line")], t.hot("conversations", "conv_id", "file")).select("file", "line", "value")
+
+
+def _csv_records(t: Tables):
+    return csv_records(_csv_lines(t), hot=t.hot("conversations", "conv_id", "file"))[0]
 
 
 @query("""SELECT CASE WHEN path LIKE '%/fr/%' THEN 'config' WHEN path LIKE '%/en/%' THEN 'weights' ELSE 'asset' END AS role,

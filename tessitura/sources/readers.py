@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import clean_caption, clock_seconds, has_kana, integers, numbers, tokens
 from ..operators.scans import previous, row_number, scan
+from .records import csv_records, csv_table
 
 BOM = "﻿"
 
@@ -48,19 +49,20 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return numbered.select("file", "line", value.alias("value"))
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, sep: str = ",", multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, sep: str = ",") -> DataFrame:
     """Header and optional BOM, all strings; a missing path gives an empty table of ``columns``.
 
-    Files are split between tasks unless ``multi_line`` allows line ends inside quotes.
+    Files are split between tasks; line ends inside quotes stay in their field
+    (``records.csv_table`` also reports open quotes and rows of another length). Without
+    ``columns`` those of the first file's header are taken.
     """
     if not _exists(spark, path):
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns or ["value"]]))
-    rows = spark.read.option("header", True).option("sep", sep).option("multiLine", multi_line).option("escape", '"').csv(path)
-    rows = rows.withColumnsRenamed({c: c.replace(BOM, "").strip('"') for c in rows.columns})
-    for c in columns or ():
-        if c not in rows.columns:
-            rows = rows.withColumn(c, F.lit(None).cast("string"))
-    return rows.select(*columns) if columns else rows
+    found, _ = csv_records(numbered_lines(spark, path), sep)
+    if columns is None:
+        head = found.where("record = 0").agg(F.min_by("fields", "file").alias("h")).first()["h"]
+        columns = [c.strip() for c in head or ["value"]]
+    return csv_table(found, columns)[0].select(*columns)
 
 
 def keyed_table(rows: DataFrame, key: str, fallback: str | None = None):
