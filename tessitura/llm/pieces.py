@@ -7,7 +7,8 @@ Zipf's law where the file has merge ranks only. Characters that are no piece bec
 the unknown score. Decoding joins pieces and bytes again.
 
 1. Texts are cut into *units*: a cut lies wherever no piece holds the two characters beside
-   it, so every path passes there and units can be solved alone, exactly.
+   it, so every path passes there and units can be solved alone, exactly. (A unit of over
+   ``UNIT_LENGTH`` characters is cut there as well, which may change the pieces at the cut.)
 2. Distinct units are exploded into substrings of bounded length, joined by equality with
    the piece table (a vocabulary, so its size is fixed; it is broadcast), and the edges are
    grouped by unit without another shuffle.
@@ -36,16 +37,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, text_rows
+from .token_files import laid, runs_of
 
 MARK = "▁"
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 32_000_000
 UNKNOWN_PENALTY = 10.0
-FLUSH_WORDS = 1_000_000
+#: Text bytes that a task turns into words at once.
+STEP_BYTES = 6_000_000
 #: Steps of a score; an edge is packed into one integer: end, length, cost in steps, id.
 STEPS = 1 << 14
 UNIT_LENGTH = 1 << 20
 PACK_BYTES, PACK_ROWS = 400_000, 5000
-CACHE_WORDS = 400_000
 
 
 def model_file(name: str = "piece_bpe_32k.model") -> str:
@@ -139,12 +141,18 @@ class _Blocks:
         borders = rows.agg(F.percentile_approx("doc_id", shares, 100 * self.n)).first()[0] if shares else []
         self.borders = np.array(borders or [], dtype=np.int64)
 
-    def of(self, doc_id: int | None, text: bytes) -> int:
-        if doc_id is None:
-            return zlib.crc32(text) % self.n
-        low = int(np.searchsorted(self.borders, doc_id, "left"))
-        high = int(np.searchsorted(self.borders, doc_id, "right"))
-        return low if high - low < 2 else low + zlib.crc32(text) % (high - low + 1)
+    def all_of(self, doc_ids: pa.Array, texts: pa.Array) -> np.ndarray:
+        """The block of every row."""
+        null = doc_ids.is_null().to_numpy(zero_copy_only=False)
+        ids = pc.fill_null(doc_ids, 0).to_numpy(zero_copy_only=False)
+        low, high = (np.searchsorted(self.borders, ids, side) for side in ("left", "right"))
+        room = np.where(null, self.n, high - low + 1)
+        spread = np.flatnonzero(null | (high - low > 1))
+        out = np.where(null, 0, low)
+        if len(spread):
+            crcs = np.array([zlib.crc32(t.as_py()) for t in texts.take(pa.array(spread)).cast(pa.binary())], dtype=np.int64)
+            out[spread] += crcs % room[spread]
+        return out
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -156,29 +164,21 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or model_file()
     pieces, blocks, rows = pieces_of(path), _Blocks(docs), text_rows(docs)
     adjacent = _Cutter(pieces.adjacent)
-    literal = np.array([pieces.bytes[b] for b in MARK.encode()], dtype="<i4").tobytes()
+    literal = np.array([pieces.bytes[b] for b in MARK.encode()], dtype="<i4")
     by_byte = np.array([pieces.bytes[b] for b in range(256)], dtype="<i4")
 
     def words_by_block(batches):
-        held: dict[int, set] = {}
-
-        def flush():
-            for block, words in held.items():
-                units = {u for w in words for u in adjacent.units(w)}
-                units.discard("")
-                listed = list(units)
-                for k in range(0, len(listed), 50_000):
-                    part = listed[k : k + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block, dtype=np.int32)), pa.array(part, pa.string())], ["block", "unit"])
-            held.clear()
-
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                if text:
-                    held.setdefault(blocks.of(doc_id, text.encode()), set()).update(text.split(" "))
-            if sum(map(len, held.values())) > FLUSH_WORDS:
-                yield from flush()
-        yield from flush()
+            texts = batch.column("text")
+            sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+            where = blocks.all_of(batch.column("doc_id"), texts)
+            for block in np.unique(where).tolist():
+                mine = np.flatnonzero((where == block) & (sizes > 0))
+                for x, y in runs_of(sizes[mine], STEP_BYTES):
+                    words = pc.unique(pc.split_pattern(texts.take(pa.array(mine[x:y])), " ").flatten())
+                    units = pc.unique(adjacent.units_of(words)[0])
+                    units = units.filter(pc.not_equal(units, ""))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(units), block, dtype=np.int32)), units], ["block", "unit"])
 
     def packed(batches):
         packer = zstandard.ZstdCompressor(level=6)
@@ -194,9 +194,9 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out), kinds)], ["block", "doc_ids", "sizes", "packed"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                raw = text.encode()
-                block = blocks.of(doc_id, raw)
+            where = blocks.all_of(batch.column("doc_id"), batch.column("text")).tolist()
+            for block, doc_id, text in zip(where, batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary())):
+                raw = text.as_py()
                 held = waiting.setdefault(block, [0, [], []])
                 held[0] += len(raw)
                 held[1].append(doc_id)
@@ -209,27 +209,38 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
         yield from rows_of(list(waiting))
 
     def write(left: pa.Table, right: pa.Table) -> pa.Table:
-        solved_ids = right.column("ids").combine_chunks()
-        solved_ids = solved_ids.chunk(0) if isinstance(solved_ids, pa.ChunkedArray) else solved_ids
-        flat, at = solved_ids.values.to_numpy(zero_copy_only=False).astype("<i4"), solved_ids.offsets.to_pylist()
-        known_ids = {"": literal}
-        for unit, a, b in zip(right.column("unit").to_pylist(), at, at[1:]):
-            ids = flat[a:b]
-            if (ids < 0).any():
-                ids = np.concatenate([by_byte[np.frombuffer(chr(-1 - x).encode(), dtype=np.uint8)] if x < 0 else np.array([x], dtype="<i4") for x in ids.tolist()])
-            known_ids[unit] = ids.tobytes()
-        words = _WordTable(adjacent, known_ids)
-        ids, made, crcs = [], [], []
-        for doc_ids, sizes, raw in zip(*(left.column(c).to_pylist() for c in ("doc_ids", "sizes", "packed"))):
-            plain, start = zstandard.decompress(raw), 0
-            for doc_id, size in zip(doc_ids, sizes):
-                text, start = plain[start : start + size], start + size
-                ids.append(doc_id)
-                made.append(b"".join(map(words.__getitem__, text.decode().split(" "))) if text else b"")
-                crcs.append(zlib.crc32(text))
-        offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in made])]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(made), dtype="<i4")))
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "ids": lists, "text_crc32": pa.array(crcs, pa.int64())})
+        unit_names = pa.chunked_array([*right.column("unit").chunks, pa.array([""])])
+        known, lengths = _with_bytes(right.column("ids"), by_byte)
+        known, lengths = np.concatenate([known, literal]), np.append(lengths, len(literal))
+        doc_ids, crcs, counts, flats = [], [], [], []
+        # Some packed rows at a time: no more than their texts is held beside the block's units.
+        columns = [left.column(c) for c in ("doc_ids", "sizes", "packed")]
+        for x, y in runs_of(np.array([sum(r) for r in columns[1].to_pylist()], dtype=np.int64), STEP_BYTES):
+            sizes = np.concatenate([np.array(r, dtype=np.int64) for r in columns[1].slice(x, y - x).to_pylist()])
+            plain = b"".join(zstandard.decompress(r.as_py()) for r in columns[2].slice(x, y - x))
+            doc_ids += [i for r in columns[0].slice(x, y - x).to_pylist() for i in r]
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            crcs += [zlib.crc32(plain[p:q]) for p, q in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            some = np.flatnonzero(sizes)  # an empty text has no ids
+            starts = np.append(ends[some], ends[-1]).astype(np.int32)
+            lists = pc.split_pattern(pa.StringArray.from_buffers(len(some), pa.py_buffer(starts), pa.py_buffer(plain)), " ")
+            coded = lists.flatten().dictionary_encode()
+            units, first, many = adjacent.units_of(coded.dictionary)
+            codes = pc.index_in(units, value_set=unit_names).to_numpy(zero_copy_only=False)
+            # Ids of the distinct words, then those of all words in order.
+            order, _ = laid(np.arange(len(codes)), np.ones(len(codes), dtype=np.int64), _ranges(first, many))
+            word_ids, per_unit = laid(known, lengths, codes[order])
+            upto = np.concatenate([[0], np.cumsum(per_unit)])
+            edges = np.concatenate([[0], np.cumsum(many)])
+            flat, per_word = laid(word_ids, np.diff(upto[edges]), coded.indices.to_numpy())
+            upto = np.concatenate([[0], np.cumsum(per_word)])
+            n = np.zeros(len(sizes), dtype=np.int64)
+            n[some] = np.diff(upto[lists.offsets.to_numpy()])
+            counts.append(n)
+            flats.append(flat)
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1)
+        ids = pa.array(np.concatenate(flats) if flats else [], pa.int32())
+        return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids), "text_crc32": pa.array(crcs, pa.int64())})
 
     pairs = rows.mapInArrow(words_by_block, "block int, unit string")
     # One shuffle of the pairs serves both uses: the filter keeps both plans alike below it.
@@ -245,6 +256,44 @@ class _Cutter:
 
     def __init__(self, adjacent: frozenset):
         self.adjacent = adjacent
+        self.pairs = np.array(sorted(ord(p[0]) << 21 | ord(p[1]) for p in adjacent), dtype=np.int64)
+
+    def units_of(self, words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Units of all words, and per word the place of its first unit and their number."""
+        if isinstance(words, pa.ChunkedArray):
+            words = words.combine_chunks()
+        strange = np.flatnonzero(pc.match_substring(words, MARK).to_numpy(zero_copy_only=False))
+        plain = np.setdiff1d(np.arange(len(words)), strange) if len(strange) else np.arange(len(words))
+        marked = pc.binary_join_element_wise(MARK, words.take(pa.array(plain)), "")
+        joined = "".join(marked.to_pylist())
+        raw = joined.encode()
+        chars = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+        at = np.concatenate([[0], np.cumsum(1 + (chars > 0x7F) + (chars > 0x7FF) + (chars > 0xFFFF))])
+        begin = np.concatenate([[0], np.cumsum(pc.utf8_length(marked).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        cut = np.ones(len(chars), dtype=bool)
+        keys = chars[:-1] << 21 | chars[1:]
+        spot = np.minimum(np.searchsorted(self.pairs, keys), max(len(self.pairs) - 1, 0))
+        cut[1:] = self.pairs[spot] != keys if len(self.pairs) else True
+        cut[begin[:-1]] = True
+        starts = np.flatnonzero(cut)
+        starts = self._bounded(starts, len(chars))
+        units = pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.append(at[starts], at[-1]).astype(np.int32)), pa.py_buffer(raw))
+        first, many = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        place = np.searchsorted(starts, begin)
+        first[plain], many[plain] = place[:-1], np.diff(place)
+        if len(strange):
+            lists = [self.units(w) for w in words.take(pa.array(strange)).to_pylist()]
+            many[strange] = [len(x) for x in lists]
+            first[strange] = len(units) + np.cumsum(many[strange]) - many[strange]
+            units = pa.concat_arrays([units, pa.array([u for x in lists for u in x], pa.string())])
+        return units, first, many
+
+    @staticmethod
+    def _bounded(starts: np.ndarray, n: int) -> np.ndarray:
+        """Starts with further ones where a unit is longer than ``UNIT_LENGTH``."""
+        long = np.flatnonzero(np.diff(np.append(starts, n)) > UNIT_LENGTH)
+        more = [np.arange(a + UNIT_LENGTH, b, UNIT_LENGTH) for a, b in zip(starts[long], np.append(starts, n)[long + 1])]
+        return np.sort(np.concatenate([starts, *more])) if len(long) else starts
 
     def units(self, word: str) -> list[str]:
         """Units of a word behind its mark; the empty string stands for a literal mark in it."""
@@ -266,19 +315,30 @@ class _Cutter:
         return made
 
 
-class _WordTable(dict):
-    """Ids of words from the ids of their units, kept while there is room."""
-
-    def __init__(self, cutter: _Cutter, table: dict):
-        super().__init__()
-        self.cutter, self.table = cutter, table
-
-    def __missing__(self, word: str) -> bytes:
-        made = b"".join(map(self.table.__getitem__, self.cutter.units(word)))
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = made
-        return made
+def _ranges(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... for ``many`` steps, one range after the other."""
+    return np.repeat(first - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+
+
+def _with_bytes(lists, by_byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and list lengths of a list column in which unknown characters are written as their byte pieces."""
+    lists = lists.combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) and lists.num_chunks else lists
+    ids = np.asarray(lists.flatten() if len(lists) else [], dtype=np.int64)
+    per = np.diff(lists.offsets.to_numpy()) if len(lists) else np.zeros(0, dtype=np.int64)
+    odd = np.flatnonzero(ids < 0)
+    if not len(odd):
+        return ids.astype("<i4"), per.astype(np.int64)
+    names, codes = np.unique(ids[odd], return_inverse=True)
+    raw = [by_byte[np.frombuffer(chr(-1 - x).encode(), dtype=np.uint8)] for x in names.tolist()]
+    # Every known id is a unit of one, every unknown character a unit of its bytes.
+    place = np.arange(len(ids))
+    place[odd] = len(ids) + codes
+    sizes = np.concatenate([np.ones(len(ids), dtype=np.int64), [len(r) for r in raw]])
+    flat, wide = laid(np.concatenate([ids, *raw]), sizes, place)
+    upto = np.concatenate([[0], np.cumsum(wide)])
+    edges = np.concatenate([[0], np.cumsum(per)])
+    return flat.astype("<i4"), np.diff(upto[edges])
 
 
 def _text_of(ids: np.ndarray, texts: list[bytes]) -> bytes:

@@ -118,7 +118,7 @@ def _words(path: str) -> WordIds:
     return WordIds(path)
 
 
-def _runs(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+def runs_of(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
     """Consecutive texts of at most ``most`` bytes together; a longer text is alone."""
     out, a, held = [], 0, 0
     for k, n in enumerate(sizes.tolist()):
@@ -129,7 +129,7 @@ def _runs(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
     return [*out, (a, len(sizes))] if len(sizes) else out
 
 
-def _laid(units: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def laid(units: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The units that ``codes`` name, side by side, and the length of each; ``units`` are joined, ``lengths`` long."""
     starts = np.cumsum(lengths) - lengths
     per = lengths[codes]
@@ -159,7 +159,7 @@ def _word_lists(known: WordIds, words: pa.Array) -> tuple[np.ndarray, np.ndarray
     pairs[at[tailed], 1] = n + tails.indices.to_numpy()
     pairs[rest, 0] = n + m + np.arange(len(rest))
     lengths = np.fromiter(map(len, units), dtype=np.int64, count=len(units)) // 4
-    flat, per = _laid(np.frombuffer(b"".join(units), dtype="<u4"), lengths, pairs.ravel())
+    flat, per = laid(np.frombuffer(b"".join(units), dtype="<u4"), lengths, pairs.ravel())
     return flat, per.reshape(-1, 2).sum(axis=1)
 
 
@@ -171,7 +171,7 @@ def token_lists(texts: pa.Array, path: str, step: int = STEP_BYTES):
     """
     known = _words(path)
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-    for a, b in _runs(sizes, step):
+    for a, b in runs_of(sizes, step):
         part = pc.fill_null(texts.slice(a, b - a), "")
         if pc.any(pc.match_substring_regex(part, ODD_SPACE)).as_py():
             whole = [array("I", known.tokenizer.encode(t, add_special_tokens=False).ids) for t in part.to_pylist()]
@@ -179,7 +179,7 @@ def token_lists(texts: pa.Array, path: str, step: int = STEP_BYTES):
             continue
         lists = pc.utf8_split_whitespace(part)
         coded = lists.flatten().dictionary_encode()
-        flat, per = _laid(*_word_lists(known, coded.dictionary), coded.indices.to_numpy())
+        flat, per = laid(*_word_lists(known, coded.dictionary), coded.indices.to_numpy())
         ends = np.concatenate([[0], np.cumsum(per)])
         yield a, ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()], flat
 
