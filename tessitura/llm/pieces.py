@@ -36,14 +36,14 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_rows
+from .common import schema, table, text_rows
 from .token_files import laid, runs_of
 
 MARK = "▁"
 BLOCK_BYTES = 32_000_000
 UNKNOWN_PENALTY = 10.0
 #: Text bytes that a task turns into words at once.
-STEP_BYTES = 6_000_000
+STEP_BYTES = 4_000_000
 #: Steps of a score; an edge is packed into one integer: end, length, cost in steps, id.
 STEPS = 1 << 14
 UNIT_LENGTH = 1 << 20
@@ -161,9 +161,18 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     Null and repeated doc_ids are rows like any other; empty tables give no rows; columns
     besides doc_id and text are ignored.
     """
+
+    def lists(doc_ids: list, ends: np.ndarray, ids: np.ndarray, crcs: list[int]) -> list[pa.Array]:
+        return [pa.array(doc_ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())), pa.array(crcs, pa.int64())]
+
+    return _encoded(docs, path, lists, "doc_id long, ids array<int>, text_crc32 long")
+
+
+def _encoded(docs: DataFrame, path: str | None, finish, kind: str) -> DataFrame:
+    """What ``finish`` makes of documents' ids: columns from doc_ids, borders of their ids, ids and text digests."""
     path = path or model_file()
     pieces, blocks, rows = pieces_of(path), _Blocks(docs), text_rows(docs)
-    adjacent = _Cutter(pieces.adjacent)
+    adjacent, names = _Cutter(pieces.adjacent), schema(kind).names
     literal = np.array([pieces.bytes[b] for b in MARK.encode()], dtype="<i4")
     by_byte = np.array([pieces.bytes[b] for b in range(256)], dtype="<i4")
 
@@ -209,18 +218,20 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
         yield from rows_of(list(waiting))
 
     def write(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:  # units without texts do not occur; a table needs its columns all the same
+            return pa.Table.from_batches([pa.RecordBatch.from_arrays(finish([], np.zeros(1, dtype=np.int64), np.zeros(0, dtype="<i4"), []), names)])
         unit_names = pa.chunked_array([*right.column("unit").chunks, pa.array([""])])
         known, lengths = _with_bytes(right.column("ids"), by_byte)
         known, lengths = np.concatenate([known, literal]), np.append(lengths, len(literal))
-        doc_ids, crcs, counts, flats = [], [], [], []
+        made = []
         # Some packed rows at a time: no more than their texts is held beside the block's units.
         columns = [left.column(c) for c in ("doc_ids", "sizes", "packed")]
         for x, y in runs_of(np.array([sum(r) for r in columns[1].to_pylist()], dtype=np.int64), STEP_BYTES):
             sizes = np.concatenate([np.array(r, dtype=np.int64) for r in columns[1].slice(x, y - x).to_pylist()])
             plain = b"".join(zstandard.decompress(r.as_py()) for r in columns[2].slice(x, y - x))
-            doc_ids += [i for r in columns[0].slice(x, y - x).to_pylist() for i in r]
+            doc_ids = [i for r in columns[0].slice(x, y - x).to_pylist() for i in r]
             ends = np.concatenate([[0], np.cumsum(sizes)])
-            crcs += [zlib.crc32(plain[p:q]) for p, q in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            crcs = [zlib.crc32(plain[p:q]) for p, q in zip(ends[:-1].tolist(), ends[1:].tolist())]
             some = np.flatnonzero(sizes)  # an empty text has no ids
             starts = np.append(ends[some], ends[-1]).astype(np.int32)
             lists = pc.split_pattern(pa.StringArray.from_buffers(len(some), pa.py_buffer(starts), pa.py_buffer(plain)), " ")
@@ -236,11 +247,8 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
             upto = np.concatenate([[0], np.cumsum(per_word)])
             n = np.zeros(len(sizes), dtype=np.int64)
             n[some] = np.diff(upto[lists.offsets.to_numpy()])
-            counts.append(n)
-            flats.append(flat)
-        offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1)
-        ids = pa.array(np.concatenate(flats) if flats else [], pa.int32())
-        return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids), "text_crc32": pa.array(crcs, pa.int64())})
+            made.append(pa.RecordBatch.from_arrays(finish(doc_ids, np.concatenate([[0], np.cumsum(n)]), flat, crcs), names))
+        return pa.Table.from_batches(made)
 
     pairs = rows.mapInArrow(words_by_block, "block int, unit string")
     # One shuffle of the pairs serves both uses: the filter keeps both plans alike below it.
@@ -248,7 +256,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     best = solved(held.filter("size(blocks) > 0").select("unit"), pieces)
     known = best.join(held.filter("size(blocks) > 0"), "unit").select("unit", "ids", F.explode("blocks").alias("block"))
     texts = rows.mapInArrow(packed, "block int, doc_ids array<long>, sizes array<long>, packed binary")
-    return texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(write, "doc_id long, ids array<int>, text_crc32 long")
+    return texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(write, kind)
 
 
 class _Cutter:
@@ -374,14 +382,14 @@ def piece_counts(docs: DataFrame) -> DataFrame:
     """
     texts = pieces_of(model_file()).texts
 
-    def run(batches):
-        for batch in batches:
-            made = [(len(ids), zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(_text_of(ids, texts))) for ids in _lists(batch)]
-            columns = [pa.array(list(c), pa.int64()) for c in zip(*made)] or [pa.array([], pa.int64())] * 3
-            same = pc.equal(columns[2], batch.column("text_crc32"))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, same], ["doc_id", "n_pieces", "ids_crc32", "decoded_crc32", "round_trip"])
+    def counts(doc_ids: list, ends: np.ndarray, ids: np.ndarray, crcs: list[int]) -> list[pa.Array]:
+        ids = ids.astype("<u4", copy=False)
+        each = [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        decoded = [zlib.crc32(_text_of(x, texts)) for x in each]
+        columns = [doc_ids, np.diff(ends), [zlib.crc32(x.tobytes()) for x in each], decoded]
+        return [*(pa.array(c, pa.int64()) for c in columns), pa.array([a == b for a, b in zip(decoded, crcs)], pa.bool_())]
 
-    return encode(docs).mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, decoded_crc32 long, round_trip boolean")
+    return _encoded(docs, None, counts, "doc_id long, n_pieces long, ids_crc32 long, decoded_crc32 long, round_trip boolean")
 
 
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
