@@ -15,9 +15,6 @@ from pyspark.sql.window import Window
 
 from tessitura.session import ensure_checkpoint_dir, ship_package
 
-#: Text bytes that one task of a map-like step should get.
-TASK_BYTES = 32_000_000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
@@ -57,16 +54,26 @@ def keep_rows(docs: DataFrame, digest: Column, verdicts: DataFrame) -> DataFrame
     away by an anti join, which Spark broadcasts only while it is small. Where rows share
     both, as many verdicts do; if one of them keeps, one such row is kept.
     """
-    judged = verdicts.groupBy("doc_id", "digest").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    judged = checkpointed(judged.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "kept", "n"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_digest"))
-    rows = docs.withColumn("_key", digest)
-    left = rows.join(judged.filter("not kept").select("_id", "_digest"), same, "left_anti")
-    repeated = judged.filter("kept and n > 1").select("_id", "_digest")
+    # Names that no column of ``docs`` has.
+    key, one, other, often = (fresh_name(docs, n) for n in ("key", "id", "digest", "n"))
+    judged = verdicts.groupBy("doc_id", "digest").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias(often))
+    judged = checkpointed(judged.select(F.col("doc_id").alias(one), F.col("digest").alias(other), "kept", often))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(one)) & (F.col(key) == F.col(other))
+    rows = docs.withColumn(key, digest)
+    left = rows.join(judged.filter("not kept").select(one, other), same, "left_anti")
+    repeated = judged.filter(F.col("kept") & (F.col(often) > 1)).select(one, other)
     if repeated.take(1):
-        once = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_key"])
+        once = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", key])
         left = left.join(repeated, same, "left_anti").unionByName(once)
-    return left.drop("_key")
+    return left.drop(key)
+
+
+def fresh_name(df: DataFrame, label: str) -> str:
+    """A column name that ``df`` does not have, in any case."""
+    taken, name = {c.lower() for c in df.columns}, f"_{label}"
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
 def parts(spark: SparkSession) -> int:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpointed, table, text_rows
+from .common import checkpointed, fresh_name, table, text_rows
 
 WIDTH = 8
 COVERAGE = 0.5
@@ -347,9 +347,10 @@ def _several(kinds: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that leak no item, with all their columns."""
-    found = leaks(docs, benchmark).select(F.col("doc_id").alias("_leak_id"), F.col("digest").alias("_leak_digest")).distinct()
+    one, other = fresh_name(docs, "leak_id"), fresh_name(docs, "leak_digest")
+    found = leaks(docs, benchmark).select(F.col("doc_id").alias(one), F.col("digest").alias(other)).distinct()
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_leak_id")) & (F.unhex(F.sha2(text.cast("binary"), 256)) == F.col("_leak_digest"))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(one)) & (F.unhex(F.sha2(text.cast("binary"), 256)) == F.col(other))
     return docs.join(found, same, "left_anti")
 
 
