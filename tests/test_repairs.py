@@ -116,21 +116,26 @@ def test_alignment_keeps_what_a_pointer_would_keep(spark, hot):
     assert pairs.where("idx is not null").count() == len(found) and pairs.where("pos is not null").count() == len(expected)
 
 
-def align(spark, labels, expected, end, lead=False, trail=False):
-    rows = [(1, k, label, a, b) for k, (label, a, b) in enumerate(labels)]
-    pairs = rp.align_labels(spark.createDataFrame(rows, "item long, idx long, label string, start long, end long"), spark.createDataFrame([(1, k, p) for k, p in enumerate(expected)], "item long, pos long, phone string"), ITEM, ["sil"])
-    items = spark.createDataFrame([(1, end, lead, trail)], "item long, item_end long, lead_rest boolean, trail_rest boolean")
-    edits = rp.boundary_edits(pairs, items, ITEM, ["sil"])
-    return plain(edits, "side", "gap", "resolution"), [tuple(r) for r in rp.aligned_phones(pairs, edits, ITEM).orderBy("pos").select("phone", "dur").collect()]
+LABELS = [("", 0, 30), ("a", 30, 50), ("i", 50, 90), ("sil", 90, 100)]
+# found, expected, end of the item, notes begin with a rest, notes end with one; boundary edits and phones
+BORDERS = [
+    (LABELS, ["a", "i"], 100, False, False, [("leading", 30, "PHONE_EXTENDED"), ("trailing", 10, "PHONE_EXTENDED")], [("a", 50), ("i", 50)]),
+    (LABELS, ["a", "i"], 100, True, True, [("leading", 30, "PAUSE_INSERTED"), ("trailing", 10, "PAUSE_INSERTED")], [("SP", 30), ("a", 20), ("i", 40), ("SP", 10)]),
+    (LABELS, ["sil", "a", "i", "sil"], 100, False, False, [], [("sil", 30), ("a", 20), ("i", 40), ("sil", 10)]),
+    (LABELS[1:3], ["a", "i"], 90, False, False, [("leading", 30, "BOUNDARY_UNEXPLAINED")], []),
+    (LABELS, ["a", "x"], 100, False, False, [("leading", 30, "PHONE_EXTENDED"), ("trailing", 10, "PHONE_EXTENDED")], []),
+]
 
 
 def test_boundary_time(spark):
-    labels = [("", 0, 30), ("a", 30, 50), ("i", 50, 90), ("sil", 90, 100)]
-    assert align(spark, labels, ["a", "i"], 100) == ([("leading", 30, "PHONE_EXTENDED"), ("trailing", 10, "PHONE_EXTENDED")], [("a", 50), ("i", 50)])
-    assert align(spark, labels, ["a", "i"], 100, True, True) == ([("leading", 30, "PAUSE_INSERTED"), ("trailing", 10, "PAUSE_INSERTED")], [("SP", 30), ("a", 20), ("i", 40), ("SP", 10)])
-    assert align(spark, labels, ["sil", "a", "i", "sil"], 100) == ([], [("sil", 30), ("a", 20), ("i", 40), ("sil", 10)])
-    assert align(spark, labels[1:3], ["a", "i"], 90) == ([("leading", 30, "BOUNDARY_UNEXPLAINED")], [])
-    assert align(spark, labels, ["a", "x"], 100)[1] == []
+    found = [(n, k, *x) for n, case in enumerate(BORDERS) for k, x in enumerate(case[0])]
+    expected = [(n, k, p) for n, case in enumerate(BORDERS) for k, p in enumerate(case[1])]
+    pairs = rp.align_labels(spark.createDataFrame(found, "item long, idx long, label string, start long, end long"), spark.createDataFrame(expected, "item long, pos long, phone string"), ITEM, ["sil"])
+    items = spark.createDataFrame([(n, *case[2:5]) for n, case in enumerate(BORDERS)], "item long, item_end long, lead_rest boolean, trail_rest boolean")
+    edits = rp.boundary_edits(pairs, items, ITEM, ["sil"])
+    assert plain(edits, "item", "side", "gap", "resolution") == sorted(((n, *e) for n, case in enumerate(BORDERS) for e in case[5]), key=str)
+    phones = [tuple(r) for r in rp.aligned_phones(pairs, edits, ITEM).orderBy("item", "pos").select("item", "phone", "dur").collect()]
+    assert phones == [(n, *p) for n, case in enumerate(BORDERS) for p in case[6]]
 
 
 def test_range_counts(spark, hot):
