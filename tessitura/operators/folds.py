@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import logging
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 
 from ..session import ship_package
 from .intervals import asof, overlap_join, union
-from .scans import CHUNK, HotKeys, Scan, assign_chunks, find_hot_keys, refine, row_number, running_sum, scan
+from .scans import CHUNK, HotKeys, Scan, assign_chunks, find_hot_keys, next_seen, previous, refine, row_number, running_sum, scan
 from .stats import percentiles
 
 # A rule takes (rows in order, state or None, is this the end) and yields output tuples;
@@ -32,6 +33,7 @@ Rule = Callable[[Iterator, dict | None, bool], Iterator]
 
 
 FLUSH_ROWS = 20_000
+log = logging.getLogger(__name__)
 
 
 def _null(value):
@@ -106,6 +108,7 @@ def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], rule: Rule, s
 
     todo = list(entering)
     while todo:
+        log.debug("states of %d of %d chunks", len(todo), len(entering))
         states = through(with_states(todo, "inner").withColumn("__last", F.lit(False)), state_schema.names, state_schema, True)
         leaving.update({tuple(r[:-1]): r["state"] for r in states.collect()})
         todo = []
@@ -361,8 +364,14 @@ def realign_counts(phrases: DataFrame, gaps: DataFrame, hot=None) -> DataFrame:
     """Move notes after a verified rest out of a phrase into later ones with room, all or nothing.
 
     ``phrases``: song_id, phrase, count, phones. ``gaps``: song_id, boundary_index. Emits a
-    ``count`` row per phrase and a row per gap (ALREADY_ALIGNED, REALIGNED or FAILED). Notes
-    on the move wait in the state; room left in the rest of the song is a reverse sum.
+    ``count`` row per phrase and a row per gap (ALREADY_ALIGNED, REALIGNED or FAILED); a gap
+    behind the last phrase has no row.
+
+    A phrase ends at the first of: its own end, its begin plus all it can hold, the next rest
+    that still leaves room for what follows. What leaves a phrase is therefore only how far
+    its end lies before its own one and the rests between the two. Both are forgotten where
+    the notes on the move have found room, so a chunk of a hot song, started fresh, leaves
+    the true state unless notes move across it as a whole: two runs per chunk.
     """
     song = ["song_id"]
     room = F.greatest(F.col("phones") - F.col("count"), F.lit(0)).cast("bigint")
@@ -371,51 +380,78 @@ def realign_counts(phrases: DataFrame, gaps: DataFrame, hot=None) -> DataFrame:
     sized = scan(sized, song, ["phrase"], [Scan("__room_after", "sum", room, inclusive=False, reverse=True)], hot)
     # Phrases and gaps become one stream by note position; a gap follows the phrase that holds it.
     at = (F.col("__to") - F.col("count")).alias("at")
-    held = sized.select("song_id", at, F.lit(0).alias("kind"), "phrase", F.col("count").alias("notes"), "phones", F.col("__room_after").alias("room_after"))
+    lowest = (F.col("__to") - F.coalesce("__room_after", F.lit(0))).alias("lowest")
+    held = sized.select("song_id", at, F.lit(0).alias("kind"), "phrase", F.col("count").alias("notes"), room.alias("room"), lowest)
     marks = gaps.select("song_id", F.col("boundary_index").alias("at"), F.lit(1).alias("kind"))
     rows = held.unionByName(marks, allowMissingColumns=True)
 
-    def place(s, g):
-        phrase, count, free = s["cur"]
-        end = s["prefix"] + count
-        if g in (s["prefix"], end):
+    def place(cur, waiting, g):
+        phrase, begin, end, low = cur
+        if g in (begin, end):
             return (phrase, "ALREADY_ALIGNED", g, 0)
         if g > end:
-            s["gaps"].append(g)
+            waiting.append(g)
             return None
-        moved = end - g
-        if moved > free:
-            return (phrase, "FAILED", g, moved - free)
-        s["cur"] = [phrase, count - moved, free - moved]
-        s["moving"] += moved
-        return (phrase, "REALIGNED", g, moved)
+        if g < low:
+            return (phrase, "FAILED", g, low - g)
+        cur[2] = g
+        return (phrase, "REALIGNED", g, end - g)
 
     def rule(rows_, s, last):
-        s = s or {"prefix": 0, "moving": 0, "gaps": [], "cur": None}
+        cur, waiting = (s["cur"], s["waiting"]) if s else (None, [])
         for r in rows_:
             if r.kind == 1:
-                todo = [int(r.at)] if s["cur"] else []
+                todo = [int(r.at)] if cur else []
             else:
-                if s["cur"]:
-                    yield (s["cur"][0], "COUNT", None, s["cur"][1])
-                    s["prefix"] += s["cur"][1]
-                take = min(s["moving"], max(0, int(r.phones) - int(r.notes)))
-                s["moving"] -= take
-                free = (0 if pd.isna(r.room_after) else int(r.room_after)) - s["moving"]
-                s["cur"] = [int(r.phrase), int(r.notes) + take, free]
-                todo, s["gaps"] = s["gaps"], []
+                begin = int(r.at)
+                if cur:
+                    yield (cur[0], "COUNT", None, cur[2] - cur[1])
+                    begin = cur[2]
+                arriving = min(int(r.at) - begin, int(r.room))
+                cur = [int(r.phrase), begin, begin + int(r.notes) + arriving, int(r.lowest)]
+                todo, waiting = waiting, []
             for g in todo:
-                done = place(s, g)
+                done = place(cur, waiting, g)
                 if done:
                     yield done
-        if last and s["cur"]:
-            yield (s["cur"][0], "COUNT", None, s["cur"][1])
-        return s
+        if last and cur:
+            yield (cur[0], "COUNT", None, cur[2] - cur[1])
+        return {"cur": cur, "waiting": waiting}
 
     schema = "phrase long, kind string, boundary_index long, value long"
     return fold(rows, song, ["at", "kind", "phrase"], rule, schema, refine(hot, rows, song))
 
 
+def realign_recipients(phrases: DataFrame, realigned: DataFrame, hot=None) -> DataFrame:
+    """Which phrases take the notes of each realigned gap: ``song_id, boundary_index, phrase, taken``.
+
+    ``realigned`` comes from ``realign_counts``. Notes that left first arrive first, so both
+    sides are lined up by running sums of notes and cut at the borders of either; no gap meets
+    a phrase that takes nothing from it.
+    """
+    song = ["song_id"]
+    left = realigned.where("kind = 'REALIGNED'").select("song_id", "phrase", "boundary_index", F.col("value").alias("moved"))
+    out = left.groupBy("song_id", "phrase").agg(F.sum("moved").alias("__out"))
+    final = realigned.where("kind = 'COUNT'").select("song_id", "phrase", F.col("value").alias("__final"))
+    took = F.col("__final") - F.col("count") + F.coalesce("__out", F.lit(0))
+    taken = phrases.join(final, ["song_id", "phrase"]).join(out, ["song_id", "phrase"], "left").select("song_id", "phrase", took.alias("moved")).where("moved > 0")
+
+    def lined_up(rows: DataFrame, order: list[str]) -> DataFrame:
+        return scan(rows, song, order, [running_sum("upto", F.col("moved"))], refine(hot, rows, song))
+
+    borders = lined_up(left, ["boundary_index"]).select("song_id", "upto", F.lit(0).alias("side"), "boundary_index").unionByName(
+        lined_up(taken, ["phrase"]).select("song_id", "upto", F.lit(1).alias("side"), "phrase"), allowMissingColumns=True
+    )
+    # The two borders at one place follow each other; the later one spans nothing.
+    met = scan(
+        borders, song, ["upto", "side"],
+        [previous("__from", F.col("upto")), next_seen("__gap", F.col("boundary_index")), next_seen("__phrase", F.col("phrase"))],
+        refine(hot, borders, song),
+    )
+    here = F.col("upto") - F.coalesce("__from", F.lit(0))
+    return met.where(here > 0).select("song_id", F.col("__gap").alias("boundary_index"), F.col("__phrase").alias("phrase"), here.alias("taken"))
+
+
 # -- labels ---------------------------------------------------------------------------
 
 

@@ -83,13 +83,47 @@ def activity_segments(t: Tables):
     return folds.activity_segments(frames, SONG, hot=hot)
 
 
-@query(None)
-def realign_counts(t: Tables):
+# Ends of phrases one after another: own end, all the phrase can hold, or the next rest that leaves room.
+REALIGN = """p AS (SELECT song AS song_id, id AS phrase, blanks % 5 + 1 AS n, blanks % 9 + 3 AS ph FROM captions),
+    q AS MATERIALIZED (SELECT *, row_number() OVER w AS rn, CAST(sum(n) OVER w AS BIGINT) AS t, CAST(sum(n) OVER w - coalesce(sum(greatest(ph - n, 0)) OVER (PARTITION BY song_id ORDER BY phrase ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) AS BIGINT) AS low
+      FROM p WINDOW w AS (PARTITION BY song_id ORDER BY phrase)),
+    g AS MATERIALIZED (SELECT song_id, note_index AS g FROM (SELECT *, lag(end_us) OVER (PARTITION BY song_id ORDER BY note_index) AS le FROM notes) WHERE start_us - le >= 500000),
+    gl AS MATERIALIZED (SELECT q.song_id, rn, list(g ORDER BY g) AS gs FROM q JOIN g ON g.song_id = q.song_id AND g.g >= low AND g.g <= t GROUP BY ALL),
+    qq AS MATERIALIZED (SELECT q.*, gs FROM q LEFT JOIN gl USING (song_id, rn)),
+    e AS (SELECT song_id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS phrase, CAST(0 AS BIGINT) AS b, CAST(0 AS BIGINT) AS c, CAST(0 AS BIGINT) AS e FROM qq WHERE rn = 1
+      UNION ALL SELECT song_id, rn, phrase, b, c, coalesce(list_min(list_filter(gs, lambda x: x > b AND x < c)), c)
+      FROM (SELECT k.song_id, k.rn, k.phrase, k.gs, e.e AS b, least(k.t, e.e + greatest(k.n, k.ph)) AS c FROM e JOIN qq k ON k.song_id = e.song_id AND k.rn = e.rn + 1)),
+    held AS (SELECT g.song_id, g, max(rn) AS hold FROM g JOIN q ON q.song_id = g.song_id AND t - n <= g GROUP BY ALL),
+    met AS (SELECT h.song_id, g, hold, (SELECT min(e.rn) FROM e WHERE e.song_id = h.song_id AND e.rn > 0 AND e.e >= g) AS rn FROM held h),
+    gaps_ AS (SELECT m.song_id, CASE WHEN g = h.b THEN h.phrase ELSE e.phrase END AS phrase, CASE WHEN g = h.b OR g = e.c THEN 'ALREADY_ALIGNED' WHEN g < q.low THEN 'FAILED' ELSE 'REALIGNED' END AS kind, g AS boundary_index,
+        CASE WHEN g = h.b OR g = e.c THEN 0 WHEN g < q.low THEN q.low - g ELSE e.c - g END AS value
+      FROM met m JOIN e h ON h.song_id = m.song_id AND h.rn = hold LEFT JOIN e ON e.song_id = m.song_id AND e.rn = m.rn LEFT JOIN q ON q.song_id = m.song_id AND q.rn = m.rn WHERE m.rn IS NOT NULL OR g = h.b)"""
+
+
+def _realigned(t: Tables):
     phrases = t.captions().select(
         F.col("song").alias("song_id"), F.col("id").alias("phrase"), (F.col("blanks") % 5 + 1).alias("count"), (F.col("blanks") % 9 + 3).alias("phones")
     )
-    gaps = iv.adjacent_gaps(t.notes(), SONG, ["note_index"], 500_000, hot=t.hot_songs).where("boundary_index % 3 = 0")
-    return folds.realign_counts(phrases, gaps.select("song_id", "boundary_index"), t.hot("conversations", "conv_id", "song_id"))
+    gaps = iv.adjacent_gaps(t.notes(), SONG, ["note_index"], 500_000, hot=t.hot_songs)
+    hot = t.hot("conversations", "conv_id", "song_id")
+    return phrases, folds.realign_counts(phrases, gaps.select("song_id", "boundary_index"), hot), hot
+
+
+@query(f"""WITH RECURSIVE {REALIGN}
+    SELECT song_id, phrase, 'COUNT' AS kind, NULL AS boundary_index, e - b AS value FROM e WHERE rn > 0
+    UNION ALL SELECT song_id, phrase, kind, boundary_index, value FROM gaps_""")
+def realign_counts(t: Tables):
+    return _realigned(t)[1]
+
+
+@query(f"""WITH RECURSIVE {REALIGN},
+    l AS (SELECT song_id, boundary_index, value AS n, sum(value) OVER (PARTITION BY song_id ORDER BY boundary_index) AS upto FROM gaps_ WHERE kind = 'REALIGNED'),
+    r AS (SELECT *, sum(n) OVER (PARTITION BY song_id ORDER BY phrase) AS upto FROM (SELECT e.song_id, e.phrase, e.c - e.b - q.n AS n FROM e JOIN q USING (song_id, rn)) WHERE n > 0)
+    SELECT l.song_id, boundary_index, phrase, CAST(least(l.upto, r.upto) - greatest(l.upto - l.n, r.upto - r.n) AS BIGINT) AS taken
+    FROM l JOIN r ON r.song_id = l.song_id AND l.upto > r.upto - r.n AND r.upto > l.upto - l.n""")
+def realign_recipients(t: Tables):
+    phrases, moved, hot = _realigned(t)
+    return folds.realign_recipients(phrases, moved, hot)
 
 
 @query("""WITH l AS (SELECT conv_id, turn, list_filter(string_split_regex(trim(lower(text)), '\\s+'), lambda x: x <> '') AS w FROM conversations)

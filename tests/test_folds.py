@@ -1,5 +1,6 @@
 """Sequential rules against direct simulations, in one group and in chunks."""
 
+import itertools
 import random
 
 from tessitura.operators import folds
@@ -127,6 +128,55 @@ def test_realign_random(spark, tiny_tasks):
         assert run_realign(spark, phrases, gaps) == realigned(phrases, gaps)
 
 
+def received(phrases, gaps):
+    """Recipients of each gap, gap after gap."""
+    counts, log = [c for c, _ in phrases], []
+    for b in sorted(gaps):
+        ends = list(itertools.accumulate(counts))
+        src = next((i for i, e in enumerate(ends) if e - counts[i] < b < e), None)
+        if src is None:
+            continue
+        old, rest, takes = list(counts), ends[src] - b, []
+        counts[src] -= rest
+        for j in range(src + 1, len(counts)):
+            take = min(rest, max(0, phrases[j][1] - counts[j]))
+            if take:
+                takes.append((b, j, take))
+            counts[j] += take
+            rest -= take
+        if rest:
+            counts = old
+        else:
+            log += takes
+    return sorted(log)
+
+
+def test_realign_recipients(spark, tiny_tasks):
+    for seed in range(3):
+        rng = random.Random(40 + seed)
+        phrases = [(rng.randrange(1, 6), rng.randrange(1, 9)) for _ in range(30)]
+        gaps = rng.sample(range(1, sum(c for c, _ in phrases)), 12)
+        p = spark.createDataFrame([("s", i, c, k) for i, (c, k) in enumerate(phrases)], "song_id string, phrase long, count long, phones long")
+        g = spark.createDataFrame([("s", b) for b in gaps], "song_id string, boundary_index long")
+        got = folds.realign_recipients(p, folds.realign_counts(p, g)).collect()
+        assert sorted((r["boundary_index"], r["phrase"], r["taken"]) for r in got) == received(phrases, gaps)
+
+
+def test_realign_runs_a_chunk_at_most_twice(spark, caplog):
+    """Notes on the move find room within a few phrases, so no state crosses a whole chunk."""
+    rng = random.Random(9)
+    phrases = [(rng.randrange(1, 6), rng.randrange(4, 9)) for _ in range(400)]
+    gaps = rng.sample(range(1, sum(c for c, _ in phrases)), 150)
+    spark.conf.set("spark.tessitura.maxRowsPerTask", "60")
+    try:
+        with caplog.at_level("DEBUG", logger=folds.log.name):
+            assert run_realign(spark, phrases, gaps) == realigned(phrases, gaps)
+    finally:
+        spark.conf.unset("spark.tessitura.maxRowsPerTask")
+    runs = [r.args for r in caplog.records if r.name == folds.log.name]
+    assert runs[0][1] >= 8 and sum(n for n, _ in runs) <= 2 * runs[0][1]
+
+
 def frame(spark, rows, names):
     return spark.createDataFrame(rows, names)
 

@@ -9,7 +9,7 @@ from tessitura.plans.views import Tables
 
 FOLDER = "/root/testdata/sf0.001"
 # Rules without an SQL form; tests/test_folds.py and test_operators.py simulate them.
-NO_SQL = {"activity_segments", "boundary_repair", "boundary_repair_audit", "frame_pitch", "realign_counts"}
+NO_SQL = {"activity_segments", "boundary_repair", "boundary_repair_audit", "frame_pitch"}
 
 
 @pytest.fixture(scope="module")
