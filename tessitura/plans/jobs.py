@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import models
 from ..functions import scalar as fn
 from ..operators import consensus as cs
 from ..operators import evidence as ev
@@ -187,6 +188,18 @@ def pronunciation_candidates(lyrics: DataFrame, tokens: Column, allowed: Sequenc
     return rows.withColumn("dictionary_variant", fn.variant_hash(F.col("key"), F.col("phones")))
 
 
+def provided_candidates(lyrics: DataFrame, load, split, allowed: Sequence[str], overrides: DataFrame | None = None) -> DataFrame:
+    """Candidates with the raw tokens of a user's provider, asked once per distinct key.
+
+    A key the provider refuses or fails on has no tokens; ``provider_status`` and
+    ``provider_error`` say so, and an override still gives it phones.
+    """
+    key = F.trim(F.coalesce(F.nullif("surface", F.lit("")), F.col("reading")))
+    none = F.array().cast("array<string>")
+    asked = models.with_model(lyrics.withColumn("__key", key), "__key", load, split, "array<string>", none, "provider").drop("__key")
+    return pronunciation_candidates(asked, F.col("provider"), allowed, overrides).drop("provider")
+
+
 def lyric_readiness(songs: DataFrame, lyrics: DataFrame) -> DataFrame:
     """Per song: rows, blank readings, zero counts, READY or the reason it is not."""
     facts = lyrics.groupBy("song_id").agg(

@@ -9,6 +9,7 @@ from ..operators import issues as iss
 from ..operators import manifest as mf
 from ..operators import trees as tr
 from ..operators.scans import row_number, scan
+from ..sources import versions
 from ..sources.records import csv_records, csv_table
 from .registry import query
 from .views import Tables
@@ -221,6 +222,14 @@ def tree_diff(t: Tables):
     return tr.tree_diff(t.registered(), t.members())
 
 
+@query("""WITH b AS (SELECT path, list(sha256 ORDER BY sha256) AS l FROM registered GROUP BY path), n AS (SELECT path, list(sha256 ORDER BY sha256) AS l FROM members GROUP BY path)
+    SELECT coalesce(n.path, b.path) AS path, CASE WHEN b.path IS NULL THEN 'NEW' WHEN n.path IS NULL THEN 'GONE' WHEN n.l = b.l THEN 'SAME' ELSE 'CHANGED' END AS change FROM n FULL JOIN b ON n.path = b.path""")
+def publish_changes(t: Tables):
+    """What the next version has to build: keys whose inputs are new, changed or gone."""
+    now, before = (versions.fingerprints(rows.select("path", "sha256"), ["path"]) for rows in (t.members(), t.registered()))
+    return versions.changes(now, before, ["path"])
+
+
 @query("""WITH i AS (SELECT DISTINCT user_id AS job, event_type AS path, md5(CAST(event_id AS VARCHAR)) AS sha256 FROM events),
     b AS (SELECT job, substr(sha256(path), 1, 3) AS b, sha256(string_agg(sha256(path || chr(9) || sha256), chr(10) ORDER BY sha256(path || chr(9) || sha256))) AS h, count(*) AS n FROM i GROUP BY ALL),
     c AS (SELECT job, sha256(string_agg(b || ' ' || h, chr(10) ORDER BY b)) AS content, CAST(sum(n) AS BIGINT) AS n FROM b GROUP BY job)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
+from ..functions import models
 from ..functions import scalar as fn
 from ..operators import captions as cp
 from ..operators import evidence as ev
@@ -205,3 +207,24 @@ def f0_note_check(t: Tables):
     rows = t.notes().join(heard, ["song_id", "start_us"])
     gap = fn.octave_distance((F.col("heard") - F.col("pitch")).cast("double"))
     return rows.select("song_id", "note_index", F.round(gap, 6).alias("distance"), (gap <= 0.75).alias("matches"))
+
+
+def _vowel_weights():
+    return {"a": 0.5, "e": 0.25, "i": -0.25, "o": 0.125, "u": -0.5}
+
+
+def _vowel_mean(weights, texts):
+    """Mean weight of the vowels of each text; a text with a question mark is refused."""
+    found = [[weights[c] for c in x.lower() if c in weights] for x in texts]
+    return pd.Series([None if "?" in x or not v else sum(v) / len(v) for x, v in zip(texts, found)], dtype=object)
+
+
+@query("""WITH v AS (SELECT song, id, text, commas, len(regexp_replace(lower(text), '[^a]', '', 'g')) AS a, len(regexp_replace(lower(text), '[^e]', '', 'g')) AS e, len(regexp_replace(lower(text), '[^i]', '', 'g')) AS i,
+        len(regexp_replace(lower(text), '[^o]', '', 'g')) AS o, len(regexp_replace(lower(text), '[^u]', '', 'g')) AS u FROM captions),
+    w AS (SELECT *, contains(text, '?') OR a + e + i + o + u = 0 AS refused FROM v)
+    SELECT song, id, round(CASE WHEN refused THEN 0.1 * commas ELSE (0.5 * a + 0.25 * e - 0.25 * i + 0.125 * o - 0.5 * u) / (a + e + i + o + u) END, 6) AS score, CASE WHEN refused THEN 'RULE_REFUSED' ELSE 'MODEL' END AS score_status FROM w""")
+def model_scores(t: Tables):
+    """A user's scorer on distinct caption texts, with a rule where it refuses."""
+    rows = t.captions().select("song", "id", "text", "commas")
+    scored = models.with_model(rows, "text", _vowel_weights, _vowel_mean, "double", F.col("commas") * F.lit(0.1), "score")
+    return scored.select("song", "id", F.round("score", 6).alias("score"), "score_status")

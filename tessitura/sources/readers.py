@@ -7,6 +7,7 @@ file describes one recording. Only WAV and ZIP decoding needs Python, in Arrow b
 
 from __future__ import annotations
 
+import hashlib
 import io
 import wave
 import zipfile
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import clean_caption, clock_seconds, has_kana, integers, numbers, tokens
 from ..operators.scans import previous, row_number, scan
+from ..session import ensure_checkpoint_dir
 from .records import csv_records, csv_table
 
 BOM = "﻿"
@@ -250,6 +252,69 @@ def inventory(spark: SparkSession, path: str, suffixes: Sequence[str] | None = N
     return rows.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"), (F.col("length") == 0).alias("empty"))
 
 
+FAN_OUT = 1024
+
+
+def block_inventory(spark: SparkSession, path: str, block_bytes: int = 64 << 20, suffixes: Sequence[str] | None = None) -> DataFrame:
+    """``path, bytes, modified, blocks, digest, readable`` of files of any size below a folder.
+
+    A file is read by byte ranges, each by whichever task is free, 1 MB at a time, so no file
+    has to fit a cell or a task. A SHA-256 over all bytes cannot be put together from ranges:
+    ``digest`` is the root of a tree over the ranges' SHA-256 (hex texts of up to 1024 children
+    joined and hashed again until one is left; one range is its own root, an empty file the
+    digest of no bytes). It depends on ``block_bytes``. A file with a range that could not be
+    read keeps its row without a digest.
+    """
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+    if suffixes:
+        rows = rows.where(F.lower("path").rlike("(" + "|".join(x.lower().replace(".", r"\.") for x in suffixes) + ")$"))
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("bytes") / block_bytes)).cast("bigint")
+    files = rows.withColumn("blocks", blocks)
+    ranges = files.select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("at"))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            out = []
+            for p, size, at in zip(batch["path"], batch["bytes"], batch["at"]):
+                left, h = min(block_bytes, size - at * block_bytes), hashlib.sha256()
+                try:
+                    # The listing names local files "file:/a b", which is no escaped URI.
+                    system, name = (fs.LocalFileSystem(), "/" + p[5:].lstrip("/")) if p.startswith("file:") else fs.FileSystem.from_uri(p)
+                    with system.open_input_file(name) as f:
+                        f.seek(at * block_bytes)
+                        while left > 0:
+                            piece = f.read(min(left, 1 << 20))
+                            if not piece:
+                                raise OSError("file ends early")
+                            h.update(piece)
+                            left -= len(piece)
+                    out.append((p, at, h.hexdigest()))
+                except (OSError, ValueError):
+                    out.append((p, at, None))
+            yield pd.DataFrame(out, columns=["path", "at", "digest"])
+
+    # Ranges of one file go to different tasks; digests are few and small from here on.
+    level = ranges.repartition("path", "at").mapInPandas(read, "path string, at long, digest string")
+    ensure_checkpoint_dir(spark)
+    level = level.checkpoint()  # bytes are read once, whatever the height of the trees
+    most = files.agg(F.max("blocks")).first()[0] or 1
+    while most > 1:
+        joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "digest"))), lambda x: x["digest"]), "")
+        whole = F.count("digest") == F.count(F.lit(1))
+        single = F.col("blocks") <= 1
+        sized = level.join(files.select("path", "blocks"), "path") if "blocks" not in level.columns else level
+        up = sized.groupBy("path", F.expr(f"at div {FAN_OUT}").alias("up"), "blocks").agg(joined.alias("j"), whole.alias("ok"), F.min("digest").alias("one"))
+        level = up.select(
+            "path", F.col("up").alias("at"), F.ceil(F.col("blocks") / FAN_OUT).cast("bigint").alias("blocks"),
+            F.when(F.col("ok"), F.when(single, F.col("one")).otherwise(F.sha2("j", 256))).alias("digest"),
+        )
+        most = -(-most // FAN_OUT)
+    roots = level.select("path", "digest")
+    return files.join(roots, "path", "left").withColumn("readable", F.col("digest").isNotNull())
+
+
 def discover_inputs(files: DataFrame, kinds: dict[str, Sequence[str]], job: Column, name: Column) -> DataFrame:
     """Per job and input kind the file whose suffix comes first in the kind's list."""
     picks = []

@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.manifest import SPLITS
+from ..operators.manifest import SPLITS, ordered_union
 
 # Training lists take over the smoke splits.
 LIST_SPLITS = {
@@ -61,6 +61,16 @@ def path_lists(rows: DataFrame, path: Column | str = "audio_relpath") -> DataFra
     return rows.where((F.col("status") == "accepted") & F.col("split").isin(*SPLITS)).select(F.col("split").alias("list"), F.col(path).alias("path") if isinstance(path, str) else path.alias("path"))
 
 
+def write_mixed_list(lists: Sequence[DataFrame], path: str, value: str, position: str, parts: int | None = None, mode: str = "errorifexists") -> None:
+    """All lists in one, each value where it first appears; null and empty values are left out.
+
+    The order spans the files: range partitions are written as numbered parts, never by one task.
+    """
+    named = ordered_union([rows.where(F.col(value) != "") for rows in lists], value, position)
+    count = () if parts is None else (parts,)
+    named.repartitionByRange(*count, "first").sortWithinPartitions("first").select(F.col(value).alias("value")).write.mode(mode).text(path)
+
+
 def checksum_lines(members: DataFrame) -> DataFrame:
     """``sha256  path`` lines; write them with ``write_sorted``."""
     return members.select("path", F.concat_ws("  ", "sha256", "path").alias("value"))

@@ -213,3 +213,31 @@ def test_publish_is_write_once(spark, tmp_path):
         sk.publish({"t": df}, target, checks)
     failed = spark.createDataFrame([("A", 2, False)], "code string, failures long, passed boolean")
     assert sk.publish({"t": df}, str(tmp_path / "v2"), failed) == {"status": "BLOCKED", "failed": ["A"], "target": str(tmp_path / "v2")}
+
+
+def tree_digest(data, block):
+    level = [hashlib.sha256(data[i : i + block]).hexdigest() for i in range(0, max(1, len(data)), block)]
+    while len(level) > 1:
+        level = [hashlib.sha256("".join(level[i : i + 1024]).encode()).hexdigest() for i in range(0, len(level), 1024)]
+    return level[0]
+
+
+def test_block_inventory_reads_files_of_any_size_by_ranges(spark, tmp_path):
+    rng = random.Random(3)
+    files = {"empty.bin": 0, "one.bin": 99, "even.bin": 200, "sub/odd.WAV": 4_321, "deep.bin": 150_050}
+    (tmp_path / "sub").mkdir()
+    for name, size in files.items():
+        (tmp_path / name).write_bytes(rng.randbytes(size))
+    got = {r["path"].split(f"{tmp_path}/")[1]: r for r in rd.block_inventory(spark, str(tmp_path), block_bytes=100).collect()}
+    assert set(got) == set(files)
+    for name, size in files.items():
+        r = got[name]
+        assert (r["bytes"], r["blocks"], r["readable"]) == (size, max(1, -(-size // 100)), True)
+        assert r["digest"] == tree_digest((tmp_path / name).read_bytes(), 100), name
+    # One flipped byte in the middle of the largest file changes its digest alone.
+    data = bytearray((tmp_path / "deep.bin").read_bytes())
+    data[75_000] ^= 1
+    (tmp_path / "deep.bin").write_bytes(data)
+    again = {r["path"].split(f"{tmp_path}/")[1]: r["digest"] for r in rd.block_inventory(spark, str(tmp_path), block_bytes=100).collect()}
+    assert [n for n in files if again[n] != got[n]["digest"]] == ["deep.bin"]
+    assert [r["bytes"] for r in rd.block_inventory(spark, str(tmp_path), suffixes=[".wav"]).collect()] == [4_321]
