@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import literal_map, variant_hash
+from .scans import find_hot_keys, last_seen, next_seen, running_sum, scan
 
 
 def layered(entries: DataFrame) -> DataFrame:
@@ -157,50 +158,66 @@ PALATAL = ("ky", "my", "ny", "ry", "by", "py", "gy")
 LONG_VOWELS = {"a": "aː", "e": "eː", "i": "iː", "o": "oː", "ɨ": "ɨː"}
 
 
-def map_tokens(tokens: Column, allowed: Sequence[str], merge_long: bool = False) -> Column:
-    """Phones and review flags of a token array: struct(phones, review_flags, unknown)."""
-    skip = (*MARK_TOKENS, *PAUSE_TOKENS)
-
-    def following(i: Column) -> Column:
-        rest = F.slice(tokens, i + 2, F.greatest(F.size(tokens) - i - 1, F.lit(0)))
-        return F.coalesce(F.try_element_at(F.filter(rest, lambda t: ~t.isin(*skip)), F.lit(1)), F.lit(""))
-
-    def mapped(t: Column, i: Column) -> Column:
-        nxt = following(i)
-        blank = t.rlike(r"^\s+$") | t.isin(*PUNCTUATION)
-        soft = (nxt == "i") & t.isin(*BEFORE_I)
-        voiceless = F.when((t == "I"), F.lit("i̥" if "i̥" in allowed else "i")).when(t == "U", F.lit("ɨ̥" if "ɨ̥" in allowed else "ɨ"))
-        phone = F.when(blank | t.isin(*MARK_TOKENS), F.lit(None)).when(t.isin(*PAUSE_TOKENS), "SP")
-        phone = phone.when(t == "N", F.coalesce(F.try_element_at(literal_map(NASAL_NEXT), nxt), F.lit("ɴ")))
-        phone = phone.when(soft, F.try_element_at(literal_map(BEFORE_I), t))
-        phone = phone.otherwise(F.coalesce(voiceless, F.try_element_at(literal_map(PLAIN_TOKENS), t), t))
-        flag = F.when(blank, "punctuation").when(t.isin(*PALATAL), "contextual_palatalization").when(t.isin(*PAUSE_TOKENS), "pause")
-        flag = flag.when(t == "cl", "sokuon").when(t == "N", "nasal_context").when(soft, "contextual_mapping")
-        return F.struct(phone.alias("phone"), flag.alias("flag"))
-
-    pairs = F.transform(tokens, mapped)
-    phones = F.filter(F.transform(pairs, lambda p: p["phone"]), lambda p: p.isNotNull())
-    flags = F.array_distinct(F.filter(F.transform(pairs, lambda p: p["flag"]), lambda f: f.isNotNull()))
+def map_tokens(rows: DataFrame, tokens: str, allowed: Sequence[str], merge_long: bool = False, out: str = "m") -> DataFrame:
+    """Add ``out``: struct(phones, review_flags, unknown) of a column of token arrays.
+
+    Every distinct array is mapped once. What follows a token is a scan from its right end
+    and the place in a run of equal vowels a scan from its left end, so the work is linear in
+    the tokens and a long text is no burden. Null arrays give null, empty ones empty fields,
+    null tokens are passed over.
+    """
+    none = F.array().cast("array<string>")
+    keyed = rows.withColumn("__text", F.sha2(F.to_json(F.col(tokens)), 256))
+    once = keyed.where(F.size(tokens) > 0).select("__text", F.col(tokens).alias("__tokens")).dropDuplicates(["__text"])
+    parts = once.select("__text", F.posexplode("__tokens").alias("at", "t"))
+    key, order, t = ["__text"], ["at"], F.col("t")
+    hot = find_hot_keys(parts, key)
+    spoken = F.when(~t.isin(*MARK_TOKENS, *PAUSE_TOKENS), t)
+    seen = scan(parts, key, order, [next_seen("__next", spoken, inclusive=False)], hot)
+
+    nxt = F.coalesce("__next", F.lit(""))
+    blank = t.rlike(r"^\s+$") | t.isin(*PUNCTUATION)
+    soft = (nxt == "i") & t.isin(*BEFORE_I)
+    voiceless = F.when(t == "I", F.lit("i̥" if "i̥" in allowed else "i")).when(t == "U", F.lit("ɨ̥" if "ɨ̥" in allowed else "ɨ"))
+    phone = F.when(blank | t.isin(*MARK_TOKENS), F.lit(None)).when(t.isin(*PAUSE_TOKENS), "SP")
+    phone = phone.when(t == "N", F.coalesce(F.try_element_at(literal_map(NASAL_NEXT), nxt), F.lit("ɴ")))
+    phone = phone.when(soft, F.try_element_at(literal_map(BEFORE_I), t))
+    phone = phone.otherwise(F.coalesce(voiceless, F.try_element_at(literal_map(PLAIN_TOKENS), t), t))
+    flag = F.when(blank, "punctuation").when(t.isin(*PALATAL), "contextual_palatalization").when(t.isin(*PAUSE_TOKENS), "pause")
+    flag = flag.when(t == "cl", "sokuon").when(t == "N", "nasal_context").when(soft, "contextual_mapping")
+    mapped = seen.select("__text", "at", phone.alias("phone"), flag.alias("flag")).withColumn("joined", F.lit(False))
     if merge_long:
-        merged = merge_long_vowels(phones, [v for v in LONG_VOWELS.values() if v in allowed])
-        flags = F.when(F.size(merged) < F.size(phones), F.array_union(flags, F.array(F.lit("long_vowel")))).otherwise(flags)
-        phones = merged
-    unknown = F.array_distinct(F.filter(phones, lambda p: ~p.isin(*allowed))) if allowed else F.array().cast("array<string>")
-    return F.struct(phones.alias("phones"), flags.alias("review_flags"), unknown.alias("unknown"))
+        mapped = merge_long_vowels(mapped, key, "at", "phone", [v for v in LONG_VOWELS.values() if v in allowed], hot)
 
+    found = mapped.groupBy("__text").agg(F.array_sort(F.collect_list(F.struct("at", "phone", "flag"))).alias("l"), F.bool_or("joined").alias("joined"))
+    phones = F.filter(F.transform("l", lambda x: x["phone"]), lambda p: p.isNotNull())
+    flags = F.array_distinct(F.filter(F.transform("l", lambda x: x["flag"]), lambda f: f.isNotNull()))
+    flags = F.when(F.col("joined"), F.array_union(flags, F.array(F.lit("long_vowel")))).otherwise(flags)
+    unknown = F.array_distinct(F.filter(phones, lambda p: ~p.isin(*allowed))) if allowed else none
+    answers = found.select(F.col("__text").alias("__key"), F.struct(phones.alias("phones"), flags.alias("review_flags"), unknown.alias("unknown")).alias("__mapped"))
+    empty = F.when(F.size(tokens) == 0, F.struct(none.alias("phones"), none.alias("review_flags"), none.alias("unknown")))
+    joined = keyed.join(answers, F.col("__text") == F.col("__key"), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in rows.columns], F.coalesce("__mapped", empty).alias(out))
 
-def merge_long_vowels(phones: Column, long_forms: Sequence[str]) -> Column:
-    """Two equal vowels in a row become the long form, pairs taken from the left."""
-    long_of = {k: v for k, v in LONG_VOWELS.items() if v in long_forms}
-    if not long_of:
-        return phones
-    table = literal_map(long_of)
-    start = F.array().cast("array<string>")
 
-    def add(done: Column, p: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        pair = (last == p) & F.coalesce(p.isin(*long_of), F.lit(False))
-        grown = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.try_element_at(table, p)))
-        return F.when(pair, grown).otherwise(F.concat(done, F.array(p)))
+def merge_long_vowels(rows: DataFrame, keys: Sequence[str], at: str, phone: str, long_forms: Sequence[str], hot=None) -> DataFrame:
+    """Two equal vowels in a row become the long form, pairs taken from the left.
 
-    return F.aggregate(phones, start, add)
+    ``phone`` holds the long form at the first of a pair and null at the second, where
+    ``joined`` is true. Rows without a phone do not part two equal ones.
+    """
+    long_of = {k: v for k, v in LONG_VOWELS.items() if v in long_forms}
+    if not long_of:
+        return rows
+    p = F.col(phone)
+    begins = F.when(p.isNotNull() & ~p.eqNullSafe(F.col("__before")), F.col("__n"))
+    placed = scan(
+        rows, keys, [at],
+        [last_seen("__before", p, inclusive=False), next_seen("__after", p, inclusive=False), running_sum("__n", F.when(p.isNotNull(), 1).otherwise(0))],
+        hot, [last_seen("__run", begins)],
+    )
+    vowel = F.coalesce(p.isin(*long_of), F.lit(False))
+    second = vowel & ((F.col("__n") - F.col("__run")) % 2 == 1)
+    first = vowel & ~second & p.eqNullSafe(F.col("__after"))
+    merged = F.when(second, F.lit(None)).when(first, F.try_element_at(literal_map(long_of), p)).otherwise(p)
+    return placed.select(*[c for c in rows.columns if c not in (phone, "joined")], merged.alias(phone), second.alias("joined"))

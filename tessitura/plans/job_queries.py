@@ -117,7 +117,7 @@ TOKENS = """ch AS (SELECT p_partkey AS id, unnest(string_split(p_name, '')) AS c
 @query(f"""WITH {TOKENS} SELECT id, string_agg(p, ' ' ORDER BY i) AS phones, max(sp) = 1 AS punctuation, max(cx) = 1 AS contextual, CAST(count(DISTINCT CASE WHEN p IN ('b', 'l', 'd', 't') THEN p END) AS BIGINT) AS unknown FROM mp GROUP BY id""")
 def token_mapping(t: Tables):
     allowed = ["a", "e", "i", "o", "ɨ", "c", "ɕ", "ʑ", "ɲ", "ɾʲ", "ɡ", "ɾ", "ɸ", "dʑ", "j", "k", "s", "z", "n", "m", "w", "h", "p", "v", "q", "x"]
-    rows = t.read("part").select(F.col("p_partkey").alias("id"), cs.map_tokens(F.split("p_name", ""), allowed).alias("m"))
+    rows = cs.map_tokens(t.read("part").select(F.col("p_partkey").alias("id"), F.split("p_name", "").alias("tokens")), "tokens", allowed)
     return rows.select(
         "id", F.array_join("m.phones", " ").alias("phones"), F.array_contains("m.review_flags", "punctuation").alias("punctuation"),
         F.array_contains("m.review_flags", "contextual_mapping").alias("contextual"), F.size("m.unknown").cast("bigint").alias("unknown"),

@@ -174,7 +174,7 @@ def pronunciation_candidates(lyrics: DataFrame, tokens: Column, allowed: Sequenc
     """
     key = F.trim(F.coalesce(F.nullif("surface", F.lit("")), F.col("reading")))
     rows = lyrics.withColumns({"key": key, "raw_tokens": tokens, "latin_text": fn.has_latin(key)})
-    rows = rows.withColumn("m", cs.map_tokens(F.col("raw_tokens"), allowed, True))
+    rows = cs.map_tokens(rows, "raw_tokens", allowed, True)
     phones = F.filter("m.phones", lambda p: p != "SP")
     flags = F.when(F.col("latin_text"), F.array_union("m.review_flags", F.array(F.lit("latin_text")))).otherwise(F.col("m.review_flags"))
     rows = rows.withColumns({"phones": phones, "review_flags": flags, "unknown": F.filter("m.unknown", lambda p: p != "SP")}).drop("m")

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import hashlib
 import io
+import re
 import wave
 import zipfile
 from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -244,12 +246,26 @@ def parse_score_items(items: DataFrame) -> DataFrame:
 # -- files ----------------------------------------------------------------------------
 
 
-def inventory(spark: SparkSession, path: str, suffixes: Sequence[str] | None = None) -> DataFrame:
-    """``path, bytes, modified, sha256, empty`` of all files below a folder."""
+def _listed(spark: SparkSession, path: str, suffixes: Sequence[str] | None) -> tuple[DataFrame, DataFrame]:
+    """Files below a folder as the file source lists them, and the paths of the empty ones.
+
+    The source plans no task for an empty file, so those are the names its index holds
+    beyond the files it reads; their time is not known there. Hidden names are left out.
+    """
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    names = [(re.sub("^file:/+", "file:/", unquote(n)),) for n in rows.inputFiles()]
+    every = spark.createDataFrame(names, "path string")
     if suffixes:
-        rows = rows.where(F.lower("path").rlike("(" + "|".join(s.lower().replace(".", r"\.") for s in suffixes) + ")$"))
-    return rows.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"), (F.col("length") == 0).alias("empty"))
+        wanted = F.lower("path").rlike("(" + "|".join(x.lower().replace(".", r"\.") for x in suffixes) + ")$")
+        rows, every = rows.where(wanted), every.where(wanted)
+    return rows, every.join(rows.select("path"), "path", "left_anti")
+
+
+def inventory(spark: SparkSession, path: str, suffixes: Sequence[str] | None = None) -> DataFrame:
+    """``path, bytes, modified, sha256, empty`` of all files below a folder, each up to 2 GB."""
+    rows, empty = _listed(spark, path, suffixes)
+    read = rows.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"), F.lit(False).alias("empty"))
+    return read.unionByName(empty.select("path", F.lit(0).cast("bigint").alias("bytes"), F.lit(None).cast("timestamp").alias("modified"), F.sha2(F.lit(b""), 256).alias("sha256"), F.lit(True).alias("empty")))
 
 
 FAN_OUT = 1024
@@ -265,9 +281,10 @@ def block_inventory(spark: SparkSession, path: str, block_bytes: int = 64 << 20,
     digest of no bytes). It depends on ``block_bytes``. A file with a range that could not be
     read keeps its row without a digest.
     """
-    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
-    if suffixes:
-        rows = rows.where(F.lower("path").rlike("(" + "|".join(x.lower().replace(".", r"\.") for x in suffixes) + ")$"))
+    rows, empty = _listed(spark, path, suffixes)
+    rows = rows.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")).unionByName(
+        empty.select("path", F.lit(0).cast("bigint").alias("bytes"), F.lit(None).cast("timestamp").alias("modified"))
+    )
     blocks = F.greatest(F.lit(1), F.ceil(F.col("bytes") / block_bytes)).cast("bigint")
     files = rows.withColumn("blocks", blocks)
     ranges = files.select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("at"))

@@ -1,6 +1,7 @@
 """Literal cases for operators, contracts and jobs."""
 
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -194,13 +195,50 @@ def test_vote_fixture(spark):
 
 def test_token_mapping_context(spark):
     allowed = ["a", "i", "k", "c", "m", "ŋ", "ɴ", "aː", "SP"]
-    df = spark.createDataFrame([(["k", "i", "N", "pau", "k", "a", "a", "a"],), (["N", "m"],), (["N"],)], "t array<string>")
-    got = [r[0] for r in df.select(cs.map_tokens(F.col("t"), allowed, True)).collect()]
+    df = spark.createDataFrame([(0, ["k", "i", "N", "pau", "k", "a", "a", "a"]), (1, ["N", "m"]), (2, ["N"])], "id long, t array<string>")
+    got = [r["m"] for r in sorted(cs.map_tokens(df, "t", allowed, True).collect())]
     assert got[0]["phones"] == ["c", "i", "ŋ", "SP", "k", "aː", "a"]
     assert got[0]["review_flags"] == ["contextual_mapping", "nasal_context", "pause", "long_vowel"]
     assert got[1]["phones"] == ["m", "m"] and got[2]["phones"] == ["ɴ"]
 
 
+def mapped_tokens(tokens, allowed):
+    """Phones and joined pairs, token after token."""
+    skip, out = (*cs.MARK_TOKENS, *cs.PAUSE_TOKENS), []
+    for i, t in enumerate(tokens):
+        nxt = next((x for x in tokens[i + 1 :] if x is not None and x not in skip), "")
+        if t is None or t in cs.MARK_TOKENS or t in cs.PUNCTUATION or not t.strip():
+            continue
+        if t in cs.PAUSE_TOKENS:
+            p = "SP"
+        elif t == "N":
+            p = cs.NASAL_NEXT.get(nxt, "ɴ")
+        elif nxt == "i" and t in cs.BEFORE_I:
+            p = cs.BEFORE_I[t]
+        else:
+            p = cs.PLAIN_TOKENS.get(t, t)
+        if out and out[-1] == p and cs.LONG_VOWELS.get(p) in allowed:
+            out[-1] = cs.LONG_VOWELS[p]
+        else:
+            out.append(p)
+    return out
+
+
+def test_token_mapping_random(spark, tiny_tasks):
+    rng = random.Random(11)
+    allowed = ["a", "aː", "i", "iː", "ɨ", "k", "c", "SP"]
+    texts = [[rng.choice(["a", "a", "a", "i", "i", "u", "k", "n", "N", "pau", "[", "!", "(", "ky", " ", None]) for _ in range(rng.randrange(0, 40))] for _ in range(30)]
+    texts += [["a"] * 3001, [], texts[0], texts[0], ["(", " "], None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t array<string>")
+    got = {r["id"]: r["m"] for r in cs.map_tokens(df, "t", allowed, True).collect()}
+    assert len(got) == len(texts) and got[len(texts) - 1] is None
+    for i, t in enumerate(texts[:-1]):
+        want = mapped_tokens(t, allowed)
+        assert got[i]["phones"] == want, t
+        assert got[i]["unknown"] == list(dict.fromkeys(p for p in want if p not in allowed))
+        assert ("long_vowel" in got[i]["review_flags"]) == any(p in ("aː", "iː") for p in want)
+
+
 def test_label_filter(spark):
     df = spark.createDataFrame([(["", "k", "a", "", "i"], ["k", "a", "i"]), (["k", "", "a"], ["k", "sil", "a"])], "l array<string>, e array<string>")
     assert [r[0] for r in df.select(folds.filter_labels(F.col("l"), F.col("e"), ["sil"])).collect()] == [["k", "a", "i"], ["k", "sil", "a"]]

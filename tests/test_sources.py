@@ -1,4 +1,6 @@
+import hashlib
 import json
+import random
 import struct
 import wave
 import zipfile
@@ -234,6 +236,9 @@ def test_block_inventory_reads_files_of_any_size_by_ranges(spark, tmp_path):
         r = got[name]
         assert (r["bytes"], r["blocks"], r["readable"]) == (size, max(1, -(-size // 100)), True)
         assert r["digest"] == tree_digest((tmp_path / name).read_bytes(), 100), name
+    plain = {r["path"].split(f"{tmp_path}/")[1]: r for r in rd.inventory(spark, str(tmp_path)).collect()}
+    assert {n: (r["bytes"], r["empty"]) for n, r in plain.items()} == {n: (size, size == 0) for n, size in files.items()}
+    assert plain["empty.bin"]["sha256"] == hashlib.sha256(b"").hexdigest()
     # One flipped byte in the middle of the largest file changes its digest alone.
     data = bytearray((tmp_path / "deep.bin").read_bytes())
     data[75_000] ^= 1
