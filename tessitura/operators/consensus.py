@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import literal_map, variant_hash
+from ..functions.scalar import canonical_phones, literal_map, variant_hash
 from .scans import find_hot_keys, last_seen, next_seen, running_sum, scan
 
 
@@ -112,6 +112,19 @@ def vote(variants: DataFrame, keys: Sequence[str], value: str, voter: str, quoru
     )
 
 
+def vote_phones(variants: DataFrame, keys: Sequence[str], phones: str, voter: str, quorum: int = 2) -> DataFrame:
+    """Vote on canonical phones, so that spellings of one phone do not part the voters.
+
+    A variant that is null or has no phone left casts no vote; a key without votes is
+    UNRESOLVED with quorum 0. Phones of the result are joined by blanks.
+    """
+    said = variants.select(*keys, voter, F.array_join(canonical_phones(F.col(phones)), " ").alias("__said"))
+    counted = vote(said.where(F.col("__said") != ""), keys, "__said", voter, quorum)
+    # Null keys are keys too: every key gets a row, those with votes take theirs.
+    silent = said.groupBy(*keys).agg(F.count_if(F.col("__said") != "").alias("__votes")).where("__votes = 0")
+    return counted.unionByName(silent.select(*keys, F.lit(0).cast("bigint").alias("quorum"), F.lit("UNRESOLVED").alias("status"), F.lit("").alias("phones")))
+
+
 def locks(occurrences: DataFrame, crosscheck: DataFrame, consensus: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Lock or exclude every occurrence: consensus first, then the two-way result.
 

@@ -122,7 +122,8 @@ def phone_alignment_issues(labels: Column, expected: Column, starts: Column, end
 def phrase_timing(notes: DataFrame, phones: DataFrame, keys: Sequence[str], eps=0, hot=None) -> DataFrame:
     """Phone total against note total and score span per phrase, with inner gaps and overlaps.
 
-    ``notes``: keys, note_index, start_us, end_us. ``phones``: keys, ph_total.
+    ``notes``: keys, note_index, start_us, end_us. ``phones``: keys, ph_total. A phrase that
+    only one side knows stays, with totals of 0 for the other and no score borders without notes.
     """
     keys = list(keys)
     gap = F.col("start_us") - F.col("__left")
@@ -134,7 +135,8 @@ def phrase_timing(notes: DataFrame, phones: DataFrame, keys: Sequence[str], eps=
         F.count_if(gap > eps).alias("gaps"), F.count_if(gap < -eps).alias("overlaps"),
         F.coalesce(F.max(F.when(gap > eps, gap)), F.lit(0)).cast("bigint").alias("max_gap"),
     )
-    rows = sums.join(phones, keys).withColumn("score_span", F.col("score_end") - F.col("score_start"))
+    rows = sums.join(phones, keys, "full").fillna(0, ["note_count", "note_total", "gaps", "overlaps", "max_gap", "ph_total"])
+    rows = rows.withColumn("score_span", F.coalesce(F.col("score_end") - F.col("score_start"), F.lit(0).cast("bigint")))
     off = (F.abs(F.col("ph_total") - F.col("note_total")) > eps) | (F.abs(F.col("ph_total") - F.col("score_span")) > eps) | (F.col("overlaps") > 0)
     return rows.withColumns(
         {
@@ -147,6 +149,21 @@ def phrase_timing(notes: DataFrame, phones: DataFrame, keys: Sequence[str], eps=
     )
 
 
+def index_issues(phrases: DataFrame, claims: DataFrame, notes: DataFrame, song: str = "song_id", phrase: str = "phrase") -> DataFrame:
+    """Phrases that name no source note, and named indices the song does not have.
+
+    ``claims``: song, phrase, note_index. Indices of a song run from 0; a song without notes
+    has none. One row per phrase (MISSING, index null) or per phrase and index (INVALID).
+    """
+    size = notes.groupBy(song).agg(F.count(F.lit(1)).alias("__size"))
+    named = claims.where(F.col("note_index").isNotNull()).select(song, phrase, "note_index")
+    none = phrases.select(song, phrase).distinct().join(named, [song, phrase], "left_anti").select(
+        song, phrase, F.lit(None).cast("bigint").alias("note_index"), F.lit("TIMING_SOURCE_NOTE_INDEX_MISSING").alias("type")
+    )
+    wild = named.join(size, song, "left").where((F.col("note_index") < 0) | (F.col("note_index") >= F.coalesce("__size", F.lit(0))))
+    return none.unionByName(wild.select(song, phrase, "note_index", F.lit("TIMING_SOURCE_NOTE_INDEX_INVALID").alias("type")).distinct())
+
+
 def index_usage(assigned: DataFrame, notes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Notes assigned more than once or not at all."""
     used = assigned.groupBy(*keys, "note_index").count()

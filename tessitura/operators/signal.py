@@ -104,6 +104,21 @@ def boundary_chunks(boundaries: DataFrame, chunks: DataFrame) -> DataFrame:
     return boundaries.join(ends, ["left", "frame"], "left").join(starts, ["right", "frame"], "left")
 
 
+def boundary_jumps(boundaries: DataFrame, samples: DataFrame, keys, boundary: str, index: str, value: str) -> DataFrame:
+    """Add ``jump``: distance of the two samples that meet at each boundary, 0 at or beyond the ends.
+
+    Only the two samples of each boundary are looked up, by equality.
+    """
+    keys = list(keys)
+    spots = boundaries.select(*keys, boundary).distinct()
+    sides = spots.select(*keys, boundary, F.explode(F.array(F.col(boundary) - 1, F.col(boundary))).alias(index))
+    met = sides.join(samples.select(*keys, index, value), [*keys, index])
+    # Both sides are needed: at an end one of them is missing.
+    sized = met.groupBy(*keys, boundary).agg((F.max(value) - F.min(value)).alias("__jump"), F.count(value).alias("__sides"))
+    jump = F.when(F.col("__sides") == 2, F.col("__jump")).otherwise(F.lit(0.0))
+    return boundaries.join(sized, [*keys, boundary], "left").select(*boundaries.columns, jump.alias("jump"))
+
+
 def crossfade(left: DataFrame, right: DataFrame, keys, index: str, value: str, length: int) -> DataFrame:
     """Linear fade from ``left`` to ``right`` over an overlap of ``length`` aligned samples."""
     r = right.select(*keys, index, F.col(value).alias("__r"))

@@ -55,6 +55,20 @@ def array_slices(t: Tables):
     return rows.select("frame", F.col("p.c").alias("c"), F.round(total, 6).alias("total"), F.col("p.size").alias("size"))
 
 
+CLAIMS = """cl AS (SELECT song AS song_id, id AS phrase, blanks % 40 AS n, CAST(sum(blanks % 40) OVER (PARTITION BY song ORDER BY id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS t FROM captions)"""
+
+
+@query(f"""WITH {CLAIMS}, sz AS (SELECT song_id, count(*) AS size FROM notes GROUP BY song_id)
+    SELECT song_id, phrase, NULL AS note_index, 'TIMING_SOURCE_NOTE_INDEX_MISSING' AS type FROM cl WHERE n = 0
+    UNION ALL SELECT c.song_id, phrase, i, 'TIMING_SOURCE_NOTE_INDEX_INVALID' FROM (SELECT *, unnest(generate_series(t - n, t - 1)) AS i FROM cl WHERE n > 0) c LEFT JOIN sz ON sz.song_id = c.song_id WHERE i >= coalesce(size, 0)""")
+def timing_index_issues(t: Tables):
+    """Captions claim consecutive notes, one per blank; later ones run past the notes of their song."""
+    phrases = t.captions().select(F.col("song").alias("song_id"), F.col("id").alias("phrase"), (F.col("blanks") % 40).alias("n"))
+    cut = mf.slices(phrases, SONG, ["phrase"], "n", t.hot("conversations", "conv_id", "song_id"))
+    claims = cut.where("n > 0").select("song_id", "phrase", F.explode(F.sequence("slice_from", F.col("slice_to") - 1)).alias("note_index"))
+    return sq.index_issues(phrases, claims, t.notes())
+
+
 # -- phrase timing ------------------------------------------------------------------
 
 ASSIGN = """phr AS (SELECT song AS song_id, id AS phrase, blanks % 5 + 1 AS note_count FROM captions),
@@ -245,6 +259,18 @@ def three_way_vote(t: Tables):
     return cs.vote(t.variants(), ["conv_id", "turn"], "line", "backend")
 
 
+@query("""WITH w AS (SELECT conv_id, turn, backend, list_transform(list_filter(string_split_regex(trim(line), '\\s+'), lambda x: x <> ''), lambda x: CASE WHEN x = 'le' THEN 'SP' ELSE x END) AS p FROM variants),
+    v AS (SELECT conv_id, turn, array_to_string(p, ' ') AS line, count(*) AS quorum, min(backend) AS f FROM w WHERE len(p) > 0 GROUP BY ALL)
+    SELECT conv_id, turn, quorum, CASE WHEN quorum >= 2 THEN 'LOCKED' ELSE 'UNRESOLVED' END AS status, CASE WHEN quorum >= 2 THEN line ELSE '' END AS phones
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY quorum DESC, f) AS rn FROM v) WHERE rn = 1
+    UNION ALL SELECT conv_id, turn, 0, 'UNRESOLVED', '' FROM w GROUP BY conv_id, turn HAVING max(len(p)) = 0""")
+def canonical_vote(t: Tables):
+    """The three voters write the word "le" as three spellings of a pause."""
+    spelled = F.when(F.col("backend") == "a", "sp").when(F.col("backend") == "b", "sil").otherwise("SP")
+    phones = F.transform(fn.tokens(F.col("line")), lambda w: F.when(w == "le", spelled).otherwise(w))
+    return cs.vote_phones(t.variants().withColumn("p", phones), ["conv_id", "turn"], "p", "backend")
+
+
 CROSS = """cx AS (SELECT conv_id, turn, p, s, substr(sha256(role || chr(9) || array_to_string(p, ' ')), 1, 16) AS primary_variant, substr(sha256(role || chr(9) || array_to_string(s, ' ')), 1, 16) AS secondary_variant,
       CASE WHEN turn = 3 THEN 'auto_locked_override' WHEN p = s AND NOT list_contains(p, 'le') THEN 'auto_locked' ELSE 'pending' END AS crosscheck
     FROM (SELECT *, list_filter(string_split_regex(trim(lower(text)), '\\s+'), lambda x: x <> '') AS p, list_filter(string_split_regex(trim(regexp_replace(lower(text), '[.,]', '', 'g')), '\\s+'), lambda x: x <> '') AS s FROM conversations))"""

@@ -185,6 +185,16 @@ def continuous_boundaries(t: Tables):
     return ahead.where(F.col("end_ms") == F.col("nx.start_ms")).select("song", F.col("id").alias("left_id"), F.col("nx.id").alias("right_id"), F.col("end_ms").alias("boundary_ms"))
 
 
+@query("""SELECT song_id, frame, CAST(n AS BIGINT) AS boundary, round(coalesce(abs(x - px), 0), 6) AS jump FROM (SELECT *, row_number() OVER w - 1 AS n, lag(x) OVER w AS px FROM frame_values WINDOW w AS (PARTITION BY song_id ORDER BY frame, idx)) WHERE idx = 0""")
+def boundary_jumps(t: Tables):
+    """Jump of the signal where frames of one song meet."""
+    values = t.frame_values().select("song_id", "frame", "idx", "x")
+    placed = scan(values, SONG, ["frame", "idx"], [row_number("n")], find_hot_keys(values, SONG)).withColumn("n", F.col("n") - 1)
+    meets = placed.where("idx = 0").select("song_id", "frame", F.col("n").alias("boundary"))
+    out = sg.boundary_jumps(meets, placed.select("song_id", "n", F.col("x").cast("double").alias("x")), SONG, "boundary", "n", "x")
+    return out.withColumn("jump", F.round("jump", 6))
+
+
 @query("SELECT a.frame, a.idx, round(a.x * (1 - a.idx / 63) + b.x * (a.idx / 63), 6) AS mixed FROM frame_values a JOIN frame_values b ON b.frame = a.frame + 1 AND b.idx = a.idx")
 def crossfade(t: Tables):
     v = t.frame_values().select("frame", "idx", "x")

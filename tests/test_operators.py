@@ -202,6 +202,35 @@ def test_token_mapping_context(spark):
     assert got[1]["phones"] == ["m", "m"] and got[2]["phones"] == ["ɴ"]
 
 
+def test_canonical_vote(spark):
+    said = [("p", "a", ["i:", " ", "sil"]), ("p", "b", ["i", "SP"]), ("p", "c", ["a"]), ("q", "a", ["a"]), ("q", "b", ["i"]), ("q", "c", None), ("r", "a", [" "]), ("r", "b", []), (None, "a", ["o:"]), (None, "b", ["o"])]
+    df = spark.createDataFrame(said, "phrase string, backend string, phones array<string>")
+    got = {r["phrase"]: (r["quorum"], r["status"], r["phones"]) for r in cs.vote_phones(df, ["phrase"], "phones", "backend").collect()}
+    assert got == {"p": (2, "LOCKED", "i SP"), "q": (1, "UNRESOLVED", ""), "r": (0, "UNRESOLVED", ""), None: (2, "LOCKED", "o")}
+
+
+def test_index_issues_and_lone_phrases(spark):
+    phrases = spark.createDataFrame([("s", 0), ("s", 1), ("s", 2), ("t", 0)], "song_id string, phrase long")
+    claims = spark.createDataFrame([("s", 0, 0), ("s", 0, 1), ("s", 1, -1), ("s", 1, 2), ("s", 1, 2), ("t", 0, 0)], "song_id string, phrase long, note_index long")
+    notes = spark.createDataFrame([("s", 0, 0, 10), ("s", 1, 10, 30)], "song_id string, note_index long, start_us long, end_us long")
+    assert rows(sq.index_issues(phrases, claims, notes), "type", "song_id", "phrase", "note_index") == [
+        ("TIMING_SOURCE_NOTE_INDEX_INVALID", "s", 1, -1), ("TIMING_SOURCE_NOTE_INDEX_INVALID", "s", 1, 2), ("TIMING_SOURCE_NOTE_INDEX_INVALID", "t", 0, 0), ("TIMING_SOURCE_NOTE_INDEX_MISSING", "s", 2, None)
+    ]
+    sung = notes.withColumn("phrase", F.lit(0).cast("bigint"))
+    totals = spark.createDataFrame([("s", 0, 30), ("s", 2, 7)], "song_id string, phrase long, ph_total long")
+    more = sung.unionByName(spark.createDataFrame([("s", 5, 40, 50, 3)], "song_id string, note_index long, start_us long, end_us long, phrase long"))
+    got = sq.phrase_timing(more, totals, ["song_id", "phrase"])
+    assert rows(got, "phrase", "note_count", "note_total", "ph_total", "score_span", "mismatch") == [(0, 2, 30, 30, 30, False), (2, 0, 0, 7, 0, True), (3, 1, 10, 0, 10, True)]
+
+
+def test_boundary_jumps(spark):
+    x = spark.createDataFrame([("s", i, v) for i, v in enumerate([0.0, 1.0, 0.25, 0.25, None])], "song string, n long, x double")
+    b = spark.createDataFrame([("s", k) for k in (0, 1, 2, 2, 3, 4, 5, 9)] + [("t", 1)], "song string, at long")
+    assert rows(sg.boundary_jumps(b, x, ["song"], "at", "n", "x"), "song", "at", "jump") == [
+        ("s", 0, 0.0), ("s", 1, 1.0), ("s", 2, 0.75), ("s", 2, 0.75), ("s", 3, 0.0), ("s", 4, 0.0), ("s", 5, 0.0), ("s", 9, 0.0), ("t", 1, 0.0)
+    ]
+
+
 def mapped_tokens(tokens, allowed):
     """Phones and joined pairs, token after token."""
     skip, out = (*cs.MARK_TOKENS, *cs.PAUSE_TOKENS), []
