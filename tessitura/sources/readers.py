@@ -76,24 +76,34 @@ def keyed_table(rows: DataFrame, key: str, fallback: str | None = None):
     return good, good.groupBy(key).count().where("count > 1")
 
 
-def read_lyrics_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """``file, line, phrase_id, surface, reading, note_count``; ids default to p001, p002, ..."""
-    rows = numbered_lines(spark, path)
+def text_lines(docs: DataFrame, file: str, text: str) -> DataFrame:
+    """``file, line, value`` of texts in a column, for the line parsers below; null texts have no lines."""
+    body = F.regexp_replace(_unmark(F.col(text)), "\r\n?", "\n")
+    return docs.select(F.col(file).alias("file"), F.posexplode(F.split(body, "\n")).alias("at", "value")).select("file", (F.col("at") + 1).alias("line"), "value")
+
+
+def parse_lyrics_tsv(rows: DataFrame, hot=None) -> DataFrame:
+    """``file, line, phrase_id, surface, reading, note_count`` of numbered lines; the first of a file
+    names the columns, ids default to p001, p002, ... by the row's place."""
     cells = rows.withColumn("cells", F.split("value", "\t"))
     heads = cells.where("line = 1").select(F.col("file").alias("h_file"), F.col("cells").alias("head"))
     body = cells.where("line > 1 and trim(value) <> ''").join(heads, F.col("file") == F.col("h_file"))
     cell = lambda name: F.trim(F.coalesce(F.try_element_at("cells", F.array_position(F.transform("head", lambda h: F.trim(h)), name).cast("int")), F.lit("")))
     safe = lambda name: F.when(F.array_contains(F.transform("head", lambda h: F.trim(h)), name), cell(name)).otherwise("")
-    ranked = scan(body.select("file", "line", *[safe(c).alias(c) for c in ("phrase_id", "surface", "reading", "note_count")]), ["file"], ["line"], [row_number("n")])
+    ranked = scan(body.select("file", "line", *[safe(c).alias(c) for c in ("phrase_id", "surface", "reading", "note_count")]), ["file"], ["line"], [row_number("n")], hot)
     return ranked.select(
         "file", "line", F.coalesce(F.nullif("phrase_id", F.lit("")), F.format_string("p%03d", "n")).alias("phrase_id"), "surface", "reading",
         F.coalesce(F.col("note_count").try_cast("double").cast("bigint"), F.lit(0)).alias("note_count"),
     )
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: str):
+def read_lyrics_tsv(spark: SparkSession, path: str) -> DataFrame:
+    return parse_lyrics_tsv(numbered_lines(spark, path))
+
+
+def parse_jsonl(lines: DataFrame, schema: str):
     """Strict JSON Lines. Returns (rows with file and line, bad lines with file, line and reason)."""
-    rows = numbered_lines(spark, path).where("trim(value) <> ''")
+    rows = lines.where("trim(value) <> ''")
     parsed = rows.withColumn("v", F.try_parse_json("value"))
     is_object = F.schema_of_variant("v").startswith("OBJECT")
     reason = F.when(F.col("v").isNull(), "INVALID_JSON").when(~is_object, "NOT_AN_OBJECT")
@@ -102,9 +112,16 @@ def read_jsonl(spark: SparkSession, path: str, schema: str):
     return good, parsed.where("reason is not null").select("file", "line", "reason")
 
 
-def read_json_items(spark: SparkSession, path: str, item_schema: str, wrappers: Sequence[str] = ("items", "phones", "f0")) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, schema: str):
+    return parse_jsonl(numbered_lines(spark, path), schema)
+
+
+def _whole_texts(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), _unmark(F.col("value")).alias("value"))
+
+
+def parse_json_items(docs: DataFrame, item_schema: str, wrappers: Sequence[str] = ("items", "phones", "f0")) -> DataFrame:
     """Array documents, or objects that wrap the array; one row per element with its position."""
-    docs = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), _unmark(F.col("value")).alias("value"))
     array = f"array<{item_schema}>"
     wrapped = [F.get_json_object("value", f"$.{w}") for w in wrappers]
     is_array = F.ltrim("value").startswith("[")
@@ -112,16 +129,23 @@ def read_json_items(spark: SparkSession, path: str, item_schema: str, wrappers:
     return docs.select("file", F.posexplode(F.from_json(text, array)).alias("pos", "item"))
 
 
-def read_song_maps(spark: SparkSession, path: str, value_schema: str, field: str = "songs") -> DataFrame:
+def read_json_items(spark: SparkSession, path: str, item_schema: str, wrappers: Sequence[str] = ("items", "phones", "f0")) -> DataFrame:
+    return parse_json_items(_whole_texts(spark, path), item_schema, wrappers)
+
+
+def parse_song_maps(docs: DataFrame, value_schema: str, field: str = "songs") -> DataFrame:
     """Reports that map song ids to structs: one row per song."""
-    docs = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), _unmark(F.col("value")).alias("value"))
     table = F.from_json(F.get_json_object("value", f"$.{field}"), f"map<string,{value_schema}>")
     return docs.select("file", F.explode(table).alias("song_id", "report"))
 
 
-def read_list(spark: SparkSession, path: str, language: str | None = None):
+def read_song_maps(spark: SparkSession, path: str, value_schema: str, field: str = "songs") -> DataFrame:
+    return parse_song_maps(_whole_texts(spark, path), value_schema, field)
+
+
+def parse_list(lines: DataFrame, language: str | None = None):
     """Four fields split at bars, the rest of the line in the last. Returns (rows, bad lines)."""
-    rows = numbered_lines(spark, path).where("trim(value) <> ''").withColumn("f", F.split("value", r"\|", 4))
+    rows = lines.where("trim(value) <> ''").withColumn("f", F.split("value", r"\|", 4))
     names = ("audio_path", "speaker", "language", "text")
     blank = F.exists("f", lambda x: F.trim(x) == "")
     bad = F.when(F.size("f") != 4, "FIELD_COUNT").when(blank, "BLANK_FIELD")
@@ -132,34 +156,56 @@ def read_list(spark: SparkSession, path: str, language: str | None = None):
     return good, marked.where("reason is not null").select("file", "line", "reason")
 
 
-def read_name_text(spark: SparkSession, path: str):
-    """Tab file of audio name, phones, note, text. Returns (rows, bad lines)."""
-    rows = numbered_lines(spark, path).where("trim(value) <> ''").withColumn("f", F.split("value", "\t", 4))
+def short_lists(good: DataFrame, files: DataFrame, least: int = 3) -> DataFrame:
+    """``file, rows`` of the lists named in ``files`` that hold fewer than ``least`` good rows."""
+    counted = files.select("file").join(good.groupBy("file").agg(F.count(F.lit(1)).alias("rows")), "file", "left")
+    return counted.fillna(0, ["rows"]).where(F.col("rows") < least)
+
+
+def read_list(spark: SparkSession, path: str, language: str | None = None):
+    return parse_list(numbered_lines(spark, path), language)
+
+
+def parse_name_text(lines: DataFrame):
+    """Tab lines of audio name, phones, note, text. Returns (rows, bad lines)."""
+    rows = lines.where("trim(value) <> ''").withColumn("f", F.split("value", "\t", 4))
     bad = (F.size("f") != 4) | (F.trim(F.get("f", 0)) == "") | (F.trim(F.coalesce(F.get("f", 3), F.lit(""))) == "")
     good = rows.where(~bad).select("file", "line", F.trim(F.get("f", 0)).alias("audio_name"), F.get("f", 1).alias("phones"), F.trim(F.get("f", 3)).alias("text"))
     return good, rows.where(bad).select("file", "line", F.lit("FIELD_COUNT_OR_BLANK").alias("reason"))
 
 
-def merge_parts(spark: SparkSession, path: str) -> DataFrame:
+def read_name_text(spark: SparkSession, path: str):
+    return parse_name_text(numbered_lines(spark, path))
+
+
+def merge_lines(lines: DataFrame) -> DataFrame:
     """Parts of one table in file order: blank lines and repeated headers dropped, one header kept first.
 
     Columns: ``part, line, value``; sort by them to write. Part files name their order.
     """
-    rows = numbered_lines(spark, path).where("trim(value) <> ''")
+    rows = lines.where("trim(value) <> ''")
     at = F.struct("file", "line")
     both = rows.withColumns({"head": rows.agg(F.min_by("value", at)).scalar(), "at": rows.agg(F.min(at)).scalar()})
     keep = (F.col("value") != F.col("head")) | (at == F.col("at"))
     return both.where(keep).select(F.col("file").alias("part"), "line", "value")
 
 
-def read_dictionary(spark: SparkSession, path: str, layer: int = 0) -> DataFrame:
-    """``key, value, layer, position``: comments skipped, tab or blank separated; feed to ``layered``."""
-    rows = numbered_lines(spark, path).withColumn("t", F.trim("value")).where("t <> '' and not startswith(t, '#')")
+def merge_parts(spark: SparkSession, path: str) -> DataFrame:
+    return merge_lines(numbered_lines(spark, path))
+
+
+def parse_dictionary(lines: DataFrame, layer: int = 0) -> DataFrame:
+    """``file, key, value, layer, position``: comments skipped, tab or blank separated; feed to ``layered``."""
+    rows = lines.withColumn("t", F.trim("value")).where("t <> '' and not startswith(t, '#')")
     tab = F.contains("t", F.lit("\t"))
     key = F.when(tab, F.trim(F.split_part("t", F.lit("\t"), F.lit(1)))).otherwise(F.regexp_extract("t", r"^(\S+)", 1))
     rest = F.when(tab, F.regexp_replace("t", "^[^\t]*\t", "")).otherwise(F.regexp_replace("t", r"^\S+\s*", ""))
     value = F.array_join(tokens(rest), " ")
-    return rows.where(tab | F.col("t").rlike(r"\s")).select(key.alias("key"), value.alias("value"), F.lit(layer).cast("bigint").alias("layer"), F.col("line").alias("position"))
+    return rows.where(tab | F.col("t").rlike(r"\s")).select("file", key.alias("key"), value.alias("value"), F.lit(layer).cast("bigint").alias("layer"), F.col("line").alias("position"))
+
+
+def read_dictionary(spark: SparkSession, path: str, layer: int = 0) -> DataFrame:
+    return parse_dictionary(numbered_lines(spark, path), layer).drop("file")
 
 
 def phone_inventory(dictionary: DataFrame) -> DataFrame:
@@ -220,16 +266,25 @@ def missing_tiers(docs: DataFrame, tier: str, text: str = "value") -> DataFrame:
     return docs.where(~F.col(text).rlike(rf'(?m)^\s*name\s*=\s*"?{tier}"?\s*$')).drop(text)
 
 
+def parse_lab(lines: DataFrame):
+    """``file, line, start, end, phone`` from lines of three blank-separated fields. Returns (rows, bad lines)."""
+    rows = lines.where("trim(value) <> ''").withColumn("f", tokens(F.col("value")))
+    rows = rows.withColumns({"start": F.get("f", 0).try_cast("double"), "end": F.get("f", 1).try_cast("double")})
+    bad = F.when(F.size("f") != 3, "FIELD_COUNT").when(F.col("start").isNull() | F.col("end").isNull(), "NOT_A_NUMBER")
+    marked = rows.withColumn("reason", bad)
+    good = marked.where("reason is null").select("file", "line", "start", "end", F.get("f", 2).alias("phone"))
+    return good, marked.where("reason is not null").select("file", "line", "reason")
+
+
 def read_lab(spark: SparkSession, path: str) -> DataFrame:
-    """``file, line, start, end, phone`` from lines of three blank-separated fields."""
-    rows = numbered_lines(spark, path).withColumn("f", tokens(F.col("value"))).where("size(f) = 3")
-    return rows.select("file", "line", F.get("f", 0).cast("double").alias("start"), F.get("f", 1).cast("double").alias("end"), F.get("f", 2).alias("phone"))
+    """The good lines of LAB files; ``parse_lab`` also reports the others."""
+    return parse_lab(numbered_lines(spark, path))[0]
 
 
-def lab_breaks(lab: DataFrame, eps: float = 1 / 44_100) -> DataFrame:
+def lab_breaks(lab: DataFrame, eps: float = 1 / 44_100, hot=None) -> DataFrame:
     """Lines that do not start where the line before ended."""
 
-    rows = scan(lab, ["file"], ["line"], [previous("__end", F.col("end"))])
+    rows = scan(lab, ["file"], ["line"], [previous("__end", F.col("end"))], hot)
     return rows.where(F.abs(F.col("start") - F.col("__end")) > eps).drop("__end")
 
 
