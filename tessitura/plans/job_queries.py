@@ -133,15 +133,19 @@ ITEM_SQL = """it AS (SELECT vec_id AS name, CASE WHEN vec_id % 7 = 0 THEN NULL E
       CASE WHEN len(list_filter(sl, lambda v: v = 0)) <> 1 THEN 'NOTE_SLUR_WORD_MISMATCH' END, CASE WHEN list_min(nd) <= 0 THEN 'NON_POSITIVE_NOTE_DURATION' END, CASE WHEN list_min(pd) <= 0 THEN 'NON_POSITIVE_PH_DURATION' END,
       CASE WHEN list_sum(pd) <> list_sum(nd) THEN 'DURATION_TOTAL_MISMATCH' END], lambda x: x IS NOT NULL)) AS type FROM it""")
 def score_item_contract(t: Tables):
+    return sq.item_issues(score_items(t), "name")
+
+
+def score_items(t: Tables):
+    """One score item per frame, its sequences as texts."""
     v = sg.as_double(F.col("samples"))
     whole = lambda add: F.array_join(F.transform(v, lambda x: (F.floor(x * 100) + add).cast("string")), " ")
     labels = F.array_join(F.transform(v, lambda x: F.lit("C4")), " ")
-    items = t.frames().select(
+    return t.frames().select(
         F.col("frame").alias("name"), F.lit("0").alias("offset"), F.when(F.col("frame") % 7 != 0, "x").alias("text"), F.lit("ja").alias("lang"), labels.alias("ph_seq"),
         (63 + F.col("frame") % 2).cast("string").alias("ph_num"), labels.alias("note_seq"), whole(F.col("frame") % 3 * 60).alias("note_dur"),
         F.array_join(F.transform(v, lambda x: F.when(x > 0.1, "1").otherwise("0")), " ").alias("note_slur"), whole(60 + F.when(F.col("frame") % 5 == 0, 1).otherwise(0)).alias("ph_dur"),
     )
-    return sq.item_issues(items, "name")
 
 
 GATE = f"""{EVIDENCE}, g AS (SELECT song_id, boundary_index, CAST(48 + boundary_index % 25 AS DOUBLE) AS lp, CAST(48 + boundary_index % 5 * 5 AS DOUBLE) AS rp, (boundary_index * 3 % 10) / 10.0 AS va, (boundary_index * 7 % 10) / 10.0 AS vb,
