@@ -1,8 +1,11 @@
 """Secret scan: candidates by shape, false positives removed by a random forest.
 
-Only DataFrame expressions and Spark's own forest run here. A candidate is a blank-delimited
-word with a value of at least ``SHORTEST`` characters that holds a digit or changes case
-inside, or any value behind a password-like name. Its features are its length, shares of
+Only DataFrame expressions and Spark's own forest run here. Blank-delimited words are cut at
+quotes, brackets, commas, semicolons, ampersands and after ``name=`` or ``name:``, so that
+one line of JSON or a query string gives all its values. A candidate is a piece of at least
+``SHORTEST`` characters that holds a digit or changes case inside, or a piece of at least
+``ASSIGNED_SHORTEST`` characters right behind a password-like name and a sign, in the same
+word or in the words before. A value that itself holds such a mark is met in part. Its features are its length, shares of
 character classes, class and vowel changes along it, distinct characters, how far words of
 the corpus cover it, whether it looks like a path, URL, address or number, and what stands
 before and after it.
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, table, text_rows
 
-SHORTEST = 14
+SHORTEST, ASSIGNED_SHORTEST = 14, 6
 DICTIONARY = 4096
 TRAIN_ROWS = 20_000
 TREES, DEPTH = 40, 8
@@ -36,30 +39,44 @@ ADDRESS = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 NUMBER = r"^[+(]?[0-9][0-9 ().,:/-]*$"
 PLACE = r"^(?:[a-z]+://|www\.|/|\./|[A-Za-z]:[\\/]|[A-Za-z0-9_-]+(?:/[A-Za-z0-9_.-]+){2,}$)"
 _ASSIGNED = rf"(?i)(?:{NAMES})[\"']?\s*[=:]+\s*$"
+_INSIDE = rf"(?i)(?:{NAMES})[\"']?[=:]."
+_SHAPE = "[0-9]|[a-z][A-Z]|[A-Z]{2}.*[a-z]|A[KS]IA[A-Z]{16}"
+_CUTS = r"[\"'`,;&<>(){}\[\]]+|(?<=[A-Za-z_-][=:])(?![/=:]|$)"
 _CLASS_CHANGE = r"(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])|(?<=[^a-zA-Z0-9])(?=[a-zA-Z0-9])"
 _VOWEL_CHANGE = r"(?i)(?<=[aeiouy])(?=[b-df-hj-np-tv-xz])|(?<=[b-df-hj-np-tv-xz])(?=[aeiouy])"
 FEATURES = ["f_length", "f_digit", "f_upper", "f_lower", "f_other", "f_hex", "f_class", "f_vowel", "f_distinct", "f_covered", "f_place", "f_address", "f_number", "f_dummy", "f_assigned", "f_named", "f_quoted", "f_before", "f_after"]
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """``doc_id, word_at, value, lead, before, after``: candidate words and what surrounds them.
+    """``doc_id, word_at, piece_at, value, lead, before, after, quoted``: candidates and what surrounds them.
 
-    ``word_at`` counts blank-delimited words from 0; ``lead`` is what stands before the
-    value: the rest of its own word, or the two words before an opening quote.
+    ``word_at`` counts blank-delimited words from 0, ``piece_at`` the pieces of a word; ``lead``
+    is what stands before the value: the two pieces before it, or the two words before its word.
+    A word travels once, not once per candidate, so a text without blanks stays linear.
     """
     # Split at ASCII blanks only, so that one word never spans a line.
     words = text_rows(docs).filter("text <> ''").select("doc_id", F.split("text", r"[ \t\n\r\f\x0B]+").alias("w"))
     word = lambda i: F.coalesce(F.get("w", i), F.lit(""))
-    plain = F.transform("w", lambda x, i: F.when((F.length(x) >= SHORTEST) & x.rlike("[0-9]|[a-z][A-Z]|[A-Z]{2}.*[a-z]|A[KS]IA[A-Z]{16}") | x.rlike(rf"(?i)(?:{NAMES})[\"']?[=:]."), F.struct(i.alias("word_at"), x.alias("word"))))
-    found = words.withColumn("c", F.array_compact(plain)).filter("size(c) > 0").select("doc_id", "w", F.explode("c").alias("c"))
-    at = F.col("c.word_at")
-    found = found.select("doc_id", at.alias("word_at"), F.col("c.word").alias("word"), word(at - 2).alias("before2"), word(at - 1).alias("before"), word(at + 1).alias("after"))
-    # The value is what follows the last assignment sign, without quotes and end marks.
-    split = F.regexp_extract("word", r"^(.*?[A-Za-z_-]{2,}[\"']?[=:](?!/))?[\"'(<\[]*(.*?)[^A-Za-z0-9+/=_-]*$", 2)
-    found = found.withColumn("value", split).filter("length(value) >= 6")
-    head = F.expr("substring_index(word, value, 1)")
-    lead = F.when(F.length(F.regexp_replace(head, r"[\"'(<\[]", "")) > 0, head).otherwise(F.concat_ws(" ", "before2", "before"))
-    return found.select("doc_id", "word_at", "value", "word", lead.alias("lead"), "before", "after")
+    behind = lambda i: word(i - 1).rlike("[=:]$") & F.concat_ws(" ", word(i - 2), word(i - 1)).rlike(_ASSIGNED)
+    likely = lambda x, i: ((F.length(x) >= SHORTEST) & x.rlike(_SHAPE)) | ((F.length(x) >= ASSIGNED_SHORTEST) & (x.rlike(_INSIDE) | behind(i)))
+    # The neighbours go along, so that no candidate carries the words of its document.
+    kept = F.transform("w", lambda x, i: F.when(likely(x, i), F.struct(i.alias("word_at"), x.alias("word"), word(i - 2).alias("before2"), word(i - 1).alias("before"), word(i + 1).alias("after"))))
+    found = words.select("doc_id", F.explode(F.array_compact(kept)).alias("c")).select("doc_id", "c.*")
+    cut = found.withColumns({"p": F.split("word", _CUTS), "quoted": F.col("word").rlike("[\"'].*[\"']")}).drop("word")
+    part = lambda j: F.coalesce(F.get("p", j), F.lit(""))
+
+    def piece(x: Column, j: Column) -> Column:
+        # End marks are no part of a value; what stands before it names it.
+        value = F.regexp_extract(x, r"^(.*?)[^A-Za-z0-9+/=_-]*$", 1)
+        own = F.when(j > 0, F.concat(F.when(j > 1, part(j - 2)).otherwise(""), part(j - 1))).otherwise("")
+        lead = F.when(own != "", own).otherwise(F.concat_ws(" ", "before2", "before"))
+        # A name with its own sign is the next value's name.
+        keep = ~value.rlike(rf"(?i)(?:{NAMES})=+$") & (((F.length(value) >= SHORTEST) & value.rlike(_SHAPE)) | ((F.length(value) >= ASSIGNED_SHORTEST) & lead.rlike(_ASSIGNED)))
+        return F.when(keep, F.struct(j.alias("piece_at"), value.alias("value"), lead.alias("lead")))
+
+    return cut.select("doc_id", "word_at", "before", "after", "quoted", F.explode(F.array_compact(F.transform("p", piece))).alias("v")).select(
+        "doc_id", "word_at", "v.piece_at", "v.value", "v.lead", "before", "after", "quoted"
+    )
 
 
 def common_words(docs: DataFrame, most: int = DICTIONARY) -> DataFrame:
@@ -94,25 +111,29 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
         "f_hex": flag(F.col("value").rlike("^[0-9a-fA-F]+$")), "f_class": _changes(_CLASS_CHANGE), "f_vowel": _changes(_VOWEL_CHANGE),
         "f_distinct": F.size(F.array_distinct(F.split("value", ""))) / size, "f_covered": F.coalesce("covered", F.lit(0)) / size,
         "f_place": flag(place), "f_address": flag(address), "f_number": flag(number), "f_dummy": flag(dummy), "f_assigned": flag(assigned), "f_named": flag(named),
-        "f_quoted": flag(F.col("word").rlike("[\"'].*[\"']")), "f_before": flag(F.col("before").rlike("^[A-Za-z,.]{2,}$")), "f_after": flag(F.col("after").rlike("^[A-Za-z,.]{2,}$")),
+        "f_quoted": flag(F.col("quoted")), "f_before": flag(F.col("before").rlike("^[A-Za-z,.]{2,}$")), "f_after": flag(F.col("after").rlike("^[A-Za-z,.]{2,}$")),
     })
     random = (F.col("f_digit") >= 0.1) & (F.length("value") >= 16) & F.col("value").rlike("[A-Za-z]")
-    secret = ~dummy & (F.col("value").rlike(KEYS) | (assigned & random & ~address & ~place))
+    # A short value behind a name is a secret for sure only with letters and digits, and no word of the corpus.
+    mixed = F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]") & (F.col("f_covered") < 0.5)
+    secret = ~dummy & (F.col("value").rlike(KEYS) | (assigned & (random | mixed) & ~address & ~place))
     letters = F.col("value").rlike(r"^[\p{L}.,;:!?'’-]+$")
-    harmless = dummy | address | number | place | (letters & ~named)
+    # Words of many documents are prose even behind a name ("the secret: nothing").
+    harmless = dummy | address | number | place | (letters & (~named | (F.col("f_covered") >= 1)))
     return rows.withColumn("y", F.when(secret, 1.0).when(harmless, 0.0))
 
 
 def findings(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """Candidates that the forest takes for secrets.
 
-    Columns ``doc_id, word_at, n_chars, masked, value_sha256, score``. Without labelled
+    Columns ``doc_id, word_at, piece_at, n_chars, masked, value_sha256, score``. Without labelled
     candidates of both kinds there is no forest, and the rules alone decide (score 1).
     Null and empty texts and empty tables give no rows; repeated rows repeat; null doc_ids
-    are kept; columns besides doc_id and text are ignored. The value itself is not returned.
+    are kept; columns besides doc_id and text are ignored; a text without blanks is one word of
+    many pieces. The value itself is not returned.
     """
     rows = checkpointed(described(candidates(docs), common_words(docs)))
-    halves = [rows.filter(F.col("y") == y).orderBy(F.xxhash64("value", "doc_id", "word_at"), "_row").limit(train_rows) for y in (0.0, 1.0)]
+    halves = [rows.filter(F.col("y") == y).orderBy(F.xxhash64("value", "doc_id", "word_at", "piece_at"), "_row").limit(train_rows) for y in (0.0, 1.0)]
     train = checkpointed(halves[0].unionByName(halves[1]))
     if train.select("y").distinct().count() < 2:
         scored = rows.filter("y = 1").withColumn("score", F.lit(1.0))
@@ -120,7 +141,7 @@ def findings(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
         vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
         forest = RandomForestClassifier(labelCol="y", featuresCol="features", numTrees=TREES, maxDepth=DEPTH, seed=5, cacheNodeIds=False).fit(vectors.transform(train))
         scored = forest.transform(vectors.transform(rows)).withColumn("score", vector_to_array("probability")[1]).filter(F.col("score") >= THRESHOLD)
-    return scored.select("doc_id", "word_at", F.length("value").alias("n_chars"), F.concat(F.substring("value", 1, 4), F.lit("...")).alias("masked"), F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), F.round("score", 6).alias("score"))
+    return scored.select("doc_id", "word_at", "piece_at", F.length("value").alias("n_chars"), F.concat(F.substring("value", 1, 4), F.lit("...")).alias("masked"), F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), F.round("score", 6).alias("score"))
 
 
 def op10_secrets(spark, sf_dir: str) -> DataFrame:
