@@ -87,6 +87,15 @@ def clip_round(value: Column, low: float, high: float, digits: int = 3) -> Colum
     return F.bround(F.least(F.greatest(value, F.lit(low)), F.lit(high)), digits)
 
 
+def short_number(value: Column, digits: int = 10) -> Column:
+    """Text of a number with so many digits and no idle zeros; an exponent below 1e-4 and from 10^digits on."""
+    long = F.format_string(f"%.{digits - 1}e", value)
+    rounded = long.cast("double")
+    plain = F.regexp_replace(rounded.cast(f"decimal(38,{digits + 4})").cast("string"), r"\.?0+$", "")
+    fits = (rounded == 0) | F.abs(rounded).between(1e-4, 10.0**digits) & (F.abs(rounded) < 10.0**digits)
+    return F.when(fits, F.when(rounded == 0, "0").otherwise(plain)).otherwise(F.regexp_replace(long, r"\.?0+(?=e)", ""))
+
+
 def truthy(value: Column) -> Column:
     return F.coalesce(F.lower(F.trim(value.cast("string"))).isin("1", "true", "yes", "y"), F.lit(False))
 

@@ -64,6 +64,35 @@ def item_issues(items: DataFrame, key: str, **options) -> DataFrame:
     return items.select(key, F.explode(found).alias("type"))
 
 
+# The columns of a training table, in their order.
+TRAINING_COLUMNS = ("name", "ph_seq", "ph_dur", "ph_num", "note_seq", "note_dur")
+
+
+def normalize_items(items: DataFrame, name: str, offset: float) -> DataFrame:
+    """Score items in one form: absent fields filled, blank runs single, numbers in ten digits.
+
+    A null counts as absent. Absent label and note sequences become empty, absent phone
+    durations and pitches stay absent. Other columns are kept.
+    """
+    have = set(items.columns)
+    text = lambda c, default: F.coalesce(F.col(c).cast("string"), F.lit(default)) if c in have else F.lit(default)
+    number = lambda c, default: F.coalesce(F.col(c).try_cast("double"), F.lit(default)) if c in have else F.lit(default)
+    out = {"name": text("name", name), "offset": number("offset", float(offset)), "text": text("text", ""), "lang": text("lang", "ja")}
+    for c in ("ph_seq", "ph_num", "note_seq", "note_dur", "note_slur"):
+        out[c] = F.array_join(fn.tokens(F.col(c) if c in have else F.lit(None).cast("string")), " ")
+    for c in {"ph_dur", "f0_seq"} & have:
+        out[c] = F.when(F.col(c).isNotNull(), F.array_join(F.transform(fn.numbers(F.col(c)), lambda v: fn.short_number(v)), " "))
+    if "f0_seq" in have:
+        out["f0_timestep"] = F.when(F.col("f0_seq").isNotNull(), number("f0_timestep", 0.01))
+    return items.withColumns(out)
+
+
+def training_columns(items: DataFrame) -> DataFrame:
+    """The official columns as texts; what an item lacks is empty."""
+    have = set(items.columns)
+    return items.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in have else F.lit("").alias(c) for c in TRAINING_COLUMNS])
+
+
 def element_contract(elements: DataFrame, item: str, order: Sequence[str]) -> DataFrame:
     """The item contract over one row per note: no array is built, so item size does not matter."""
     at = F.struct(*order)

@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
 from ..operators import contracts as ct
+from ..operators import sequences as sq
+from ..operators import signal as sg
 from ..operators.scans import row_number, scan
 from . import jobs
-from .job_queries import ITEM_SQL, score_items
+from .job_queries import ITEM_SQL, model_files, score_items
 from .registry import QUERIES, query
+from .sequence_queries import gap_rows
+from .timeline_queries import MINUTE_US
 from .views import Tables
 
 
@@ -280,3 +284,84 @@ def carried_candidates(t: Tables):
 def candidates_without_window(t: Tables):
     windows = t.windows()
     return jobs.carry_candidates(windows.select("clip_id", F.lit(1).alias("score")), windows.where("start_us div 86400000000 % 4 <> 1"))[1]
+
+
+@query(f"SELECT n.song_id, n.note_index, n.pitch, n.start_us, coalesce(r.new_end, n.end_us) AS end_us FROM notes n LEFT JOIN ({QUERIES['gap_repairs'].sql}) r ON r.song_id = n.song_id AND r.note_index = n.note_index")
+def gap_repaired_notes(t: Tables):
+    """All notes, those left of a repaired gap extended to the next one."""
+    fixed = jobs.gap_repair(t.notes(), gap_rows(t), 600 * MINUTE_US, t.hot_songs)[1]
+    return fixed.select("song_id", "note_index", "pitch", "start_us", "end_us")
+
+
+VERIFIED = f"v AS ({QUERIES['model_files_verify'].sql})"
+
+
+def _release(t: Tables):
+    i = F.col("name")
+    register, found = model_files(t)
+    staged = register.where(i % 3 != 1).select("name", F.when(i % 2 == 0, "older").otherwise(F.col("sha256")).alias("sha256"))
+    return jobs.release_plan(register, staged, found)
+
+
+@query(f"""WITH {VERIFIED} SELECT name, sha256, CASE WHEN name % 3 = 1 THEN 'COPY' WHEN name % 2 = 0 THEN 'CONFLICT' ELSE 'SKIP' END AS action
+    FROM v JOIN (SELECT page_id AS name, CASE WHEN page_id % 7 = 0 THEN 'x' ELSE sha256 END AS sha256 FROM members) USING (name) WHERE state = 'OK'""")
+def release_plan(t: Tables):
+    """Register rows that verify, against what is staged already."""
+    return _release(t)[0]
+
+
+@query(f"WITH {VERIFIED} SELECT name, state FROM v WHERE state <> 'OK'")
+def release_problems(t: Tables):
+    return _release(t)[1]
+
+
+@query("""WITH b AS (SELECT clip_id AS "left", clip_id + 1 AS "right", duration_ms // 700 * 700 AS frame FROM clips)
+    SELECT "left", "right", frame, CASE WHEN frame > 0 THEN frame // 700 END AS left_chunk, CASE WHEN frame < c.duration_ms THEN frame // 700 + 1 END AS right_chunk FROM b LEFT JOIN clips c ON c.clip_id = "right" """)
+def boundary_chunks(t: Tables):
+    """Chunks that end and start at a frame where two clips could meet."""
+    clips = t.clips().select("clip_id", "duration_ms")
+    chunks = sg.chunk_plan(clips.withColumnRenamed("clip_id", "region"), ["region"], "duration_ms", 700, 50, 60)
+    bounds = clips.select(F.col("clip_id").alias("left"), (F.col("clip_id") + 1).alias("right"), (F.expr("duration_ms div 700") * 700).alias("frame"))
+    return sg.boundary_chunks(bounds, chunks)
+
+
+@query("""WITH d AS (SELECT item_id, CASE WHEN note_slur = 0 THEN 0 ELSE note_dur END AS v, (line, part, supp, cents) AS pl, CASE item_id % 4 WHEN 0 THEN 0.5 WHEN 1 THEN 3 WHEN 2 THEN -1 ELSE 0 END AS gap FROM item_elements),
+    s AS (SELECT item_id, CAST(sum(v) AS DOUBLE) AS total, CAST(max_by(v, pl) FILTER (WHERE v > 0) AS DOUBLE) AS last, CAST(any_value(gap) AS DOUBLE) AS gap FROM d GROUP BY item_id)
+    SELECT item_id, CASE WHEN abs(gap) <= 1 AND last + gap > 0 THEN total + gap ELSE total END AS total, CASE WHEN abs(gap) <= 1 AND last + gap > 0 THEN last + gap ELSE last END AS last FROM s""")
+def reconciled_lengths(t: Tables):
+    """The last sounding element takes a small difference to the target length."""
+    i = F.col("item_id")
+    row = F.struct("line", "part", "supp", "cents", F.when(F.col("note_slur") == 0, 0.0).otherwise(F.col("note_dur").cast("double")).alias("v"))
+    items = t.item_elements().groupBy("item_id").agg(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["v"]).alias("d"))
+    gap = F.when(i % 4 == 0, 0.5).when(i % 4 == 1, 3.0).when(i % 4 == 2, -1.0).otherwise(0.0)
+    fixed = items.select("item_id", sq.reconcile_length(F.col("d"), fn.total(F.col("d")) + gap, 1.0).alias("d"))
+    return fixed.select("item_id", fn.total(F.col("d")).alias("total"), F.try_element_at(F.filter("d", lambda v: v > 0), F.lit(-1)).alias("last"))
+
+
+NORMAL = """n AS (SELECT item_id, list(unit ORDER BY line, part, supp, cents) AS u, list(cents / 700.0 * CASE line % 3 WHEN 0 THEN 1 WHEN 1 THEN 1e-9 ELSE 1e8 END ORDER BY line, part, supp, cents) AS x, list(note_dur ORDER BY line, part, supp, cents) AS d FROM item_elements GROUP BY item_id)"""
+
+
+@query(f"""WITH {NORMAL} SELECT CASE WHEN item_id % 3 = 0 THEN 'song' ELSE 'n' || item_id END AS name, array_to_string(u, ' ') AS ph_seq, array_to_string(list_transform(x, lambda v: printf('%.10g', v)), ' ') AS ph_dur,
+      array_to_string(list_transform(u, lambda v: '1'), ' ') AS ph_num, array_to_string(u, ' ') AS note_seq, array_to_string(d, ' ') AS note_dur FROM n""")
+def training_columns(t: Tables):
+    """Items with loose blanks and long numbers, normalised, in the columns of a training table."""
+    return sq.training_columns(sq.normalize_items(_loose_items(t), "song", 0.0))
+
+
+@query("SELECT item_id, CASE WHEN item_id % 4 = 0 THEN 2.5 ELSE 0.75 END AS \"offset\", '' AS text, CASE WHEN item_id % 5 = 0 THEN 'en' ELSE 'ja' END AS lang, CASE WHEN item_id % 7 = 0 THEN 0.01 ELSE 0.005 END AS f0_timestep, '220 0.5' AS f0_seq FROM item_elements GROUP BY item_id")
+def normalized_items(t: Tables):
+    """What absent fields of an item become."""
+    return sq.normalize_items(_loose_items(t), "song", 0.75).select("item_id", "offset", "text", "lang", "f0_timestep", "f0_seq")
+
+
+def _loose_items(t: Tables):
+    i = F.col("item_id")
+    factor = F.when(F.col("line") % 3 == 0, 1.0).when(F.col("line") % 3 == 1, 1e-9).otherwise(1e8)
+    row = F.struct("line", "part", "supp", "cents", "unit", "note_dur", (F.col("cents") / 700.0 * factor).alias("x"))
+    e = t.item_elements().groupBy("item_id").agg(F.array_sort(F.collect_list(row)).alias("e"))
+    seq = lambda f: F.concat(F.lit(" "), F.array_join(F.transform("e", f), " \t "))
+    return e.select(
+        i, F.when(i % 3 != 0, F.concat(F.lit("n"), i.cast("string"))).alias("name"), F.when(i % 4 == 0, "2.5").alias("offset"), F.when(i % 5 == 0, "en").alias("lang"), F.when(i % 7 != 0, "0.005").alias("f0_timestep"),
+        seq(lambda x: x["unit"]).alias("ph_seq"), seq(lambda x: F.lit("1")).alias("ph_num"), seq(lambda x: x["unit"]).alias("note_seq"), seq(lambda x: x["note_dur"].cast("string")).alias("note_dur"),
+        seq(lambda x: x["x"].cast("string")).alias("ph_dur"), F.lit("220.0  0.50").alias("f0_seq"),
+    )

@@ -16,7 +16,7 @@ from ..operators.scans import find_hot_keys, row_number, scan
 from . import jobs
 from .manifest_queries import SONGS, _songs
 from .registry import QUERIES, query
-from .sequence_queries import EVIDENCE, _gap_rows
+from .sequence_queries import EVIDENCE, gap_rows
 from .timeline_queries import MINUTE_US, PIECES, SUBTRACT
 from .views import Tables
 
@@ -170,7 +170,7 @@ def _gate_rows(t: Tables):
     side = lambda v, w, h, m: F.struct(
         (i * v % 10 / 10).alias("voiced_ratio"), (i % w / 100).alias("longest_voiced_sec"), (i % h / 100).alias("max_hole_sec"), (48 + i % 25 + (i % m) * 0.25).alias("median_midi")
     )
-    return _gap_rows(t).select(
+    return gap_rows(t).select(
         "song_id", "boundary_index", side(3, 16, 6, 3).alias("a"), side(7, 20, 5, 4).alias("b"), (48 + i % 25).cast("double").alias("left_pitch"), (48 + i % 5 * 5).cast("double").alias("right_pitch"),
         (-20.0 - i % 50).alias("gap_dbfs"), (-15.0 - i % 10).alias("neighbor_dbfs"), F.lit(-45.0).alias("noise_floor_dbfs"), (i % 9).cast("double").alias("hnr_db"), (i % 7 / 10).alias("flatness"), (i % 12 / 10).alias("length_sec"),
     )
@@ -217,11 +217,16 @@ def total_duration(t: Tables):
     SELECT page_id AS name, bytes, CASE WHEN page_id % 7 = 0 THEN 'x' ELSE sha256 END AS h FROM members) r LEFT JOIN (SELECT page_id AS name, count(*) AS n, min(bytes) AS b, min(sha256) AS s FROM (
     SELECT page_id, CASE WHEN page_id % 9 = 0 THEN 1 ELSE bytes END AS bytes, sha256 FROM members WHERE page_id % 5 <> 0 UNION ALL SELECT page_id, bytes, sha256 FROM members WHERE page_id % 17 = 1) GROUP BY page_id) USING (name)""")
 def model_files_verify(t: Tables):
+    return ct.resolve_model_files(*model_files(t))
+
+
+def model_files(t: Tables):
+    """A register and the files found: some absent, some twice, some of another size or hash."""
     i = F.col("name")
     m = t.members().select(F.col("page_id").alias("name"), "bytes", "sha256")
     register = m.withColumn("sha256", F.when(i % 7 == 0, "x").otherwise(F.col("sha256")))
     found = m.where(i % 5 != 0).withColumn("bytes", F.when(i % 9 == 0, 1).otherwise(F.col("bytes"))).unionByName(m.where(i % 17 == 1))
-    return ct.resolve_model_files(register, found)
+    return register, found
 
 
 @query(f"""WITH {MAP} SELECT song_id, note_index AS boundary_index, phrase FROM (SELECT *, lag(phrase) OVER (PARTITION BY song_id ORDER BY note_index) AS lp FROM a) WHERE lp = phrase""")

@@ -205,7 +205,7 @@ EVIDENCE = """evid AS (SELECT song_id, note_index AS boundary_index, start_us -
     FROM (SELECT *, lag(end_us) OVER (PARTITION BY song_id ORDER BY note_index) AS left_end FROM notes) WHERE start_us - left_end >= 500000)"""
 
 
-def _gap_rows(t: Tables):
+def gap_rows(t: Tables):
     gaps = iv.adjacent_gaps(t.notes(), SONG, ["note_index"], 500_000, carry=["pitch"], hot=t.hot_songs)
     i = F.col("boundary_index")
     return gaps.select(
@@ -223,7 +223,7 @@ def _gap_rows(t: Tables):
       FROM nx n JOIN evid e ON e.song_id = n.song_id AND e.boundary_index = n.note_index + 1 WHERE status = 'VOCAL_EVIDENCE' AND gap_len <= {600 * MINUTE_US} AND ns > n.end_us)
     SELECT * FROM j WHERE resolution IS NOT NULL""")
 def gap_repairs(t: Tables):
-    return ev.repair_gaps(t.notes(), _gap_rows(t), 600 * MINUTE_US, t.hot_songs)
+    return ev.repair_gaps(t.notes(), gap_rows(t), 600 * MINUTE_US, t.hot_songs)
 
 
 DECISIONS = f"""{EVIDENCE}, dc AS (SELECT song_id, boundary_index, CASE boundary_index % 3 WHEN 0 THEN 'EXTEND_LEFT_F0_DUAL' WHEN 1 THEN 'EXTEND_RIGHT_F0_DUAL' ELSE 'PRUNE_INTERVAL' END AS action FROM evid),
@@ -235,7 +235,7 @@ DECISIONS = f"""{EVIDENCE}, dc AS (SELECT song_id, boundary_index, CASE boundary
 def _decided(t: Tables):
     i = F.col("boundary_index") % 3
     action = F.when(i == 0, "EXTEND_LEFT_F0_DUAL").when(i == 1, "EXTEND_RIGHT_F0_DUAL").otherwise("PRUNE_INTERVAL")
-    decisions = _gap_rows(t).select("song_id", "boundary_index", action.alias("action"))
+    decisions = gap_rows(t).select("song_id", "boundary_index", action.alias("action"))
     return ev.apply_decisions(t.notes(), decisions, t.hot_songs)
 
 

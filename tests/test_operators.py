@@ -447,3 +447,9 @@ def test_pronunciation_candidates_job(spark):
     got = {r["phrase_id"]: r for r in jobs.pronunciation_candidates(df, F.col("tk"), ["k", "a"], over).collect()}
     assert got["p1"]["phones"] == ["k", "a"] and got["p1"]["review_flags"] == []
     assert got["p2"]["phones"] == ["a", "SP"] and got["p2"]["review_flags"] == ["latin_text", "explicit_lexicon_override"]
+
+
+def test_short_numbers_are_written_as_by_printf(spark):
+    given = [0.0, -0.0, 1.0, 100.0, 0.1, 1 / 3, 2 / 3e5, 1e-4, 9.99999e-5, 123456789.123456, 9999999999.4, 9999999999.9, 1e10, 1.5e-9, -2.5, -1e12, 1e300]
+    df = spark.createDataFrame([(v,) for v in given], "v double")
+    assert [r[0] for r in df.select(fn.short_number(F.col("v"))).collect()] == [f"{v:.10g}" if v else "0" for v in given]

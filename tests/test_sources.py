@@ -246,3 +246,16 @@ def test_block_inventory_reads_files_of_any_size_by_ranges(spark, tmp_path):
     again = {r["path"].split(f"{tmp_path}/")[1]: r["digest"] for r in rd.block_inventory(spark, str(tmp_path), block_bytes=100).collect()}
     assert [n for n in files if again[n] != got[n]["digest"]] == ["deep.bin"]
     assert [r["bytes"] for r in rd.block_inventory(spark, str(tmp_path), suffixes=[".wav"]).collect()] == [4_321]
+
+
+def test_line_parsers_on_texts_in_columns(spark):
+    docs = spark.createDataFrame([("a", "﻿0 1 k\r\n1 2 a\nx 3 b\n\n3 4"), ("b", None)], "id string, body string")
+    good, bad = rd.parse_lab(rd.text_lines(docs, "id", "body"))
+    assert [(r["file"], r["line"], r["start"], r["end"], r["phone"]) for r in good.orderBy("line").collect()] == [("a", 1, 0.0, 1.0, "k"), ("a", 2, 1.0, 2.0, "a")]
+    assert [(r["line"], r["reason"]) for r in bad.orderBy("line").collect()] == [(3, "NOT_A_NUMBER"), (5, "FIELD_COUNT")]
+
+
+def test_short_lists(spark):
+    lines = spark.createDataFrame([("l", i, f"a{i}|s|JA|t") for i in range(3)] + [("m", 1, "a|s|JA|t"), ("n", 1, "bad")], "file string, line long, value string")
+    good, _ = rd.parse_list(lines, "JA")
+    assert sorted((r["file"], r["rows"]) for r in rd.short_lists(good, lines.select("file").distinct()).collect()) == [("m", 1), ("n", 0)]
