@@ -47,7 +47,9 @@ def csv_records(lines: DataFrame, sep: str = ",", hot=None) -> tuple[DataFrame,
 def csv_fields(text: Column, sep: str = ",") -> Column:
     """Fields of one record; quoted fields lose their quotes, and two quotes in them are one."""
     mark = "\\" + sep if sep in ".|^$*+?()[]{}\\" else sep
-    found = F.regexp_extract_all(F.concat(F.lit(sep), text), F.lit(f'{mark}("(?:[^"]|"")*"|[^{mark}]*)'), F.lit(1))
+    # Possessive, or a field's length is the depth of the matcher's recursion. Where no quote closes the field, its last two quotes are no pair: the first of them ends it.
+    quoted = r'"(?:[^"]++|""(?![^"]*+\z))*+"'
+    found = F.regexp_extract_all(F.concat(F.lit(sep), text), F.lit(f'{mark}({quoted}|[^{mark}]*+)'), F.lit(1))
     inner = lambda x: F.replace(F.substring(x, 2, F.length(x) - 2), F.lit('""'), F.lit('"'))
     return F.transform(found, lambda x: F.when(x.startswith('"') & x.endswith('"') & (F.length(x) > 1), inner(x)).otherwise(x))
 
