@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as fn
 from . import intervals as iv
 from . import manifest as mf
-from .issues import check_table, settled
+from .issues import check_row, check_table, settled
 from .repairs import voiced_pauses
 from .sequences import item_issues
 
@@ -183,45 +183,69 @@ def training_package(wavs: DataFrame, transcriptions: DataFrame, manifest: DataF
     """
     second = 1.0 / rate
     good = (F.col("sample_rate") == rate) & (F.col("channels") == 1) & (F.col("bit_depth") == 16) & (F.col("frames") > 0)
-    t = transcriptions.join(wavs.select("name", (F.col("frames") / rate).alias("sec")), "name", "left")
     ph, num, notes, pd_, nd = fn.tokens(F.col("ph_seq")), fn.integers(F.col("ph_num")), fn.tokens(F.col("note_seq")), fn.numbers(F.col("ph_dur")), fn.numbers(F.col("note_dur"))
     positive = lambda a: (F.size(a) > 0) & F.forall(a, lambda v: v > 0)
     fit = positive(num) & positive(pd_) & positive(nd) & (F.size(ph) == F.size(pd_)) & (F.size(notes) == F.size(nd))
     fit = fit & (F.aggregate(num, F.lit(0).cast("bigint"), lambda a, v: a + v) == F.size(ph))
-    fit = fit & (F.abs(fn.total(pd_) - fn.total(nd)) <= second) & (F.abs(fn.total(pd_) - F.col("sec")) <= second)
+    fit = fit & (F.abs(fn.total(pd_) - fn.total(nd)) <= second)
+    # Only what a check needs of a sequence is joined, never its text.
+    t = transcriptions.select("name", fit.alias("fit"), fn.total(pd_).alias("length")).join(wavs.select("name", (F.col("frames") / rate).alias("sec")), "name", "left")
+    fit = F.col("fit") & (F.abs(F.col("length") - F.col("sec")) <= second)
     kind = F.lower(F.coalesce("record_type", F.lit("segment")))
     train = manifest.where(~kind.isin(*EXCLUDED_KINDS))
     odd = train.where(~kind.isin(*TRAINING_KINDS) | (F.col("review_status") == "pending") | (F.col("duration_sec") <= 0))
-    names = {"wav": wavs, "csv": transcriptions, "manifest": train}
     ready = flags.where(F.col("value").isin(*READY_FLAGS))
     bad = flags.where(F.col("value").isin(*BLOCKED_FLAGS))
     no_ready = ready.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(F.lit("ready").alias("key"))
     checks = {
         "TRAINING_WAV_METADATA": wavs.where(~F.coalesce(good, F.lit(False))),
         "TRAINING_TRANSCRIPTIONS_CONTRACT": t.where(~F.coalesce(fit, F.lit(False))),
-        "TRAINING_NAME_SETS": mf.id_sets({k: v.select("name") for k, v in names.items()}, "name"),
         "TRAINING_MANIFEST": odd,
         "TRAINING_QA_FINAL": bad.select("key").unionByName(no_ready),
         "TRAINING_UPLOAD_SHA256SUMS": mf.integrity(members, checksums, "path", ["sha256"]),
     }
-    for label in ("development", "final"):
-        part = splits.where(F.col("label") == label)
-        checks[f"TRAINING_SPLIT_{label.upper()}"] = mf.id_sets({"package": transcriptions.select("name"), "split": part.select("name")}, "name")
-        need = part.sparkSession.createDataFrame([("train",), ("validation",)], "split string")
-        checks[f"TRAINING_SPLIT_{label.upper()}_GROUPS"] = need.join(part, "split", "left_anti")
-    return check_table(checks)
+    return check_table(checks).unionByName(_package_names(wavs, transcriptions, train, splits))
+
+
+def _package_names(wavs: DataFrame, transcriptions: DataFrame, train: DataFrame, splits: DataFrame) -> DataFrame:
+    """Names that are not once on each side of a set, and groups that a split lacks.
+
+    Every name meets its counts on all sides in one aggregation, so the splits are resolved once.
+    """
+    labels, groups = ("development", "final"), ("train", "validation")
+    is_in = {label: F.col("label") == label for label in labels}
+    is_in |= {f"{label}_{group}": (F.col("label") == label) & (F.col("split") == group) for label in labels for group in groups}
+    sides = ("wav", "csv", "manifest", *is_in)
+    counted = lambda rows, tests: rows.select("name", *[F.when(tests.get(s, F.lit(False)), 1).otherwise(0).cast("bigint").alias(s) for s in sides])
+    long = counted(splits, is_in)
+    for side, rows in {"wav": wavs, "csv": transcriptions, "manifest": train}.items():
+        long = long.unionByName(counted(rows, {side: F.lit(True)}))
+    counts = long.groupBy("name").agg(*[F.sum(s).alias(s) for s in sides])
+
+    def odd(*of: str) -> Column:
+        here, uneven = F.lit(False), F.lit(False)
+        for s in of:
+            here, uneven = here | (F.col(s) > 0), uneven | (F.col(s) != 1)
+        return F.count_if(here & uneven)
+
+    failures = {"TRAINING_NAME_SETS": odd("wav", "csv", "manifest")}
+    for label in labels:
+        failures[f"TRAINING_SPLIT_{label.upper()}"] = odd("csv", label)
+        train_, validation = (F.when(F.max(f"{label}_{group}") > 0, 0).otherwise(1) for group in groups)
+        failures[f"TRAINING_SPLIT_{label.upper()}_GROUPS"] = train_ + validation
+    return check_row(counts, failures)
 
 
 def resolve_split_entries(entries: DataFrame, names: DataFrame) -> DataFrame:
     """Split entries to names: an entry that is a name means itself, else every name it prefixes.
 
     Names are looked up by their prefixes of the lengths that occur, so this stays an
-    equi-join. ``entries``: label, split, entry.
+    equi-join; the lengths travel as one row. ``entries``: label, split, entry.
     """
     exact = entries.join(names.select(F.col("name").alias("entry")), "entry", "left_semi").select("label", "split", F.col("entry").alias("name"))
     rest = entries.join(names.select(F.col("name").alias("entry")), "entry", "left_anti")
-    sizes = rest.select(F.length("entry").alias("n")).distinct()
-    cuts = names.select("name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("n")).join(sizes, "n")
+    sizes = rest.agg(F.collect_set(F.length("entry")).alias("sizes"))
+    cuts = names.crossJoin(F.broadcast(sizes)).select("name", F.explode(F.filter("sizes", lambda n: n <= F.length("name"))).alias("n"))
     cuts = cuts.select("name", F.substring("name", F.lit(1), F.col("n")).alias("entry"))
     return exact.unionByName(rest.join(cuts, "entry").select("label", "split", "name"))
 

@@ -134,6 +134,13 @@ def pending_summary(issues: DataFrame) -> DataFrame:
     return out.withColumn("status", F.when(F.col("pending_count") == 0, "REVIEW_CLEAR").otherwise("BLOCKED"))
 
 
+def check_row(rows: DataFrame, failures: dict[str, Column]) -> DataFrame:
+    """Check table of aggregates that one pass over ``rows`` gives: code, failing rows, passed."""
+    counts = rows.agg(*[n.cast("bigint").alias(code) for code, n in failures.items()])
+    each = F.explode(F.array(*[F.struct(F.lit(code).alias("code"), F.col(code).alias("failures")) for code in failures]))
+    return counts.select(each.alias("c")).select("c.code", "c.failures", (F.col("c.failures") == 0).alias("passed"))
+
+
 def check_table(checks: dict[str, DataFrame]) -> DataFrame:
     """Union of one-row aggregates: code, failing rows, passed."""
     out = None
