@@ -137,8 +137,9 @@ def prune_budget(exclusions, windows, max_ratio_percent: int, carried_us: int =
 
 def with_budget(rows: DataFrame, max_ratio_percent: int, carried_us: int = 0, eps=0) -> DataFrame:
     """Status and ratio of ``set_pruned_us`` to ``set_total_us``; compared in whole units, so without rounding."""
-    spent = (F.col("set_pruned_us") + carried_us) * 100
-    allowed = F.col("set_total_us") * max_ratio_percent
+    # Times a hundred, the sum of a large set leaves the range of a bigint.
+    spent = (F.col("set_pruned_us").cast("decimal(20,0)") + carried_us) * 100
+    allowed = F.col("set_total_us").cast("decimal(20,0)") * max_ratio_percent
     return rows.withColumn("status", F.when(spent <= allowed + eps * 100, "WITHIN_BUDGET").otherwise("BLOCKED_PRUNE_BUDGET")).withColumn(
         "prune_ratio", F.when(F.col("set_total_us") > 0, F.round((F.col("set_pruned_us") + carried_us) / F.col("set_total_us"), 6)).otherwise(F.lit(1.0))
     )
