@@ -70,7 +70,7 @@ def boundary_repair(t: Tables):
 def boundary_repair_audit(t: Tables):
     """Note status against the repaired windows."""
     repaired, _ = folds.repair_windows(t.mono_notes(), t.windows(), BIN, "majority", hot=t.hot_songs)
-    return windows.audit_notes(t.mono_notes(), repaired).groupBy("song_id", "status").count()
+    return windows.audit_notes(t.mono_notes(), repaired, hot=t.hot_songs).groupBy("song_id", "status").count()
 
 
 @query(None)
